@@ -22,5 +22,9 @@ def sort_key(name: str, nulls: str = "high") -> Column:
 
 
 def order_by(df: DataFrame, *names: str, nulls: str = "high") -> DataFrame:
-    """Sort by several columns, `-name` for descending, with one rule for NULL."""
+    """Sort by several columns, `-name` for descending, with one rule for NULL.
+
+    Rows that are equal in all of them sort in one task, so end the list with a key where the
+    other columns have few values.
+    """
     return df.orderBy(*[sort_key(n, nulls) for n in names])

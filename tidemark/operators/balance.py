@@ -78,10 +78,15 @@ def logical_deletes(deletions: DataFrame, additive: Sequence[str], ts: str = "lo
     ).drop("next_order_load", "next_line_load")
 
 
-def _newest(fact: DataFrame, landed: DataFrame, order_key: str, ts: str) -> DataFrame:
-    """Rows of the newest load, each with the newest as-at that the fact has for its order."""
+def _newest(fact: DataFrame, landed: DataFrame, keys: Sequence[str], order_key: str, ts: str) -> DataFrame:
+    """Rows of the newest load, each with the newest as-at that the fact has for its order.
+
+    The rows leave spread by the whole line key. Without that, the steps that follow would keep
+    the partitioning by order, and an order with very many lines would stay with one task; with
+    it, adaptive execution may also split such an order within this join.
+    """
     as_at = fact.groupBy(order_key).agg(F.max("as_at_dts").alias("max_as_at"))
-    return latest_load(landed, ts).join(as_at, order_key, "left")
+    return latest_load(landed, ts).join(as_at, order_key, "left").repartition(*keys)
 
 
 def rb_merge(
@@ -98,7 +103,7 @@ def rb_merge(
     `rb_reversals` restores the history.
     """
     source = (
-        _newest(fact, landed, order_key, ts)
+        _newest(fact, landed, keys, order_key, ts)
         .withColumn("as_at_dts", F.coalesce("max_as_at", F.col(ts)))
         .withColumn("is_after_image", F.lit(True))
         .select(*fact.columns, ts)
@@ -151,13 +156,15 @@ def rb_new_rows(
     """The rows that the newest load adds to the fact.
 
     One left join from the newest load to the after-images at each order's newest as-at: a new
-    line gives one row, a known line gives its negated old row and its new row.
+    line gives one row, a known line gives its negated old row and its new row. No as-at lies
+    above the newest one, so `>=` selects it and leaves the line key as the only join key, by
+    which the source is spread already.
     """
     types = {f.name: f.dataType for f in fact.schema.fields}
-    source = single_per_key(_newest(fact, landed, order_key, ts), keys, "_s").alias("s")
+    source = single_per_key(_newest(fact, landed, keys, order_key, ts), keys, "_s").alias("s")
     images = fact.filter("is_after_image").withColumn("_t", F.lit(True)).alias("t")
     match = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys]
-    joined = source.join(images, [*match, F.col("s.max_as_at") == F.col("t.as_at_dts")], "left").filter("s._s")
+    joined = source.join(images, [*match, F.col("t.as_at_dts") >= F.col("s.max_as_at")], "left").filter("s._s")
 
     def row(pick) -> Column:
         return F.struct(*[pick(c).cast(types[c]).alias(c) for c in fact.columns])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.hashing import diff_hash
-from tidemark.operators.scd import band_load
+from tidemark.operators.scd import Bands, band_load, band_step
 from tidemark.sources.landing import next_load
 
 # The columns that a load may change, and those in the row hash.
@@ -121,6 +121,13 @@ def t2_fact_initial(landed: DataFrame, hashed: Sequence[str] = HASHED) -> DataFr
     )
 
 
+DAYS_HELD = Bands("from_date", "to_date", open_date, lambda load: F.date_sub(load, 1))
+
+
+def _load_source(batch: DataFrame, hashed: Sequence[str]) -> DataFrame:
+    return batch.select("*", F.col("load_date").alias("from_date"), diff_hash(hashed).alias("diff_hash"))
+
+
 def type2_fact(
     fact: DataFrame,
     landed: DataFrame,
@@ -129,17 +136,28 @@ def type2_fact(
     hashed: Sequence[str] = HASHED,
 ) -> DataFrame:
     """Load the day after the fact's newest load; the old band ends one day before it."""
-    batch = next_load(landed, fact, "load_date").select(
-        "*", F.col("load_date").alias("from_date"), diff_hash(hashed).alias("diff_hash")
-    )
-    return band_load(
-        fact, batch, keys, update, "from_date", "to_date", open_date(), lambda load: F.date_sub(load, 1)
-    )
+    source = _load_source(next_load(landed, fact, "load_date"), hashed)
+    return band_load(fact, source, keys, update, DAYS_HELD)
+
+
+def type2_step(
+    current: DataFrame,
+    landed: DataFrame,
+    keys: Sequence[str] = ("employee_id",),
+    update: Sequence[str] = UPDATED,
+    hashed: Sequence[str] = HASHED,
+) -> DataFrame:
+    """The same over the open bands alone: the open bands after the load and those it closed.
+
+    The newest load is always among the open bands, so they tell which load comes next.
+    """
+    source = _load_source(next_load(landed, current, "load_date"), hashed)
+    return band_step(current, source, keys, update, DAYS_HELD)
 
 
 def current_staff(fact: DataFrame) -> DataFrame:
     """The open band of each employee: how it stands now."""
-    return fact.filter(F.col("to_date") == open_date())
+    return DAYS_HELD.current(fact)
 
 
 def active_now(fact: DataFrame) -> DataFrame:

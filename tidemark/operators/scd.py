@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.hashing import diff_hash
 from tidemark.operators.merge import MergeResult, join_by_key, merge
+from tidemark.session import stage
 
 
 def open_ts() -> Column:
@@ -56,35 +58,45 @@ def scd2_initial(landed: DataFrame, tracked: Sequence[str], stamp: str = "load_t
     )
 
 
-def band_load(
-    fact: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    update: Sequence[str],
-    from_col: str,
-    to_col: str,
-    open_value: Column,
-    before: Callable[[Column], Column],
-    hash_col: str = "diff_hash",
+@dataclass(frozen=True)
+class Bands:
+    """How a table of bands is laid out: its columns for start and end, and the steps of a load."""
+
+    from_col: str
+    to_col: str
+    open_value: Callable[[], Column]
+    before: Callable[[Column], Column]
+    hash_col: str = "diff_hash"
+
+    def current(self, rows: DataFrame) -> DataFrame:
+        return rows.filter(F.col(self.to_col) == self.open_value())
+
+    def closed(self, rows: DataFrame) -> DataFrame:
+        return rows.filter(F.col(self.to_col) != self.open_value())
+
+
+def band_step(
+    current: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str], bands: Bands
 ) -> DataFrame:
-    """Load a batch into a table of bands: close the old band of a changed key, open a new one.
+    """Load a batch over the open bands: close the old band of a changed key, open a new one.
 
-    `source` has the fact's columns but `to_col`; its `from_col` is the load. The new band takes
-    the `update` columns, the hash and the load from the source and everything else from the old
-    band. Only open bands meet the batch; closed ones pass by untouched, and each open band is
-    read once: a changed row becomes its closed and its new form by `inline`.
+    `source` has the table's columns but the end; its start column is the load. The new band
+    takes the `update` columns, the hash and the load from the source and everything else from
+    the old band. Each open band is read once: a changed row becomes its closed and its new form
+    by `inline`. Gives the open bands after the load and the bands it closed; bands closed
+    earlier take no part.
     """
-    current = fact.filter(F.col(to_col) == open_value)
-    history = fact.filter(F.col(to_col) != open_value)
+    from_col, to_col, hash_col = bands.from_col, bands.to_col, bands.hash_col
+    open_value, before = bands.open_value(), bands.before
     joined = join_by_key(current, source, keys)
 
     inserted = F.col("t._t").isNull()
     changed = F.col("s._s").isNotNull() & (F.col(f"t.{hash_col}") != F.col(f"s.{hash_col}"))
     from_source = {*update, hash_col, from_col}
-    types = {f.name: f.dataType for f in fact.schema.fields}
+    types = {f.name: f.dataType for f in current.schema.fields}
 
     def row(pick: Callable[[str], Column]) -> Column:
-        return F.struct(*[pick(c).cast(types[c]).alias(c) for c in fact.columns])
+        return F.struct(*[pick(c).cast(types[c]).alias(c) for c in current.columns])
 
     def kept(c: str) -> Column:
         return F.col(f"t.{c}")
@@ -103,24 +115,54 @@ def band_load(
         .when(changed, F.array(row(closed), row(reopened)))
         .otherwise(F.array(row(kept)))
     )
-    return joined.select(F.inline(rows)).unionByName(history)
+    return joined.select(F.inline(rows))
+
+
+def band_load(
+    table: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str], bands: Bands
+) -> DataFrame:
+    """The whole table after a load: its open bands loaded, its closed ones as they are."""
+    stepped = band_step(bands.current(table), source, keys, update, bands)
+    return stepped.unionByName(bands.closed(table))
+
+
+def band_loads(
+    table: DataFrame, sources: Sequence[DataFrame], keys: Sequence[str], update: Sequence[str], bands: Bands
+) -> DataFrame:
+    """Several loads in their order.
+
+    Each load writes the open bands and the ones it closed; closed bands are written once and
+    not read again by later loads.
+    """
+    current, closed = bands.current(table), [bands.closed(table)]
+    for source in sources:
+        rows = stage(band_step(current, source, keys, update, bands), "bands")
+        current = bands.current(rows)
+        closed.append(bands.closed(rows))
+    for rows in closed:
+        current = current.unionByName(rows)
+    return current
+
+
+VERSIONS = Bands("from_dts", "to_dts", open_ts, one_second_before)
 
 
 def scd2(
     dim: DataFrame, batch: DataFrame, keys: Sequence[str], tracked: Sequence[str], stamp: str = "load_ts"
 ) -> DataFrame:
     """A new version on change; the old version ends one second before the load."""
-    source = with_hash(batch, tracked).withColumnRenamed(stamp, "from_dts")
-    return band_load(dim, source, keys, tracked, "from_dts", "to_dts", open_ts(), one_second_before)
+    return band_load(dim, scd2_source(batch, tracked, stamp), keys, tracked, VERSIONS)
+
+
+def scd2_source(batch: DataFrame, tracked: Sequence[str], stamp: str = "load_ts") -> DataFrame:
+    return with_hash(batch, tracked).withColumnRenamed(stamp, "from_dts")
 
 
 def scd2_loads(
     dim: DataFrame, batches: Sequence[DataFrame], keys: Sequence[str], tracked: Sequence[str]
 ) -> DataFrame:
-    """Several loads in their order; each reads the version that the one before left."""
-    for batch in batches:
-        dim = scd2(dim, batch, keys, tracked)
-    return dim
+    """Several loads in their order; each reads the open versions that the one before left."""
+    return band_loads(dim, [scd2_source(b, tracked) for b in batches], keys, tracked, VERSIONS)
 
 
 def scd3_initial(landed: DataFrame, tracked: Sequence[str], original: str) -> DataFrame:

@@ -16,6 +16,16 @@ def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
     return spark.read.parquet(f"{root}/version={version}")
 
 
+def all_versions(spark: SparkSession, root: str) -> DataFrame:
+    """All versions of a table in one read, with the column `version`."""
+    return spark.read.parquet(root)
+
+
+def last_version(spark: SparkSession, root: str) -> int:
+    """The highest version written. One number from the folder names, so it survives a restart."""
+    return all_versions(spark, root).agg(F.max("version")).first()[0]
+
+
 def changed_rows(before: DataFrame, after: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Distinct rows of the first state, over `cols`, that the second does not have."""
     return before.select(*cols).subtract(after.select(*cols))

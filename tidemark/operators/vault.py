@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.hashing import vault_hash
+from tidemark.session import stage
 
 # The attributes in each record hash, in order.
 CUSTOMER_ATTRIBUTES = ["name", "iso2_code", "account_balance_usd", "market_segment"]
@@ -194,6 +195,17 @@ def load_vault(state: Vault, customers: DataFrame, orders: DataFrame) -> Vault:
     return replace(state, **{name: getattr(state, name).unionByName(rows) for name, rows in added.items()})
 
 
+def run_loads(state: Vault, loads: Sequence[tuple[DataFrame, DataFrame]]) -> Vault:
+    """Several staged batches one after the other; what each adds is written before the next.
+
+    A load reads its batch and the keys of the targets, and writes new rows only.
+    """
+    for customers, orders in loads:
+        added = {n: stage(rows, n) for n, rows in vault_additions(state, customers, orders).items()}
+        state = replace(state, **{n: getattr(state, n).unionByName(rows) for n, rows in added.items()})
+    return state
+
+
 def vault_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count per vault table."""
     report = None

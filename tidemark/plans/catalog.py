@@ -14,7 +14,6 @@ from tidemark.operators import balance, bands, documents, hierarchy, keys, looku
 from tidemark.plans.scenario import (
     DAYS,
     FIRST_DAY,
-    FIRST_ORDERS_BEFORE,
     LINE_ADDITIVE,
     LINE_KEYS,
     LINE_UPDATED,
@@ -636,7 +635,7 @@ def shredded_star(s: Scenario) -> DataFrame:
 @query("hierarchy_path")
 def hierarchy_path(s: Scenario) -> DataFrame:
     walked = hierarchy.connect_by(s.organisation(), "node_id", "superior_id", F.col("rank") == "World", "name")
-    return order_by(walked, "level")
+    return order_by(walked, "level", "node_id")
 
 
 def _branches(s: Scenario) -> DataFrame:
@@ -647,7 +646,7 @@ def _branches(s: Scenario) -> DataFrame:
 
 @query("hierarchy_branches")
 def hierarchy_branches(s: Scenario) -> DataFrame:
-    return order_by(_branches(s), "branch", "level")
+    return order_by(_branches(s), "branch", "level", "node_id")
 
 
 @query("hierarchy_edges")
@@ -666,11 +665,11 @@ def nation_iso(s: Scenario) -> DataFrame:
 @query("vault_landing")
 def vault_landing(s: Scenario) -> DataFrame:
     """Landed customers of the first load with the number of orders landed beside them."""
-    customers, orders = s.vault_load(1)
+    customers, orders = s.vault_staged(1)
     per_customer = orders.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("order_count"), F.sum("total_price_usd").alias("order_total_usd")
     )
-    return customers.join(per_customer, "customer_id", "left")
+    return customers.drop("hub_customer_hk", "customer_hash_diff").join(per_customer, "customer_id", "left")
 
 
 @query("load_audit")

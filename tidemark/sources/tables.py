@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.numbering import number_within
 from tidemark.sources.contracts import MODEL
@@ -17,9 +17,14 @@ def typed(rows: DataFrame, name: str) -> DataFrame:
     return rows.select(*[F.col(f.source).cast(f.type).alias(f.name) for f in MODEL[name].fields])
 
 
-def model(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One model table. The casts sit on the scan, so unused columns are never read."""
-    rows = typed(source(spark, folder, MODEL[name].source), name)
+def model(spark: SparkSession, folder: str, name: str, scan: Column | None = None) -> DataFrame:
+    """One model table. The casts sit on the scan, so unused columns are never read.
+
+    `scan` is a condition on the source's own columns. A condition on a cast column does not
+    reach the Parquet reader; one on the stored column does.
+    """
+    rows = source(spark, folder, MODEL[name].source)
+    rows = typed(rows if scan is None else rows.filter(scan), name)
     if name == "inventory":
         return rows.distinct()
     if name == "line_item":

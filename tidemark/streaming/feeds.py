@@ -12,9 +12,10 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.ranking import combine_loyalty, top_customers
-from tidemark.operators.scd import scd2
-from tidemark.operators.snapshot import read_version, write_version
+from tidemark.operators.scd import VERSIONS, scd2_loads
+from tidemark.operators.snapshot import all_versions, last_version, read_version, write_version
 from tidemark.operators.vault import load_hub, load_link, load_sat
+from tidemark.sources.landing import union_all
 
 
 def read_files(spark: SparkSession, folder: str, schema, pattern: str | None = None, files_per_batch: int | None = None) -> DataFrame:
@@ -46,37 +47,39 @@ def loyalty_stream(orders: DataFrame, customer: DataFrame, supporters: DataFrame
     spark = customer.sparkSession
     totals = orders.groupBy("customer_id").agg(F.sum("total_price_usd").alias("total_price_usd"))
     eligible = customer.filter("account_balance_usd > 0 and location_id <> 22").select("customer_id")
-    last = {"version": None}
 
     def each(batch: DataFrame, batch_id: int) -> None:
         ranked = combine_loyalty(top_customers(batch.join(eligible, "customer_id")), supporters)
         write_version(ranked, f"{root}/loyalty", batch_id)
-        last["version"] = batch_id
 
     _run(totals, each, f"{root}/checkpoint", mode="complete")
-    return read_version(spark, f"{root}/loyalty", last["version"])
+    return read_version(spark, f"{root}/loyalty", last_version(spark, f"{root}/loyalty"))
 
 
 def scd2_stream(landed: DataFrame, dim: DataFrame, keys: Sequence[str], tracked: Sequence[str], root: str) -> DataFrame:
     """Apply the loads of a landing stream to a type 2 dimension, in load order.
 
-    Batch n reads version n - 1 and writes version n; `dim` is what batch 0 starts from. The
-    load stamps of a batch are few (one per landed load) and are the only thing collected.
+    Batch n starts from the open versions that batch n - 1 wrote (batch 0 from those of `dim`)
+    and writes the open versions and the ones it closed. So closed versions are written once,
+    whatever the number of batches. The load stamps of a batch are few (one per landed load) and
+    are the only thing collected.
     """
     spark = dim.sparkSession
-    last = {"version": None}
+
+    def written(batch_id: int) -> DataFrame:
+        return read_version(spark, f"{root}/dim", batch_id).select(*dim.columns)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        state = dim if batch_id == 0 else read_version(spark, f"{root}/dim", batch_id - 1)
+        current = VERSIONS.current(dim if batch_id == 0 else written(batch_id - 1))
         loads = [r["load"] for r in batch.select(F.col("load_ts").cast("string").alias("load")).distinct().collect()]
-        for load in sorted(loads):
-            rows = batch.filter(F.col("load_ts") == F.lit(load).cast("timestamp_ntz"))
-            state = scd2(state, rows, keys, tracked)
-        write_version(state.select(*dim.columns), f"{root}/dim", batch_id)
-        last["version"] = batch_id
+        batches = [batch.filter(F.col("load_ts") == F.lit(load).cast("timestamp_ntz")) for load in sorted(loads)]
+        write_version(scd2_loads(current, batches, keys, tracked), f"{root}/dim", batch_id)
 
     _run(landed, each, f"{root}/checkpoint")
-    return read_version(spark, f"{root}/dim", last["version"])
+    everything = all_versions(spark, f"{root}/dim")
+    newest = everything.filter(F.col("version") == last_version(spark, f"{root}/dim"))
+    parts = [VERSIONS.closed(dim), VERSIONS.closed(everything), VERSIONS.current(newest)]
+    return union_all([rows.select(*dim.columns) for rows in parts])
 
 
 def _table_before(spark: SparkSession, root: str, schema: str, batch_id: int) -> DataFrame:
