@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.computed import update_where
 from tidemark.operators import balance, bands, documents, shred, vault
-from tidemark.session import stage
+from tidemark.session import spread, stage
 from tidemark.sources import landing, tables
 from tidemark.sources.inline import iso_codes, values
 
@@ -164,7 +164,7 @@ class Scenario:
             rows = landing.whole_entities(self.lines(), "sales_order_id", self.early_orders())
             return landing.land(rows, ts(LOAD_1)).withColumn("load_type", F.lit("initial"))
 
-        return self._once("lines_initial", build)
+        return self._once("lines_initial", build, partition_by="load_ts")
 
     def line_batch(self, with_deletions: bool) -> DataFrame:
         """Second load: the other orders as new ones, the landed orders changed.
@@ -186,12 +186,9 @@ class Scenario:
         )
 
     def src_line_item(self) -> DataFrame:
-        """Landing area after the load with deletions, one partition per load."""
-        return self._once(
-            "src_line_item",
-            lambda: landing.union_all([self.lines_initial(), self.line_batch(with_deletions=True)]),
-            partition_by="load_ts",
-        )
+        """Landing area after the load with deletions; each load is written once, to its partition."""
+        batch = self._once("line_batch", lambda: self.line_batch(with_deletions=True), partition_by="load_ts")
+        return landing.union_all([self.lines_initial(), batch])
 
     def line_deletions(self) -> DataFrame:
         landed = self.src_line_item()
@@ -199,24 +196,26 @@ class Scenario:
 
     def src_line_item_recovered(self) -> DataFrame:
         """Landing area with the lost lines put back as logical deletions."""
-
-        def build() -> DataFrame:
-            landed = self.src_line_item()
-            return landing.union_all([landed, balance.logical_deletes(self.line_deletions(), LINE_ADDITIVE)])
-
-        return self._once("src_line_item_recovered", build, partition_by="load_ts")
+        deletes = self._once(
+            "line_deletes",
+            lambda: balance.logical_deletes(self.line_deletions(), LINE_ADDITIVE),
+            partition_by="load_ts",
+        )
+        return landing.union_all([self.src_line_item(), deletes])
 
     def line_fact_initial(self) -> DataFrame:
         return balance.rb_initial(self.lines_initial())
 
     def line_fact(self) -> DataFrame:
-        """Reverse-balance fact after the second load."""
-        return self._once(
-            "line_fact",
-            lambda: balance.reverse_balance(
-                self.line_fact_initial(), self.src_line_item_recovered(), LINE_KEYS, LINE_UPDATED, LINE_ADDITIVE
+        """Reverse-balance fact after the second load: what the load adds is written beside the rest."""
+        first = self.line_fact_initial()
+        added = self._once(
+            "line_fact_added",
+            lambda: balance.rb_new_rows(
+                first, self.src_line_item_recovered(), LINE_KEYS, LINE_UPDATED, LINE_ADDITIVE
             ),
         )
+        return landing.union_all([first, added])
 
     # Employees
 
@@ -316,7 +315,8 @@ class Scenario:
         """Landed documents: load 1 has the orders before a date, load 2 has all."""
 
         def build() -> DataFrame:
-            texts = self.order_texts(self.early_orders() if load == 1 else self.model("sales_order"))
+            orders = self.early_orders() if load == 1 else self.model("sales_order")
+            texts = self.order_texts(spread(orders, "sales_order_id"))
             landed, _ = documents.land_json(texts, "text", LOAD_NAME, ts({1: LOAD_1, 2: LOAD_2}[load]))
             return landed
 

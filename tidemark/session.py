@@ -51,6 +51,17 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that has fewer splits than the session has cores, before heavy work per row.
+
+    A table of few large row groups gives few tasks. With as many splits as cores, which any
+    large table has, the scan stays as it is and nothing is shuffled. `keys` make each row's
+    place repeatable and should be unique.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
