@@ -84,10 +84,14 @@ def merge(
     return MergeResult(rows, changes)
 
 
+def absent(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Source rows whose key the target does not hold: the rows to append."""
+    return source.join(target.select(*on), list(on), "left_anti").select(*target.columns)
+
+
 def insert_if_absent(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
     """The target with those source rows whose key it does not hold."""
-    fresh = source.join(target.select(*on), list(on), "left_anti")
-    return target.unionByName(fresh.select(*target.columns))
+    return target.unionByName(absent(target, source, on))
 
 
 def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:

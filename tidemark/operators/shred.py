@@ -1,8 +1,9 @@
 """Shredding of documents into relational tables with surrogate keys.
 
-Each operator takes the target as it stands and gives its next version. Rows are reduced to one
-per natural key before anything else (partial aggregation on the map side), so a value that
-sits in a third of all documents is one row per task from then on.
+Each operator takes the target as it stands and gives the rows to append to it; nothing that is
+in the target is written again. Rows are reduced to one per natural key before anything else
+(partial aggregation on the map side), so a value that sits in a third of all documents is one
+row per task from then on.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.merge import insert_if_absent
+from tidemark.operators.merge import absent
 from tidemark.operators.numbering import assign_keys
 
 
@@ -32,11 +33,11 @@ def _max_key(target: DataFrame, sk: str) -> Column:
 
 
 def shred_dim(target: DataFrame, rows: DataFrame, natural_key: str, sk: str) -> DataFrame:
-    """Insert dimension rows whose natural key is absent, with keys after the target's highest."""
+    """Dimension rows whose natural key is absent, with keys after the target's highest."""
     known = rows.filter(F.col(natural_key).isNotNull())
     fresh = first_per_key(known, [natural_key]).join(target.select(natural_key), natural_key, "left_anti")
     keyed = assign_keys(fresh.select(*rows.columns), sk, [natural_key], _max_key(target, sk))
-    return target.unionByName(keyed.select(*target.columns))
+    return keyed.select(*target.columns)
 
 
 def shred_rollup(
@@ -48,7 +49,7 @@ def shred_rollup(
     sk: str,
     parent_ref: str,
 ) -> DataFrame:
-    """Parents and children in one self-referencing table, parents first.
+    """New parents and children of one self-referencing table, parents first.
 
     `children` names its parent in `parent_name`; it is replaced by the parent's surrogate key.
     A child whose parent is not in the table is not loaded, as it has nothing to point to.
@@ -64,10 +65,11 @@ def shred_rollup(
             ]
         )
 
-    with_parents = shred_dim(target, filled(parents), natural_key, sk)
+    new_parents = shred_dim(target, filled(parents), natural_key, sk)
+    with_parents = target.unionByName(new_parents)
     owners = with_parents.select(F.col(natural_key).alias(parent_name), F.col(sk).alias(parent_ref))
     linked = children.join(owners, parent_name, "inner")
-    return shred_dim(with_parents, filled(linked), natural_key, sk)
+    return new_parents.unionByName(shred_dim(with_parents, filled(linked), natural_key, sk))
 
 
 def resolve(rows: DataFrame, dim: DataFrame, name: str, natural_key: str, sk: str, out: str) -> DataFrame:
@@ -76,11 +78,13 @@ def resolve(rows: DataFrame, dim: DataFrame, name: str, natural_key: str, sk: st
     return rows.join(keys, name, "inner").drop(name)
 
 
-def shred_values(target: DataFrame, rows: DataFrame, owner: DataFrame, name: str, natural_key: str, sk: str, value: str) -> DataFrame:
-    """One row per owner and value of a multi-valued attribute; both make the key."""
+def shred_values(
+    target: DataFrame, rows: DataFrame, owner: DataFrame, name: str, natural_key: str, sk: str, value: str
+) -> DataFrame:
+    """New rows, one per owner and value of a multi-valued attribute; both make the key."""
     distinct = first_per_key(rows, [name, value])
     keyed = resolve(distinct, owner, name, natural_key, sk, sk)
-    return insert_if_absent(target, keyed.select(*target.columns), [sk, value])
+    return absent(target, keyed, [sk, value])
 
 
 def shred_bridge(
@@ -88,33 +92,33 @@ def shred_bridge(
     rows: DataFrame,
     sides: Mapping[str, tuple[DataFrame, str, str]],
 ) -> DataFrame:
-    """Pairs of surrogate keys for a many-to-many relationship.
+    """New pairs of surrogate keys for a many-to-many relationship.
 
     `sides` maps each natural-key column of `rows` to (dimension, its natural key, its surrogate key).
     """
     keyed = first_per_key(rows, list(sides))
     for name, (dim, natural_key, sk) in sides.items():
         keyed = resolve(keyed, dim, name, natural_key, sk, sk)
-    return insert_if_absent(target, keyed.select(*target.columns), [sk for _, _, sk in sides.values()])
+    return absent(target, keyed, [sk for _, _, sk in sides.values()])
 
 
 def shredded_star(
-    rollup: DataFrame, ship: DataFrame, bridge: DataFrame, weapon: DataFrame, names: Mapping[str, str]
+    rollup: DataFrame, carrier: DataFrame, bridge: DataFrame, dim: DataFrame, member_sk: str, carrier_sk: str, dim_sk: str
 ) -> DataFrame:
     """Read the shredded tables back: one row per member and linked value, `None` for no value.
 
-    `names` gives the surrogate-key columns: `ship`, `member` and `weapon`.
+    `rollup` holds the members with the key of their carrier, `bridge` links them to `dim`.
     """
-    ships = ship.select(names["ship"], F.col("type").alias("ship_type"))
-    weapons = weapon.select(names["weapon"], F.col("name").alias("_weapon"))
+    carriers = carrier.select(carrier_sk, F.col("type").alias("carrier_type"))
+    linked = dim.select(dim_sk, F.col("name").alias("_linked"))
     return (
-        rollup.join(ships, names["ship"], "inner")
-        .join(bridge.select(names["member"], names["weapon"]), names["member"], "left")
-        .join(weapons, names["weapon"], "left")
+        rollup.join(carriers, carrier_sk, "inner")
+        .join(bridge.select(member_sk, dim_sk), member_sk, "left")
+        .join(linked, dim_sk, "left")
         .select(
             "name",
             F.coalesce("nickname", F.lit("None")).alias("nickname"),
-            "ship_type",
-            F.coalesce("_weapon", F.lit("None")).alias("weapon_name"),
+            "carrier_type",
+            F.coalesce("_linked", F.lit("None")).alias("linked_name"),
         )
     )

@@ -10,7 +10,21 @@ from tidemark.functions.computed import update_where, with_computed, with_defaul
 from tidemark.functions.hashing import diff_hash
 from tidemark.functions.ordering import order_by
 from tidemark.functions.variants import array_first, array_last, json_array, json_get, path_depth
-from tidemark.operators import balance, bands, documents, hierarchy, keys, lookup, merge, ranking, scd, snapshot, vault
+from tidemark.operators import (
+    balance,
+    bands,
+    documents,
+    hierarchy,
+    keys,
+    lookup,
+    merge,
+    numbering,
+    ranking,
+    scd,
+    shred,
+    snapshot,
+    vault,
+)
 from tidemark.plans.scenario import (
     DAYS,
     FIRST_DAY,
@@ -617,19 +631,16 @@ def shred_bridge(s: Scenario) -> DataFrame:
 @query("surrogate_key")
 def surrogate_key(s: Scenario) -> DataFrame:
     """Keys for all customers in name order, after the highest location key."""
-    from tidemark.operators.numbering import assign_keys
-
     start = s.model("location").agg(F.max("location_id")).scalar()
-    return assign_keys(s.model("customer").select("name", "market_segment"), "customer_sk", ["name"], start)
+    return numbering.assign_keys(s.model("customer").select("name", "market_segment"), "customer_sk", ["name"], start)
 
 
 @query("shredded_star")
 def shredded_star(s: Scenario) -> DataFrame:
-    from tidemark.operators.shred import shredded_star as read_star
-
     t = s.shredded()
-    names = {"ship": "carrier_id", "member": "party_id", "weapon": "service_id"}
-    return read_star(t.party, t.carrier, t.party_services, t.service, names)
+    return shred.shredded_star(
+        t.party, t.carrier, t.party_services, t.service, "party_id", "carrier_id", "service_id"
+    )
 
 
 # Hierarchies

@@ -650,8 +650,8 @@ _oracle(
 )
 _oracle(
     "shredded_star",
-    """SELECT p.name, coalesce(p.nickname, 'None') AS nickname, c.type AS ship_type,
-              coalesce(s.name, 'None') AS weapon_name
+    """SELECT p.name, coalesce(p.nickname, 'None') AS nickname, c.type AS carrier_type,
+              coalesce(s.name, 'None') AS linked_name
        FROM t_party p JOIN t_carrier c USING (carrier_id) LEFT JOIN t_bridge b USING (party_id)
        LEFT JOIN t_service s USING (service_id)""",
 )

@@ -390,37 +390,28 @@ class Scenario:
     def _shred_load(self, state: Shredded, load: int) -> Shredded:
         rows = self.document_rows(load)
         stamp = ["load_name", "load_ts"]
-        service = stage(
-            shred.shred_dim(
-                state.service,
-                rows["services"].select(F.col("service_name").alias("name"), *stamp),
-                "name",
-                "service_id",
-            ),
-            "service",
-        )
+        services = rows["services"].select(F.col("service_name").alias("name"), *stamp)
+        service = state.service.unionByName(shred.shred_dim(state.service, services, "name", "service_id"))
         carriers = rows["heads"].select(
             F.col("carrier_name").alias("name"),
             F.col("carrier_type").alias("type"),
             F.col("carrier_year").alias("year"),
             *stamp,
         )
-        carrier = stage(shred.shred_dim(state.carrier, carriers, "name", "carrier_id"), "carrier")
+        carrier = state.carrier.unionByName(shred.shred_dim(state.carrier, carriers, "name", "carrier_id"))
         on_carrier = lambda df: shred.resolve(df, carrier, "carrier_name", "name", "carrier_id", "carrier_id")
-        party = stage(
-            shred.shred_rollup(
-                state.party,
-                on_carrier(rows["heads"].select("name", "nickname", "opened", "status", "carrier_name", *stamp)),
-                on_carrier(rows["stops"]),
-                "name",
-                "owner_name",
-                "party_id",
-                "part_of",
-            ),
-            "party",
+        members = shred.shred_rollup(
+            state.party,
+            on_carrier(rows["heads"].select("name", "nickname", "opened", "status", "carrier_name", *stamp)),
+            on_carrier(rows["stops"]),
+            "name",
+            "owner_name",
+            "party_id",
+            "part_of",
         )
+        party = state.party.unionByName(stage(members, "party"))
         years = shred.shred_values(state.party_years, rows["years"], party, "party_name", "name", "party_id", "year")
-        services = shred.shred_bridge(
+        pairs = shred.shred_bridge(
             state.party_services,
             rows["services"],
             {"party_name": (party, "name", "party_id"), "service_name": (service, "name", "service_id")},
@@ -429,8 +420,8 @@ class Scenario:
             service=service,
             carrier=carrier,
             party=party,
-            party_years=stage(years, "party_years"),
-            party_services=stage(services, "party_services"),
+            party_years=state.party_years.unionByName(stage(years, "party_years")),
+            party_services=state.party_services.unionByName(stage(pairs, "party_services")),
         )
 
     # Hierarchy
