@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.merge import MergeResult, merge, single_per_key
+from tidemark.operators.skew import salted_join
 from tidemark.sources.landing import latest_load
 
 DELETION = "deletion"
@@ -55,7 +56,7 @@ def detect_deletions(
     lines = landed.withColumn("next_line_load", following)
     if not reuse:
         lines = lines.filter(F.col("next_line_load").isNull())
-    lost = lines.join(history, [order_key, ts], "inner")
+    lost = salted_join(lines, history, [order_key, ts], counted=landed)
     if reuse:
         lost = lost.filter(~F.col("next_line_load").eqNullSafe(F.col("next_order_load")))
     return lost.select(*landed.columns, "next_order_load", "next_line_load")
@@ -81,12 +82,11 @@ def logical_deletes(deletions: DataFrame, additive: Sequence[str], ts: str = "lo
 def _newest(fact: DataFrame, landed: DataFrame, keys: Sequence[str], order_key: str, ts: str) -> DataFrame:
     """Rows of the newest load, each with the newest as-at that the fact has for its order.
 
-    The rows leave spread by the whole line key. Without that, the steps that follow would keep
-    the partitioning by order, and an order with very many lines would stay with one task; with
-    it, adaptive execution may also split such an order within this join.
+    The rows leave spread by the whole line key, by which the next steps work. If they kept the
+    order's partitioning, an order with very many lines would stay in one task to the end.
     """
     as_at = fact.groupBy(order_key).agg(F.max("as_at_dts").alias("max_as_at"))
-    return latest_load(landed, ts).join(as_at, order_key, "left").repartition(*keys)
+    return salted_join(latest_load(landed, ts), as_at, [order_key], "left").repartition(*keys)
 
 
 def rb_merge(

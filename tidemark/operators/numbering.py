@@ -6,10 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.operators import skew
 from tidemark.session import stage
 
-HOT_ROWS = 1_000_000
-
 
 def number_within(
     df: DataFrame,
@@ -17,7 +16,7 @@ def number_within(
     order: Sequence[str],
     blocks: Sequence[Column],
     out: str,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Number the rows of each key, 1 to n in `order`.
 
@@ -25,16 +24,9 @@ def number_within(
     order agrees with `order` (its leading columns, or a coarser form of them), each block is
     sorted by its own task, and the sizes of the blocks before it are added. All other keys
     share the plain window, and the table is shuffled once in either case.
-
-    The hot keys are broadcast: there are at most (rows of the table) / `hot_rows` of them.
     """
     keys = list(keys)
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
+    hot = skew.hot_keys(df, keys, hot_rows or skew.HOT_ROWS).select(*keys, F.lit(True).alias("_hot"))
     tagged = df.join(F.broadcast(hot), keys, "left").withColumn("_block", F.when(F.col("_hot"), F.struct(*blocks)))
 
     in_block = Window.partitionBy(*keys, "_block").orderBy(*order)

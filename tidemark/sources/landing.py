@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.computed import update_where
+from tidemark.operators.skew import salted_join
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
@@ -52,7 +53,7 @@ def next_load(src: DataFrame, target: DataFrame, date_col: str = "load_date") ->
 
 def whole_entities(df: DataFrame, key: str, picked: DataFrame) -> DataFrame:
     """All rows of the entities that the picked rows belong to."""
-    return df.join(picked.select(key).distinct(), key, "left_semi").select(*df.columns)
+    return salted_join(df, picked.select(key).distinct(), [key], "left_semi")
 
 
 def entity_batch(
@@ -71,7 +72,7 @@ def entity_batch(
     shows as a deletion. One join tags every row; known keys are reduced to one row each first.
     """
     known = landed.select(key).distinct().withColumn("_known", F.lit(True))
-    tagged = src.join(known, key, "left")
+    tagged = salted_join(src, known, [key], "left")
     if keep is not None:
         tagged = tagged.filter(F.col("_known").isNull() | keep)
     adjusted = update_where(tagged, adjust, F.col("_known"))
