@@ -51,14 +51,18 @@ def detect_deletions(
 
     A line is lost when no later load has it. With `reuse=True`, for sources that use a line
     number again, it is lost when the next load of the order does not have it.
+
+    The join comes first: only lines of the orders in the history are sorted by load, which for
+    a daily load is a small part of the landing area.
     """
-    following = F.lead(ts).over(Window.partitionBy(order_key, line_key).orderBy(ts))
-    lines = landed.withColumn("next_line_load", following)
-    if not reuse:
-        lines = lines.filter(F.col("next_line_load").isNull())
-    lost = salted_join(lines, history, [order_key, ts], counted=landed)
+    loads = history.select(order_key, F.col(ts).alias("_order_load"), "next_order_load")
+    lines = salted_join(landed, loads, [order_key])
+    following = F.lead(ts).over(Window.partitionBy(order_key, line_key, "_order_load").orderBy(ts))
+    lines = lines.withColumn("next_line_load", following).filter(F.col(ts) == F.col("_order_load"))
     if reuse:
-        lost = lost.filter(~F.col("next_line_load").eqNullSafe(F.col("next_order_load")))
+        lost = lines.filter(~F.col("next_line_load").eqNullSafe(F.col("next_order_load")))
+    else:
+        lost = lines.filter(F.col("next_line_load").isNull())
     return lost.select(*landed.columns, "next_order_load", "next_line_load")
 
 
