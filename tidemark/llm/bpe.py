@@ -9,10 +9,12 @@ import heapq
 import numpy as np
 import pandas as pd
 import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.text import chunks
 from tidemark.session import stage
 
 MAX_RANKS = 1_000_000  # tokens of a vocabulary that is broadcast
@@ -64,6 +66,13 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def slices(batches, rows: int = 500):
+    """Batches cut into runs of rows."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows].reset_index(drop=True)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """(id, ids array<int>, carried columns) per row.
 
@@ -82,12 +91,13 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     def number(batches):
         find, task = regex.compile(pattern).findall, TaskContext.get()
-        for k, batch in enumerate(batches):
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for k, batch in enumerate(chunks(batches, limit=4 << 20)):
             known: dict[str, int] = {}
             places = []
             for text in batch["text"]:
                 found = find(text) if isinstance(text, str) else []
-                places.append(np.array([known.setdefault(w, len(known)) for w in found], np.int32).tobytes())
+                places.append(pack(np.array([known.setdefault(w, len(known)) for w in found], np.int32).view(np.uint8).reshape(-1, 4).T.tobytes()))
             block = f"{task.partitionId()}-{k}"
             out = pd.DataFrame({"block": block, "id": batch["id"], "carried": batch["carried"], "places": places, "words": None})
             yield out
@@ -106,10 +116,11 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     back = back.select(F.col("block").alias("own_block"), F.col("table.ids").alias("ids"))
 
     def place(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out, held_block, flat, size, start = [], None, None, None, None
             for block, spots, table in zip(batch["block"], batch["places"], batch["ids"]):
-                at = np.frombuffer(spots, np.int32)
+                at = np.ascontiguousarray(np.frombuffer(unpack(spots), np.uint8).reshape(4, -1).T).view(np.int32).ravel()
                 if not len(at):
                     out.append(np.zeros(0, np.int32))
                     continue
@@ -142,7 +153,7 @@ def decode(encoded: DataFrame, path: str, carry: list[str] | None = None) -> Dat
 
     def run(batches):
         token = {i: b for b, i in held.value.items()}
-        for batch in batches:
+        for batch in slices(batches):
             yield pd.DataFrame({"id": batch["id"], "carried": batch["carried"], "ids": batch["ids"], "bytes": [b"".join(map(token.__getitem__, ids)) for ids in batch["ids"]]})
 
     out = picked.mapInPandas(run, f"id {kinds['id']}, carried {kind}, ids array<int>, bytes binary")
@@ -154,7 +165,7 @@ def digest(decoded: DataFrame) -> DataFrame:
     kind = decoded.schema["id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             yield pd.DataFrame({
                 "doc_id": batch["id"],
                 "n_tokens": [len(x) for x in batch["ids"]],

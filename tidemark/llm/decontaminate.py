@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import ALNUM, LOWER, hashes, joined, mix, words
+from tidemark.llm.text import ALNUM, LOWER, chunks, hashes, joined, mix, words
 from tidemark.session import stage
 
 STRIDE = 64  # start positions one search head covers
@@ -99,7 +99,7 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     def searcher(held):
         def run(batches):
             tables = _tables(held.value, window)
-            for batch in batches:
+            for batch in chunks(batches):
                 buf, offsets = joined(batch["text"])
                 buf = LOWER[buf]
                 begin, end, first = words(buf, offsets, ALNUM)

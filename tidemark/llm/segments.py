@@ -11,6 +11,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.text import chunks, joined
+
 _SCHEMA = "bucket int, data binary, size binary, key binary, doc binary, place binary"
 
 
@@ -23,9 +25,7 @@ def cut(docs: DataFrame, pieces: Callable, buckets: int) -> DataFrame:
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            from tidemark.llm.text import joined
-
+        for batch in chunks(batches, limit=4 << 20):
             ids = batch["id"].to_numpy(np.int64)
             buf, starts = joined(batch["text"])
             key, begin, end, text, place = pieces(buf, starts)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.text import LOWER, NONBLANK, joined, words
+from tidemark.llm.text import LOWER, NONBLANK, chunks, joined, words
 from tidemark.session import stage
 
 BLOCKS = 8  # of 8 bits, each embedded as the popcounts of its two halves
@@ -32,7 +32,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in chunks(batches):
             buf, starts = joined(batch["text"])
             begin, end, first = words(buf, starts, NONBLANK)
             # words and single spaces between them, so that a shingle is one slice

@@ -20,6 +20,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def chunks(batches, column: str = "text", limit: int = 2 << 20):
+    """Batches cut into runs of rows with about `limit` characters, and one row at least.
+
+    The work arrays of a run are many times its text, so this bounds the memory of a task.
+    """
+    for batch in batches:
+        total, first = 0, 0
+        for i, text in enumerate(batch[column]):
+            size = len(text) if isinstance(text, str) else 0
+            if total and total + size > limit:
+                yield batch.iloc[first:i].reset_index(drop=True)
+                total, first = 0, i
+            total += size
+        yield batch.iloc[first:].reset_index(drop=True)
+
+
 def joined(texts) -> tuple[np.ndarray, np.ndarray]:
     """All texts in one byte buffer, each followed by a line feed, and where each begins (and the end).
 

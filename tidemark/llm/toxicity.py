@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.linear import BITS, fit, present, sigmoid
+from tidemark.llm.text import chunks
 
 SIZES = (4, 5)
 
@@ -71,7 +72,7 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches):
         w = held.value
-        for batch in batches:
+        for batch in chunks(batches):
             out = pd.DataFrame({"id": batch["id"], "score": [sigmoid(w[present(_bytes(t), SIZES)].sum() + intercept) for t in batch["text"]]})
             if keep:
                 out["text"] = batch["text"]
