@@ -35,7 +35,7 @@ def docs(spark):
 def test_landing_splits_bad_text(docs):
     landed, rejected = docs
     assert rows(landed, "id", "load_name") == [(1, "test")]
-    assert rows(rejected) == [(2, "{not json")]
+    assert rows(rejected) == [(2, "{not json"), (3, None)]
 
 
 def test_paths_and_arrays(docs):
@@ -76,21 +76,24 @@ def walk(value, path="", key=None, pos=None):
             yield from walk(v, f"{path}[{i}]", pos=i)
 
 
-@pytest.mark.parametrize("max_depth", [None, 4])
-def test_flatten_all_finds_every_node_once(docs, max_depth):
-    nodes = documents.flatten_all(docs[0].select("id", "v"), "v", max_depth)
+def test_flatten_all_finds_every_node_once(docs):
+    nodes = documents.flatten_all(docs[0].select("id", "v"), "v")
     found = rows(nodes.select("key", "path", "pos", F.to_json("value")))
     assert found == sorted(walk(DOCUMENT), key=repr)
 
 
 def test_flatten_all_deeper_than_a_round(spark):
     value = "leaf"
-    for n in range(19):
+    for n in range(40):
         value = [value] if n % 2 else {"k": value}
     df = spark.createDataFrame([(json.dumps(value),)], "t string").select(F.parse_json("t").alias("v"))
-    assert documents.flatten_all(df, "v").agg(F.max("level")).first()[0] == 19
-    with pytest.raises(PySparkException, match="deeper than 5 levels"):
-        documents.flatten_all(df, "v", max_depth=5).collect()
+    assert documents.flatten_all(df, "v").agg(F.max("level")).first()[0] == 40
+
+
+def test_flatten_of_objects_and_scalars(spark):
+    df = spark.createDataFrame([('{"a":{"x":1,"y":2}}',), ('{"a":5}',), ('{"a":[7]}',)], "t string")
+    found = documents.flatten(df.select(F.parse_json("t").alias("v")), "v", "a", "e")
+    assert rows(found.select("e_index", json_get("e", "", "int"))) == [(0, 1), (0, 7), (1, 2)]
 
 
 def test_path_depth(spark):
@@ -217,13 +220,14 @@ def test_branches_and_edges(tree):
     assert [r["id"] for r in edges.filter("is_edge_node").orderBy("id").collect()] == [4, 6, 7]
 
 
-def test_a_cycle_fails_and_depth_is_bounded(spark, tree):
+def test_a_cycle_fails(spark, tree):
     loop = spark.createDataFrame([(1, 3, "a"), (2, 1, "b"), (3, 2, "c")], "id long, superior long, rank string")
     with pytest.raises(PySparkException, match="cycle at 1"):
         hierarchy.connect_by(loop, "id", "superior", F.col("id") == 1, "rank")
-    with pytest.raises(RuntimeError, match="deeper than 3"):
-        hierarchy.connect_by(tree, "id", "superior", F.col("rank") == "Head", "rank", max_depth=3)
-    assert hierarchy.connect_by(tree, "id", "superior", F.col("rank") == "Head", "rank", max_depth=4).count() == 7
+    away = spark.createDataFrame([(1, None, "a"), (2, 1, "b"), (3, 2, "c"), (2, 3, "d")], "id long, superior long, rank string")
+    with pytest.raises(RuntimeError, match="more levels than rows"):
+        hierarchy.connect_by(away, "id", "superior", F.col("id") == 1, "rank")
+    assert hierarchy.connect_by(tree, "id", "superior", F.col("rank") == "Head", "rank").count() == 7
 
 
 CUSTOMER = "customer_id long, name string, iso2_code string, account_balance_usd decimal(12,2), market_segment string"

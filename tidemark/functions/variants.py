@@ -11,7 +11,16 @@ def json_get(v: Column | str, path: str, type_: str = "string") -> Column:
 
 
 def json_array(v: Column | str, path: str, element: str = "variant") -> Column:
-    return F.variant_get(v, f"$.{path}" if path else "$", f"array<{element}>")
+    return F.try_variant_get(v, f"$.{path}" if path else "$", f"array<{element}>")
+
+
+def json_elements(v: Column | str, path: str) -> Column:
+    """Elements of the array, or values of the object, at a path; NULL for a scalar or no value."""
+    at = f"$.{path}" if path else "$"
+    return F.coalesce(
+        F.try_variant_get(v, at, "array<variant>"),
+        F.map_values(F.try_variant_get(v, at, "map<string,variant>")),
+    )
 
 
 def array_first(v: Column | str, path: str, type_: str = "string") -> Column:

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.variants import json_array
+from tidemark.functions.variants import json_elements
+from tidemark.session import stage
 
 
 def land_json(df: DataFrame, col: str, load_name: str, load_ts: Column) -> tuple[DataFrame, DataFrame]:
     """Parse JSON text into a variant `v` with load name and time; text that fails is apart.
 
-    Returns the landed rows and the rejected ones; other columns pass through in both. Landed
+    Returns the landed rows and the rejected ones, NULL texts included; other columns pass through
+    in both, so every row is in one of them. Landed
     rows come out of an `explode` of the parsed value, which drops NULL without a filter: a
     filter would be pushed down with a second parse of every text.
     """
@@ -18,18 +20,20 @@ def land_json(df: DataFrame, col: str, load_name: str, load_ts: Column) -> tuple
     parsed = F.array_compact(F.array(F.try_parse_json(col)))
     landed = df.select(*others, F.explode(parsed).alias("v"))
     landed = landed.withColumns({"load_name": F.lit(load_name), "load_ts": load_ts})
-    rejected = df.filter(F.try_parse_json(col).isNull() & F.col(col).isNotNull())
+    rejected = df.filter(F.try_parse_json(col).isNull())
     return landed, rejected
 
 
 def flatten(df: DataFrame, v: str, path: str, out: str = "value", outer: bool = False) -> DataFrame:
-    """One row per element of the array at `path`, beside its parent's columns.
+    """One row per element of the array, or per key of the object, at `path`, beside its parent's columns.
+
+    A scalar has no elements. Keys are in the order of the object, and `<out>_index` counts them.
 
     Adds `<out>` and its position `<out>_index`. A parent without elements disappears, or stays
     with NULL when `outer`. Expanding is local to the row: no shuffle.
     """
     explode = F.posexplode_outer if outer else F.posexplode
-    return df.select("*", explode(json_array(v, path)).alias(f"{out}_index", out))
+    return df.select("*", explode(json_elements(v, path)).alias(f"{out}_index", out))
 
 
 def count_nested(df: DataFrame, v: str, outer_path: str, inner_path: str, where: Column) -> DataFrame:
@@ -60,12 +64,11 @@ def _expand(nodes: DataFrame, columns: list[str], level: int) -> DataFrame:
     return nodes.select(*columns, F.explode(rows).alias("node"))
 
 
-def flatten_all(df: DataFrame, v: str, max_depth: int | None = None) -> DataFrame:
+def flatten_all(df: DataFrame, v: str) -> DataFrame:
     """Every node below the root of each document: `key`, `path`, `pos`, `value`, `level`.
 
-    One scan: each level is expanded beside the nodes above it, so a document is read once
-    whatever its depth. Without `max_depth` the rounds go on until no node has children (one
-    check per eight levels); with it, a deeper document fails the job instead of losing nodes.
+    Rounds of eight levels go on until no node has children. A round expands only the deepest
+    nodes of the one before, whose rows are staged, so a document of any depth is read once.
     """
     columns = [c for c in df.columns if c != v]
     root = F.struct(
@@ -75,19 +78,19 @@ def flatten_all(df: DataFrame, v: str, max_depth: int | None = None) -> DataFram
         F.col(v).alias("value"),
         F.lit(0).alias("level"),
     )
-    nodes = df.select(*columns, root.alias("node"))
-    more = F.size(F.expr(_CHILDREN)) > 0
-    depth = 0
+    frontier, done, depth = df.select(*columns, root.alias("node")), [], 0
     while True:
-        rounds = _LEVELS_PER_ROUND if max_depth is None else max_depth
-        for level in range(depth, depth + rounds):
+        nodes = frontier
+        for level in range(depth, depth + _LEVELS_PER_ROUND):
             nodes = _expand(nodes, columns, level)
-        depth += rounds
-        if max_depth is not None:
-            too_deep = (F.col("node.level") == depth) & more
-            failed = F.raise_error(F.lit(f"a document is deeper than {max_depth} levels")).cast("boolean")
-            nodes = nodes.filter(F.when(too_deep, failed).otherwise(F.lit(True)))
-            break
-        if nodes.filter((F.col("node.level") == depth) & more).isEmpty():
+        depth += _LEVELS_PER_ROUND
+        nodes = stage(nodes, f"nodes-{depth}")
+        deepest = nodes.filter(F.col("node.level") == depth)
+        done.append(nodes.filter((F.col("node.level") > 0) & (F.col("node.level") > depth - _LEVELS_PER_ROUND)))
+        if deepest.filter(F.size(F.expr(_CHILDREN)) > 0).isEmpty():
             break
-    return nodes.filter("node.level > 0").select(*columns, "node.*")
+        frontier = deepest
+    rows = done[0]
+    for more in done[1:]:
+        rows = rows.unionByName(more)
+    return rows.select(*columns, "node.*")

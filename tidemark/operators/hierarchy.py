@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.session import stage
@@ -15,7 +17,6 @@ def connect_by(
     label: str,
     sep: str = "-> ",
     root_col: str | None = None,
-    max_depth: int = 1_000,
 ) -> DataFrame:
     """All rows reached from the start rows by the parent key, with `path` and `level`.
 
@@ -23,10 +24,12 @@ def connect_by(
     of the start row down its branch.
 
     One join per level, and each level is written before the next one reads it, so neither the
-    plan nor the lost work of a failed executor grows with the depth. A row has one parent, so a
-    cycle can only be met where a walk comes back to its own start row; that fails the job, as
-    does a walk deeper than `max_depth`.
+    plan nor the lost work of a failed executor grows with the depth. There is no bound on the
+    depth. A row has one parent, so a cycle can only be met where a walk comes back to its own start
+    row, which fails the job at once; where ids repeat, a walk deeper than there are rows fails it.
     """
+    nodes = stage(nodes, "nodes")
+    rows = nodes.count()
     columns = nodes.columns
     level = nodes.filter(start).select(
         *columns,
@@ -37,7 +40,7 @@ def connect_by(
     )
     level = stage(level, "walk-1")
     levels = [level]
-    for depth in range(2, max_depth + 2):
+    for depth in count(2):
         above = level.select(
             F.col(id_col).alias("_above"),
             F.col("path").alias("_path"),
@@ -59,8 +62,8 @@ def connect_by(
         level = stage(below, f"walk-{depth}")
         if level.isEmpty():
             break
-        if depth > max_depth:
-            raise RuntimeError(f"hierarchy is deeper than {max_depth} levels")
+        if depth > rows:
+            raise RuntimeError("a cycle away from the start rows: more levels than rows")
         levels.append(level)
     walked = levels[0]
     for one in levels[1:]:

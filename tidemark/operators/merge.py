@@ -24,19 +24,44 @@ def single_per_key(source: DataFrame, on: Sequence[str], flag: str) -> DataFrame
     """Mark source rows as present, and fail the job on a second row for a key.
 
     The running row number reads the shuffle and the sort that the join on the same key needs
-    anyway, and it holds no rows back: the second row of a key raises at once.
+    anyway, and it holds no rows back: the second row of a key raises at once. A key with a NULL
+    matches nothing, so any number of rows may have it.
     """
+    known = F.lit(True)
+    for c in on:
+        known = known & F.col(c).isNotNull()
     nth = F.row_number().over(Window.partitionBy(*on).orderBy(*on))
     described = F.concat_ws(", ", *[F.col(c).cast("string") for c in on])
     repeated = F.raise_error(F.concat(F.lit("more than one source row for key "), described))
-    return source.withColumn(flag, F.when(nth > 1, repeated.cast("boolean")).otherwise(F.lit(True)))
+    whole = source.filter(known).withColumn(flag, F.when(nth > 1, repeated.cast("boolean")).otherwise(F.lit(True)))
+    return whole.unionByName(source.filter(~known).withColumn(flag, F.lit(True)))
 
 
 def join_by_key(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Full outer join as aliases `t` and `s`, with presence flags `t._t` and `s._s`."""
+    """All target rows with their source row, and the source rows with a new key.
+
+    The rows are two structs, `t` and `s`, with the presence flags `t._t` and `s._s`. A full outer
+    join has to move both sides; here a small batch is the build side of a left join, and new keys
+    are looked for among the target keys that the batch touches, so the target stays where it is.
+    Which side is small is left to Spark's own size check; with two large sides both are shuffled.
+    """
     left = target.withColumn("_t", F.lit(True)).alias("t")
-    right = single_per_key(source, on, "_s").alias("s")
-    return left.join(right, [F.col(f"t.{c}") == F.col(f"s.{c}") for c in on], "full_outer")
+    right = single_per_key(source, on, "_s")
+    same = [F.col(f"t.{c}") == F.col(f"s.{c}") for c in on]
+    met = left.join(right.alias("s"), same, "left").select(F.struct("t.*").alias("t"), F.struct("s.*").alias("s"))
+    fresh = without(right, target, on).select(
+        F.lit(None).cast(met.schema["t"].dataType).alias("t"), F.struct(*right.columns).alias("s")
+    )
+    return met.unionByName(fresh)
+
+
+def without(source: DataFrame, target: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Source rows whose key the target does not hold; a key with a NULL is never held.
+
+    The target's keys are reduced to those of the batch first, with the batch as the build side.
+    """
+    touched = target.select(*on).join(source.select(*on), list(on), "left_semi").distinct()
+    return source.join(touched, list(on), "left_anti").select(*source.columns)
 
 
 def merge(
@@ -86,7 +111,7 @@ def merge(
 
 def absent(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
     """Source rows whose key the target does not hold: the rows to append."""
-    return source.join(target.select(*on), list(on), "left_anti").select(*target.columns)
+    return without(source, target, on).select(*target.columns)
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -67,6 +67,10 @@ def loyalty_customer(customer: DataFrame, sales_order: DataFrame, supporters: Da
 
 
 def register_loyalty_view(customer: DataFrame, sales_order: DataFrame, supporters: DataFrame, name: str) -> DataFrame:
-    """The same rows as a view: each read computes them from the tables as they are then."""
+    """The same rows as a view over the files that the three tables have now.
+
+    A table read from a path lists its files when it is read, so rows that land later need a new
+    call: `loyalty_customer` over tables read anew is always current.
+    """
     loyalty_customer(customer, sales_order, supporters).createOrReplaceTempView(name)
     return customer.sparkSession.table(name)

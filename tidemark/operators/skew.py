@@ -40,9 +40,16 @@ def salted_join(
     key columns and at least the rows of `left` per key.
     """
     on = list(on)
+    # a NULL key meets nothing: its rows are dealt over all parts by themselves
+    known = F.lit(True)
+    for c in on:
+        known = known & F.col(c).isNotNull()
     hot = F.broadcast(hot_keys(left if counted is None else counted, on, hot_rows or HOT_ROWS))
-    dealt = F.pmod(F.xxhash64(*left.columns), F.col("_parts"))
-    dealt_left = left.join(hot, on, "left").select(*left.columns, F.coalesce(dealt, F.lit(0)).alias("_salt"))
+    # a VARIANT cannot be hashed; the hash of the rest is the same when a lost task runs again
+    hashed = [c for c, kind in left.dtypes if "variant" not in kind]
+    turn = F.xxhash64(*hashed)
+    dealt = F.when(known, F.coalesce(F.pmod(turn, F.col("_parts")), F.lit(0))).otherwise(turn)
+    dealt_left = left.join(hot, on, "left").select(*left.columns, dealt.alias("_salt"))
     last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
     copies = right.join(hot, on, "left").select(
         *right.columns, F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_salt")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.hashing import vault_hash
+from tidemark.operators.merge import without
 from tidemark.session import stage
 
 # The attributes in each record hash, in order.
@@ -95,7 +96,7 @@ def load_hub(hub: DataFrame, staged: DataFrame, hk: str, bk: str) -> DataFrame:
     A batch with several rows of a key gives one, of the earliest load.
     """
     rows = _earliest(staged.select(hk, bk, "load_ts", "rec_src"), [hk])
-    return rows.join(hub.select(hk), hk, "left_anti").select(*hub.columns)
+    return without(rows, hub, [hk]).select(*hub.columns)
 
 
 def load_sat(
@@ -105,15 +106,19 @@ def load_sat(
 
     `any`: a row is new when its key and hash are nowhere in the satellite's history.
     `latest`: a row is new when its hash differs from the key's newest one, so a value that
-    comes back is stored again.
+    comes back is stored again. Several loads in a batch are compared in their order.
     """
     rows = staged.select(hk, "load_ts", *attributes, F.col(hash_col).alias("hash_diff"), "rec_src")
-    rows = _earliest(rows, [hk, "hash_diff"])
     if compare == "any":
-        fresh = rows.join(sat.select(hk, "hash_diff"), [hk, "hash_diff"], "left_anti")
+        fresh = without(_earliest(rows, [hk, "hash_diff"]), sat, [hk, "hash_diff"])
     elif compare == "latest":
-        newest = sat.groupBy(hk).agg(F.max_by("hash_diff", "load_ts").alias("hash_diff"))
-        fresh = rows.join(newest, [hk, "hash_diff"], "left_anti")
+        rows = _earliest(rows, [hk, "hash_diff", "load_ts"])
+        touched = sat.join(rows.select(hk), hk, "left_semi")
+        newest = touched.groupBy(hk).agg(F.max_by("hash_diff", "load_ts").alias("_stored"))
+        before = F.lag("hash_diff").over(Window.partitionBy(hk).orderBy("load_ts", "hash_diff"))
+        compared = rows.withColumn("_before", before).join(newest, hk, "left")
+        last = F.coalesce("_before", "_stored")
+        fresh = compared.filter(last.isNull() | (last != F.col("hash_diff")))
     else:
         raise ValueError(f"unknown comparison: {compare}")
     return fresh.select(*sat.columns)
@@ -122,7 +127,7 @@ def load_sat(
 def load_link(link: DataFrame, staged: DataFrame, lk: str, hks: Sequence[str]) -> DataFrame:
     """New key pairs of a batch: the rows to append to the link."""
     rows = _earliest(staged.select(lk, *hks, "load_ts", "rec_src"), [lk])
-    return rows.join(link.select(lk), lk, "left_anti").select(*link.columns)
+    return without(rows, link, [lk]).select(*link.columns)
 
 
 def load_ref(src: DataFrame) -> DataFrame:

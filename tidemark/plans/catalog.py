@@ -584,7 +584,7 @@ def flatten_count(s: Scenario) -> DataFrame:
 
 
 def _document_nodes(s: Scenario) -> DataFrame:
-    return documents.flatten_all(s.order_documents().select("sales_order_id", "v"), "v", max_depth=4)
+    return documents.flatten_all(s.order_documents().select("sales_order_id", "v"), "v")
 
 
 @query("flatten_recursive")

@@ -530,7 +530,7 @@ _oracle(
 )
 _oracle(
     "json_rejects",
-    "SELECT conv_id, turn, text FROM conversations WHERE text IS NOT NULL AND NOT json_valid(text)",
+    "SELECT conv_id, turn, text FROM conversations WHERE text IS NULL OR NOT json_valid(text)",
 )
 _oracle(
     "json_event_props",

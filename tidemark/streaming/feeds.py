@@ -49,8 +49,10 @@ def loyalty_stream(orders: DataFrame, customer: DataFrame, supporters: DataFrame
     eligible = customer.filter("account_balance_usd > 0 and location_id <> 22").select("customer_id")
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
         ranked = combine_loyalty(top_customers(batch.join(eligible, "customer_id")), supporters)
         write_version(ranked, f"{root}/loyalty", batch_id)
+        batch.unpersist()
 
     _run(totals, each, f"{root}/checkpoint", mode="complete")
     return read_version(spark, f"{root}/loyalty", last_version(spark, f"{root}/loyalty"))
@@ -70,10 +72,12 @@ def scd2_stream(landed: DataFrame, dim: DataFrame, keys: Sequence[str], tracked:
         return read_version(spark, f"{root}/dim", batch_id).select(*dim.columns)
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
         current = VERSIONS.current(dim if batch_id == 0 else written(batch_id - 1))
         loads = [r["load"] for r in batch.select(F.col("load_ts").cast("string").alias("load")).distinct().collect()]
         batches = [batch.filter(F.col("load_ts") == F.lit(load).cast("timestamp_ntz")) for load in sorted(loads)]
         write_version(scd2_loads(current, batches, keys, tracked), f"{root}/dim", batch_id)
+        batch.unpersist()
 
     _run(landed, each, f"{root}/checkpoint")
     everything = all_versions(spark, f"{root}/dim")
