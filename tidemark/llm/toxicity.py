@@ -4,76 +4,127 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.linear import BITS, fit, present, sigmoid
+from tidemark.llm.linear import fit, grams, present, sigmoid
 from tidemark.llm.text import chunks
 
-SIZES = (4, 5)
+SIZES = (6, 7, 8)
+BITS = 22
+SLOTS = 1 << 14  # features that are counted together
 
 
 def _bytes(text) -> bytes:
     return (" " + " ".join(text.lower().split()) + " ").encode() if isinstance(text, str) else b""
 
 
-def train(labelled: DataFrame, sample: int = 6_000, smooth: float = 1.0):
-    """(weights, intercept) from (text, toxic) rows.
+def _ratios(rows: DataFrame, number: list[int], smooth: float, least: float):
+    """Features whose rate differs between the classes by `least` standard errors, and their log-count ratios.
 
-    Log-count ratios are counted over all labelled rows. The linear classifier is fitted on at most
-    `sample` rows of each class's share, those with the least hash of the text, which is the
-    documented bound; null labels are left out and null texts are empty. Without rows of both
-    classes the score is that of the one class, and not toxic without any.
+    A task counts the rows that have a feature in one array for each class and hands it on in packed
+    runs of SLOTS features; runs are added up in two steps, so that no group holds every task's run.
     """
-    rows = labelled.where("toxic IN (0, 1)").select(F.col("text").alias("text"), F.col("toxic").cast("int").alias("toxic"))
+    run_schema = "run int, part int, counts binary"
+
+    def pack(counts):
+        return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(counts, np.int64).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+    def unpack(data):
+        flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1).T
+        return np.ascontiguousarray(flat).view(np.int64).reshape(2, SLOTS)
 
     def count(batches):
-        total = {0: np.zeros(1 << BITS, np.int64), 1: np.zeros(1 << BITS, np.int64)}
-        number = {0: 0, 1: 0}
+        total = np.zeros((2, 1 << BITS), np.int64)
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"]):
-                total[toxic][present(_bytes(text), SIZES)] += 1
-                number[toxic] += 1
-        for toxic in (0, 1):
-            kept = np.flatnonzero(total[toxic])
-            yield pd.DataFrame({"toxic": toxic, "feature": np.append(kept, -1), "n": np.append(total[toxic][kept], number[toxic])})
-
-    counted = rows.mapInPandas(count, "toxic int, feature int, n long").groupBy("toxic", "feature").agg(F.sum("n").alias("n")).toPandas()
-    seen = [np.full(1 << BITS, smooth) for _ in (0, 1)]
-    number = [0, 0]
-    for toxic in (0, 1):
-        own = counted[counted["toxic"] == toxic]
-        real = own[own["feature"] >= 0]
-        seen[toxic][real["feature"].to_numpy()] += real["n"].to_numpy()
-        number[toxic] = int(own[own["feature"] < 0]["n"].sum())
-    ratio = np.log(seen[1] / (number[1] + 2 * smooth)) - np.log(seen[0] / (number[0] + 2 * smooth))
-
-    def features(batches):
+                total[toxic, present(_bytes(text), SIZES, BITS)] += 1
+        for run in range((1 << BITS) // SLOTS):
+            part = total[:, run * SLOTS : (run + 1) * SLOTS]
+            if part.any():
+                yield pd.DataFrame({"run": [run], "part": TaskContext.get().partitionId() // 64, "counts": [pack(part)]})
+
+    def added(frame):
+        return sum(unpack(x) for x in frame["counts"])
+
+    def add(frame):
+        return pd.DataFrame({"run": frame["run"].iloc[:1], "part": frame["part"].iloc[:1], "counts": [pack(added(frame))]})
+
+    def select(frame):
+        seen = added(frame)
+        n = np.array(number, float)[:, None]
+        rate = seen / np.maximum(n, 1)
+        mean = seen.sum(axis=0) / n.sum()
+        error = np.sqrt(mean * (1 - mean) * (1 / np.maximum(n, 1)).sum())
+        ratio = np.log((seen[1] + smooth) / (n[1] + 2 * smooth)) - np.log((seen[0] + smooth) / (n[0] + 2 * smooth))
+        kept = np.flatnonzero((error > 0) & (np.abs(rate[1] - rate[0]) >= least * error))
+        return pd.DataFrame({"feature": kept + int(frame["run"].iloc[0]) * SLOTS, "ratio": ratio[kept]})
+
+    counted = rows.mapInPandas(count, run_schema).groupBy("run", "part").applyInPandas(add, run_schema)
+    return counted.groupBy("run").applyInPandas(select, "feature int, ratio double").orderBy("feature").toArrow()
+
+
+def _known(features: np.ndarray) -> np.ndarray:
+    known = np.zeros(1 << BITS, bool)
+    known[features] = True
+    return known
+
+
+def _held(text, known: np.ndarray) -> np.ndarray:
+    """The distinct features of a text that are known."""
+    x = grams(_bytes(text), SIZES, BITS)
+    return np.unique(x[known[x]])
+
+
+def train(labelled: DataFrame, sample: int = 20_000, smooth: float = 1.0, least: float = 6.0):
+    """(features, weights, intercept) from (text, toxic) rows.
+
+    Log-count ratios are counted over all labelled rows; features whose rate in the two classes
+    differs by less than `least` standard errors say too little and are left out. The linear
+    classifier is fitted on at most `sample` rows, half of each class, those with the least hash of
+    the text, which is the documented bound; null labels are left out and null texts are empty.
+    Without rows of both classes the score is that of the one class, and not toxic without any.
+    """
+    rows = labelled.where("toxic IN (0, 1)").select(F.col("text").alias("text"), F.col("toxic").cast("int").alias("toxic"))
+    found = dict(rows.groupBy("toxic").count().collect())
+    number = [found.get(0, 0), found.get(1, 0)]
+    if not all(number):
+        return np.zeros(0, np.int32), np.zeros(0), 6.0 if number[1] else -6.0
+    table = _ratios(rows, number, smooth, least)
+    features = table["feature"].to_numpy()
+    ratio = np.zeros(1 << BITS)
+    ratio[features] = table["ratio"].to_numpy()
+    held = labelled.sparkSession.sparkContext.broadcast(features)
+
+    def pick(batches):
+        known = _known(held.value)
         for batch in batches:
-            yield pd.DataFrame({"toxic": batch["toxic"], "features": [present(_bytes(t), SIZES) for t in batch["text"]]})
+            yield pd.DataFrame({"toxic": batch["toxic"], "rank": batch["rank"], "features": [_held(t, known).astype(np.int32).tobytes() for t in batch["text"]]})
 
-    half = sample // 2
-    picked = None
-    for toxic in (0, 1):
-        part = rows.where(F.col("toxic") == toxic).orderBy(F.xxhash64("text"), "text").limit(half)
-        picked = part if picked is None else picked.union(part)
-    table = picked.mapInPandas(features, "toxic int, features array<int>").toPandas()
-    return fit([np.asarray(x, np.int64) for x in table["features"]], table["toxic"].to_numpy(), ratio)
+    drawn = rows.select("text", "toxic", F.xxhash64("text").alias("rank")).mapInPandas(pick, "toxic int, rank long, features binary")
+    halves = [drawn.where(F.col("toxic") == toxic).orderBy("rank", "features").limit(sample // 2) for toxic in (0, 1)]
+    picked = halves[0].union(halves[1]).toArrow()
+    weights, intercept = fit([np.frombuffer(x.as_py(), np.int32) for x in picked["features"]], picked["toxic"].to_numpy(), ratio)
+    return features, weights[features], intercept
 
 
 def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(id, score, kept columns) per row; null and empty texts get the score of no features."""
-    weights, intercept = model
-    held = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float64))
+    features, weights, intercept = model
+    held = docs.sparkSession.sparkContext.broadcast((features, weights))
     keep = keep or []
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{c}") for c in keep])
     kinds = {f.name: f.dataType.simpleString() for f in named.schema.fields}
     schema = ", ".join([f"id {kinds['id']}", "score double", *([f"text {kinds['text']}"] if keep else []), *[f"keep_{c} {kinds['keep_' + c]}" for c in keep]])
 
     def run(batches):
-        w = held.value
+        w = np.zeros(1 << BITS)
+        w[held.value[0]] = held.value[1]
+        known = _known(held.value[0])
         for batch in chunks(batches):
-            out = pd.DataFrame({"id": batch["id"], "score": [sigmoid(w[present(_bytes(t), SIZES)].sum() + intercept) for t in batch["text"]]})
+            out = pd.DataFrame({"id": batch["id"], "score": [sigmoid(w[_held(t, known)].sum() + intercept) for t in batch["text"]]})
             if keep:
                 out["text"] = batch["text"]
                 for c in keep:
