@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.linear import fit, grams, present, sigmoid
 from tidemark.llm.text import chunks
+from tidemark.session import stage
 
 SIZES = (6, 7, 8)
 BITS = 22
@@ -88,6 +89,7 @@ def train(labelled: DataFrame, sample: int = 20_000, smooth: float = 1.0, least:
     Without rows of both classes the score is that of the one class, and not toxic without any.
     """
     rows = labelled.where("toxic IN (0, 1)").select(F.col("text").alias("text"), F.col("toxic").cast("int").alias("toxic"))
+    rows = stage(rows, "toxic-rows")  # read three times; a join would shuffle its texts each time
     found = dict(rows.groupBy("toxic").count().collect())
     number = [found.get(0, 0), found.get(1, 0)]
     if not all(number):
