@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import stage
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Phrases whose every word must stand: (label, text).
@@ -33,7 +35,7 @@ def _grams(spark, phrases, templates) -> DataFrame:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, templates=TEMPLATES, share: float = 0.8, drift: int = 3) -> DataFrame:
-    """Per row: id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
+    """Per distinct id and text: id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans, copies.
 
     Every pair of neighbouring words is joined by its hash, then word for word, with the places of
     the same pair in the templates (a list of fixed size, broadcast). Each match votes for the
@@ -41,8 +43,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     template at most `drift` apart are merged, and a span is verified when its words hold at least
     `share` of the template's places within a stretch of at most the template's size plus `drift`
     for every merged diagonal. Only matches and one row per document are shuffled, keyed by id and
-    text, so rows that repeat an id keep their own results; equal rows repeat the same result. Null
-    and empty texts have no words, no labels and score 0.
+    text, so rows that repeat an id keep their own results; `copies` counts equal rows. The votes
+    are written once, so that the texts are read and split in one pass. Null and empty texts have no
+    words, no labels and score 0.
     """
     spark = docs.sparkSession
     grams = F.broadcast(_grams(spark, phrases, templates).withColumn("th", F.xxhash64("ta", "tb")))
@@ -55,10 +58,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     met = rows.join(grams, (F.xxhash64("a", "b") == F.col("th")) & (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left")
     met = met.where("template IS NOT NULL OR at IS NULL OR at = n_words - 1")
     key = ["id", "own"]
-    votes = met.groupBy(*key, "n_words", "template", "label", "exact", "size", (F.col("at") - F.col("place")).alias("diagonal")).agg(F.collect_set("place").alias("places"))
-    base = votes.where("template IS NULL OR exact").select(*key, "n_words", "label", F.when(F.size("places") == F.col("size") - 1, F.col("diagonal")).cast("long").alias("start"), F.col("size"))
+    votes = met.groupBy(*key, "n_words", "template", "label", "exact", "size", (F.col("at") - F.col("place")).alias("diagonal")).agg(F.collect_set("place").alias("places"), F.count("*").alias("met"))
+    votes = stage(votes, "license-votes")
+    base = votes.where("template IS NULL OR exact").select(*key, "n_words", "label", F.when(F.size("places") == F.col("size") - 1, F.col("diagonal")).cast("long").alias("start"), F.col("size"), F.when(F.col("template").isNull(), F.col("met")).alias("met"))
     base = base.groupBy(*key, "n_words").agg(
-        F.count("start").alias("n_base"), F.min("start").alias("first_word"), F.max("start").alias("last_word"),
+        F.sum("met").alias("copies"), F.count("start").alias("n_base"), F.min("start").alias("first_word"), F.max("start").alias("last_word"),
         F.collect_set(F.when(F.col("start").isNotNull(), F.col("label"))).alias("base"),
         F.collect_list(F.when(F.col("start").isNotNull(), F.struct("label", "start", (F.col("start") + F.col("size")).alias("stop"), F.lit(1.0).alias("share")))).alias("base_spans"),
     )
@@ -79,13 +83,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
         F.array_join(F.array_sort(F.array_union("base", F.coalesce("more", none))), ",").alias("labels"),
         F.greatest(F.when(F.col("n_base") > 0, 1.0).otherwise(0.0), F.least(F.coalesce("best", F.lit(0.0)), F.lit(1.0))).alias("score"),
         F.when(F.col("more_spans").isNull(), F.col("base_spans")).otherwise(F.concat("base_spans", "more_spans")).alias("spans"),
+        "copies",
     )
     return result
 
 
 def per_row(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """`scan` with one row for each input row, also where rows repeat."""
-    own = docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("own")).groupBy("id", "own").agg(F.count("*").alias("copies"))
     found = scan(docs, id_col, text_col, **options)
-    out = found.alias("x").join(own.alias("y"), F.col("x.id").eqNullSafe(F.col("y.id")) & (F.col("x.own") == F.col("y.own")))
-    return out.select("x.*", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy", "own")
+    return found.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).drop("copy", "copies", "own")
