@@ -71,7 +71,7 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    writer = df.write
+    writer = df.write.option("compression", "zstd")  # staged tables are written once and read a few times
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
