@@ -38,6 +38,17 @@ def test_surrogates_are_consistent_and_distinct(spark):
     assert re.search(r"card \d{16} ", got[1].text) and "4387513035237269" not in got[1].text
 
 
+def test_marks_in_texts_and_clashing_names(spark):
+    texts = ["\u0001 a@b.example.com\u0001\u0003\u0001\u0002 c@d.example.com", "\u0001\u0003", "1@x.example.com+1 755 555 9729z@y.example.com"]
+    docs = spark.createDataFrame([(t, i, "p", "m") for i, t in enumerate(texts)], "text string, row int, parts string, made string")
+    got = {r.row: r for r in pii.replace(docs, "k").collect()}
+    mail = r"[a-z0-9]+@mail\d{4}\.example\.org"
+    assert re.fullmatch(rf"\x01 {mail}\x01\x03\x01\x02 {mail}", got[0].text) and got[0].n_pii == 2
+    assert got[1].text == texts[1] and got[1].n_pii == 0 and got[1].parts == "p" and got[1].made == "m"
+    assert re.fullmatch(rf"{mail}\+1 \d{{3}} \d{{3}} \d{{4}}{mail}", got[2].text) and got[2].n_pii == 3
+    assert pii.replace(docs.select("text"), "k").columns == ["text", "n_pii"]
+
+
 def test_rules_of_urls(spark):
     cases = {
         "https://A.example.net/en/1?x": ("a.example.net", "/en/1", "example.net/en/", "allow"),

@@ -17,7 +17,12 @@ SSN = r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)"
 #: Titles that go before a name, by gender.
 FEMALE, MALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Г-жа", "Mr|Herr|Monsieur|Señor|Sr|Г-н"
 NAME = rf"(?:\b(?:{FEMALE}|{MALE})\.?) \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
-ALL = "|".join(["(?:" + p.replace(r"([ -]?)", r"(?:[ -]?)").replace(r"\1", "[ -]?") + ")" for p in (EMAIL, SECRET, PHONE, CARD, IP, SSN, NAME)])
+#: An address starts where its run of characters does, or after the entity before: no start within a run is tried.
+_EMAIL_START = r"(?:(?<![A-Za-z0-9._%+-])|\G)"
+_PATTERNS = (_EMAIL_START + EMAIL.replace("+@", "++@"), SECRET, PHONE, CARD, IP, SSN, NAME)
+ALL = "|".join(["(?:" + p.replace(r"([ -]?)", r"(?:[ -]?)").replace(r"\1", "[ -]?") + ")" for p in _PATTERNS])
+#: Mark around entities, and what stands for its first character in a text.
+_MARK, _HEAD, _ESCAPED = "\u0001\u0003", "\u0001", "\u0001\u0002"
 #: Syllables of surrogate names, by script.
 LATIN = ("ba", "de", "fi", "go", "ku", "la", "me", "ni", "po", "ra", "se", "ti", "vo", "ya", "ze", "lu")
 CYRILLIC = ("ба", "де", "фи", "го", "ку", "ла", "ме", "ни", "по", "ра", "се", "ти", "во", "ра", "зе", "лу")
@@ -96,6 +101,7 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
     fixed, todo, attempt = None, real, 0
     while True:
         drawn = todo.withColumn("made", _surrogate(F.col("kind"), F.col("canon"), key, attempt)).withColumn("made_canon", F.when(F.col("kind") == "name", F.concat(F.substring("canon", 1, 2), F.lower("made"))).otherwise(F.col("made")))
+        drawn = stage(drawn, "pii-drawn")
         first = drawn.groupBy("kind", "made").agg(F.min("canon").alias("canon"))
         good = drawn.join(first, ["kind", "made", "canon"], "left_semi").join(real.select("kind", F.col("canon").alias("made_canon")), ["kind", "made_canon"], "left_anti")
         if fixed is not None:
@@ -112,23 +118,33 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
     return out.select("value", "kind", _rendered(F.col("kind"), F.col("value"), F.col("made")).alias("surrogate"))
 
 
-def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _parts(text):
+    """A text split at its entities in one pass: entities have the odd places."""
+    marked = F.regexp_replace(F.replace(text, F.lit(_HEAD), F.lit(_ESCAPED)), f"({ALL})", f"{_MARK}$1{_MARK}")
+    return F.split(marked, _MARK, -1)
+
+
+def replace(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """`docs` with entities of the text column replaced, and n_pii, how many were.
 
-    Texts are split at their entities; only places and values are shuffled, and of the texts only
-    those with entities. Null texts stay null, texts without entities stay as they are; rows are told
-    apart by id and text, so repeated ids and rows are all kept. Other columns pass through.
+    Texts are split at their entities once and written with a number for each row; only places and
+    values are shuffled, and of the texts only those with entities. Null texts stay null, texts
+    without entities stay as they are; repeated ids and rows are all kept. Other columns pass through.
     """
     columns = docs.columns
-    ents = F.regexp_extract_all(F.col(text_col), F.lit(ALL), 0)
-    marked = docs.withColumn("__ents", ents)
-    plain = marked.where(F.coalesce(F.size("__ents"), F.lit(0)) <= 0).select(*columns, F.lit(0).cast("long").alias("n_pii"))
-    with_ents = marked.where(F.size("__ents") > 0).withColumn("__own", F.sha2(F.concat_ws("\u0001", F.coalesce(F.col(id_col).cast("string"), F.lit("")), text_col), 256))
-    places = stage(with_ents.select("__own", F.posexplode("__ents").alias("at", "value")).distinct(), "pii-places")
-    table = surrogates(places, key)
-    made = places.join(table, "value").groupBy("__own").agg(F.sort_array(F.collect_list(F.struct("at", "surrogate"))).alias("__made"))
-    pieces = F.split(F.col(text_col), ALL, -1)
-    parts = F.zip_with(pieces, F.col("__made.surrogate"), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    changed = with_ents.join(made, "__own")
-    out = changed.select(*[F.array_join(parts, "").alias(c) if c == text_col else F.col(c) for c in columns], F.size("__ents").cast("long").alias("n_pii"))
-    return plain.unionByName(out)
+    others = [c for c in columns if c != text_col]
+    carried = F.struct(*others) if others else F.lit(None).cast("string")
+    split = stage(docs.select(F.monotonically_increasing_id().alias("row"), carried.alias("carried"), _parts(F.col(text_col)).alias("parts")), "pii-split")
+    plain = split.where(F.coalesce(F.size("parts"), F.lit(0)) <= 1)
+    with_ents = split.where(F.size("parts") > 1)
+    places = with_ents.select("row", F.posexplode("parts").alias("at", "value")).where("at % 2 = 1")
+    made = places.join(surrogates(places, key), "value").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "surrogate"))).alias("made"))
+    whole = F.transform("parts", lambda part, i: F.when(i % 2 == 1, F.get("made.surrogate", ((i - 1) / 2).cast("int"))).otherwise(part))
+    changed = with_ents.join(made, "row")
+
+    def rows(part, texts):
+        text = F.replace(F.array_join(texts, ""), F.lit(_ESCAPED), F.lit(_HEAD))
+        n = F.greatest(F.lit(0), F.floor((F.size("parts") - 1) / 2)).cast("long")
+        return part.select(*[text.alias(c) if c == text_col else F.col("carried").getField(c).alias(c) for c in columns], F.coalesce(n, F.lit(0).cast("long")).alias("n_pii"))
+
+    return rows(plain, F.col("parts")).unionByName(rows(changed, whole))
