@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import stage
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what stands between words
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Phrases whose every word must stand: (label, text).
 PHRASES = (("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license"))
@@ -50,7 +50,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     spark = docs.sparkSession
     grams = F.broadcast(_grams(spark, phrases, templates).withColumn("th", F.xxhash64("ta", "tb")))
     low = F.translate(F.coalesce(F.col(text_col), F.lit("")), _UPPER, _LOWER)
-    named = docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("own"), F.regexp_extract_all(low, F.lit(WORD), 0).alias("w"))
+    named = docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("own"), F.array_remove(F.split(low, BETWEEN, -1), "").alias("w"))
     named = named.withColumn("n_words", F.size("w").cast("long"))
     # the last word has no pair: its row (or the only one of a text without words) carries the document
     pairs = F.arrays_zip(F.col("w").alias("a"), F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))).alias("b"))
