@@ -45,9 +45,13 @@ def _canon(kind, v):
     return F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(v, r"\D", "")).when(kind == "name", F.concat(gender, name)).otherwise(F.lower(v))
 
 
-def _surrogate(kind, canon, key: str, attempt: int):
-    """A replacement of the canonical form, of the same type, from a keyed hash."""
-    stream = F.concat(*[F.sha2(F.concat_ws("\u0001", F.lit(key), F.lit(f"{attempt}-{part}"), kind, canon), 512) for part in range(2)])
+def _stream(kind, canon, key: str, attempt: int):
+    """128 bytes of a keyed hash, as hex."""
+    return F.concat(*[F.sha2(F.concat_ws("\u0001", F.lit(key), F.lit(f"{attempt}-{part}"), kind, canon), 512) for part in range(2)])
+
+
+def _surrogate(kind, canon, stream):
+    """A replacement of the canonical form, of the same type, from the bytes of `stream`."""
     byte = lambda i: F.conv(F.substring(stream, (i % 128) * 2 + 1, 2), 16, 10).cast("int")
     pick = lambda alphabet, i: F.substring(F.lit(alphabet), byte(i) % len(alphabet) + 1, 1)
 
@@ -100,7 +104,8 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
     real = stage(values.select("kind", "canon").distinct(), "pii-entities")
     fixed, todo, attempt = None, real, 0
     while True:
-        drawn = todo.withColumn("made", _surrogate(F.col("kind"), F.col("canon"), key, attempt)).withColumn("made_canon", F.when(F.col("kind") == "name", F.concat(F.substring("canon", 1, 2), F.lower("made"))).otherwise(F.col("made")))
+        drawn = todo.withColumn("stream", _stream(F.col("kind"), F.col("canon"), key, attempt))
+        drawn = drawn.withColumn("made", _surrogate(F.col("kind"), F.col("canon"), F.col("stream"))).drop("stream").withColumn("made_canon", F.when(F.col("kind") == "name", F.concat(F.substring("canon", 1, 2), F.lower("made"))).otherwise(F.col("made")))
         drawn = stage(drawn, "pii-drawn")
         first = drawn.groupBy("kind", "made").agg(F.min("canon").alias("canon"))
         good = drawn.join(first, ["kind", "made", "canon"], "left_semi").join(real.select("kind", F.col("canon").alias("made_canon")), ["kind", "made_canon"], "left_anti")
@@ -139,7 +144,8 @@ def replace(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     with_ents = split.where(F.size("parts") > 1)
     places = with_ents.select("row", F.posexplode("parts").alias("at", "value")).where("at % 2 = 1")
     made = places.join(surrogates(places, key), "value").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "surrogate"))).alias("made"))
-    whole = F.transform("parts", lambda part, i: F.when(i % 2 == 1, F.get("made.surrogate", ((i - 1) / 2).cast("int"))).otherwise(part))
+    made = made.select("row", F.col("made.surrogate").alias("made"))
+    whole = F.transform("parts", lambda part, i: F.when(i % 2 == 1, F.get("made", F.shiftright(i, 1))).otherwise(part))
     changed = with_ents.join(made, "row")
 
     def rows(part, texts):
