@@ -16,11 +16,13 @@ IP = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?![\d]|\.\d)"
 SSN = r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)"
 #: Titles that go before a name, by gender.
 FEMALE, MALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Г-жа", "Mr|Herr|Monsieur|Señor|Sr|Г-н"
-NAME = rf"(?:\b(?:{FEMALE}|{MALE})\.?) \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
+NAME = rf"(?:(?<![\p{{L}}\p{{N}}_])(?:{FEMALE}|{MALE})\.?) \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
 #: An address starts where its run of characters does, or after the entity before: no start within a run is tried.
 _EMAIL_START = r"(?:(?<![A-Za-z0-9._%+-])|\G)"
 _PATTERNS = (_EMAIL_START + EMAIL.replace("+@", "++@"), SECRET, PHONE, CARD, IP, SSN, NAME)
 ALL = "|".join(["(?:" + p.replace(r"([ -]?)", r"(?:[ -]?)").replace(r"\1", "[ -]?") + ")" for p in _PATTERNS])
+#: Nothing starts after a letter of A to Z but numbers, and what stands next to the entity before; tried first, as it fails fast.
+_START = r"(?:(?<![A-Za-z])|(?=[+0-9])|\G)"
 #: Mark around entities, and what stands for its first character in a text.
 _MARK, _HEAD, _ESCAPED = "\u0001\u0003", "\u0001", "\u0001\u0002"
 #: Syllables of surrogate names, by script.
@@ -41,7 +43,7 @@ def _kind(v):
 def _canon(kind, v):
     """What the spellings of one entity have in common."""
     name = F.lower(F.regexp_replace(v, r"^\S+ ", ""))
-    gender = F.when(v.rlike(rf"^(?:{FEMALE})\b"), "f ").otherwise("m ")
+    gender = F.when(v.rlike(rf"^(?:{FEMALE})(?!\p{{L}})"), "f ").otherwise("m ")
     return F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(v, r"\D", "")).when(kind == "name", F.concat(gender, name)).otherwise(F.lower(v))
 
 
@@ -125,7 +127,7 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
 
 def _parts(text):
     """A text split at its entities in one pass: entities have the odd places."""
-    marked = F.regexp_replace(F.replace(text, F.lit(_HEAD), F.lit(_ESCAPED)), f"({ALL})", f"{_MARK}$1{_MARK}")
+    marked = F.regexp_replace(F.replace(text, F.lit(_HEAD), F.lit(_ESCAPED)), f"{_START}({ALL})", f"{_MARK}$1{_MARK}")
     return F.split(marked, _MARK, -1)
 
 
