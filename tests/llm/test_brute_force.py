@@ -11,7 +11,7 @@ import public_tokenizers as P
 import tiktoken
 import xxhash
 
-from tidemark.llm import catalog
+from tidemark.llm import catalog, neighbours
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BLANK = re.compile(r"[^\x20\x09-\x0D]+")
@@ -155,6 +155,39 @@ def test_embeddings(spark):
     assert {i: (r.n_links, r.component_id) for i, r in got.items()} == {i: (int(n), want[i]) for i, n in zip(ids, near.sum(axis=1))}
 
 
+def planted_pairs(n, pairs, low, high):
+    """n unit vectors; number i and pairs + i have a cosine between low and high, no others are near."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((n, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    cos = rng.uniform(low, high, (pairs, 1))
+    off = rng.standard_normal((pairs, 64))
+    off -= (off * x[:pairs]).sum(axis=1)[:, None] * x[:pairs]
+    x[pairs : 2 * pairs] = cos * x[:pairs] + np.sqrt(1 - cos * cos) * off / np.linalg.norm(off, axis=1)[:, None]
+    return x
+
+
+def test_embedding_recall(spark):
+    n, pairs = 20000, 2000
+    x = planted_pairs(n, pairs, 0.9301, 0.95)
+    near = {(b, a) for at in range(0, n, 2000) for a, b in zip(*(y + z for y, z in zip(np.nonzero(x[at : at + 2000] @ x.T >= 0.93), (at, 0)))) if a < b}
+    assert len(near) == pairs
+    table = spark.createDataFrame(list(zip(range(n), x.tolist())), "v long, embedding array<double>").selectExpr("v", "1 AS label", "embedding")
+    # a narrow window stands for a label of many more vectors
+    got = {(r.a, r.b) for r in neighbours.links(table, window=2).collect()}
+    assert got <= near and len(got) >= 0.985 * pairs
+
+
+def test_passes_follow_the_size():
+    assert [neighbours.passes_for(n, 0.93, 24, 0.99) for n in (0, 24, 1000)] == [16, 16, 16]
+    x = planted_pairs(200000, 10000, 0.9301, 0.9301)
+    hit = np.zeros(10000, bool)
+    for key in neighbours.keys_of(x, neighbours.passes_for(len(x), 0.93, 24, 0.99)):
+        place = np.argsort(np.argsort(key, kind="stable"))
+        hit |= abs(place[:10000] - place[10000:20000]) <= 24
+    assert hit.mean() >= 0.985
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}

@@ -11,6 +11,8 @@ from tidemark.llm.components import components
 from tidemark.session import stage
 
 BLOCK = 512
+#: Signs in a key, and the least number of passes.
+BITS, PASSES = 62, 16
 
 
 def _unit(frame: pd.Series) -> np.ndarray:
@@ -18,35 +20,66 @@ def _unit(frame: pd.Series) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
-def links(vectors: DataFrame, floor: float = 0.93, passes: int = 16, window: int = 24, seed: int = 7) -> DataFrame:
+def passes_for(n: int, floor: float, window: int, recall: float) -> int:
+    """Passes after which a pair at `floor` among `n` vectors has met with probability `recall`.
+
+    The signs of a pair agree with 1 - angle / pi each; about log2(n / window) leading signs that
+    agree bring it into one window. A quarter of a sign is added, and PASSES are the least.
+    """
+    if n <= window:
+        return PASSES
+    met = (1 - np.arccos(floor) / np.pi) ** (np.log2(n / window) + 0.25)
+    return max(PASSES, int(np.ceil(np.log1p(-recall) / np.log1p(-met))))
+
+
+def keys_of(unit: np.ndarray, passes: int, seed: int = 7):
+    """The key of every vector for each pass: the signs of BITS random projections as one number."""
+    rng = np.random.default_rng([seed, unit.shape[1]])
+    for _ in range(passes):
+        signs = unit @ rng.standard_normal((unit.shape[1], BITS)) > 0
+        yield signs @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
+
+
+def links(vectors: DataFrame, floor: float = 0.93, recall: float = 0.99, window: int = 24, seed: int = 7) -> DataFrame:
     """Verified links (a, b) of `vectors` (v, label, embedding), from every pass.
 
-    A pass orders the vectors of a label by the concatenated signs of 32 random projections and
-    compares each with its next `window` neighbours. The order is a range partitioning; neighbours
+    A pass orders the vectors of a label by the concatenated signs of BITS random projections and
+    compares each with its next `window` neighbours. The number of passes follows from the vectors
+    of the label, so that a pair at `floor` is met with probability `recall` at any size, as far as
+    the directions of the label are spread evenly. The order is a range partitioning; neighbours
     that a partition boundary separates in one pass meet in the others.
     """
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    label = vectors.schema["label"].dataType.simpleString()
+    # labels that need more than the least number of passes: few, as each has many vectors
+    many = vectors.groupBy("label").count().where(F.col("count") > window)
+    rounds = F.udf(lambda n: passes_for(n, floor, window, recall), "int")(F.col("count"))
+    many = many.select(F.col("label").alias("big"), rounds.alias("passes")).where(F.col("passes") > PASSES)
+    vectors = vectors.join(F.broadcast(many), F.col("label") == F.col("big"), "left").select("v", "label", "embedding", F.coalesce("passes", F.lit(PASSES)).alias("passes"))
+
     def keys(batches):
         for batch in batches:
-            unit = _unit(batch["embedding"])
-            rng = np.random.default_rng([seed, unit.shape[1]])
-            for p in range(passes):
-                signs = unit @ rng.standard_normal((unit.shape[1], 32)) > 0
-                yield batch.assign(turn=p, key=signs @ (1 << np.arange(31, -1, -1, dtype=np.int64)), n=unit.shape[1])
+            if not len(batch):
+                continue
+            unit, turns = _unit(batch["embedding"]), batch["passes"].to_numpy()
+            batch = batch.drop(columns="passes")
+            for p, key in enumerate(keys_of(unit, turns.max(), seed)):
+                yield batch.assign(turn=p, key=key, n=unit.shape[1])[turns > p]
 
     def compare(batches):
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        rows = pd.concat(frames, ignore_index=True)
-        for (_, _, _), part in rows.groupby(["turn", "label", "n"], sort=False):
-            unit, v = _unit(part["embedding"]), part["v"].to_numpy()
-            for step in range(1, min(window, len(v) - 1) + 1):
-                hit = np.flatnonzero(np.einsum("ij,ij->i", unit[:-step], unit[step:]) >= floor)
-                if len(hit):
-                    yield pd.DataFrame({"a": v[hit], "b": v[hit + step]})
+        # the last `window` rows stay for the next batch, so a task holds no more than that and a batch
+        tail = None
+        for batch in batches:
+            old = 0 if tail is None else len(tail)
+            rows = batch if tail is None else pd.concat([tail, batch], ignore_index=True)
+            for _, part in rows.groupby(["turn", "label", "n"], sort=False):
+                unit, v, new = _unit(part["embedding"]), part["v"].to_numpy(), part.index.to_numpy() >= old
+                for step in range(1, min(window, len(v) - 1) + 1):
+                    hit = np.flatnonzero((np.einsum("ij,ij->i", unit[:-step], unit[step:]) >= floor) & new[step:])
+                    if len(hit):
+                        yield pd.DataFrame({"a": v[hit], "b": v[hit + step]})
+            tail = rows.tail(window)
 
-    kind = vectors.schema["embedding"].dataType.simpleString()
-    label = vectors.schema["label"].dataType.simpleString()
     keyed = vectors.mapInPandas(keys, f"v long, label {label}, embedding {kind}, turn int, key long, n int")
     ordered = keyed.repartitionByRange("turn", "label", "n", "key", "v").sortWithinPartitions("turn", "label", "n", "key", "v")
     return ordered.mapInPandas(compare, "a long, b long").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -57,7 +90,8 @@ def near(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
 
     Equal vectors of a label are compared once and count as links of one another. The passes link
     vectors into components; members of a component are then compared in blocks of BLOCK by BLOCK,
-    which counts the links of dense groups that are wider than a window. Vectors that are null,
+    which counts the links of dense groups that are wider than a window, but only as far as the
+    passes linked them: a pair without any chain of found links counts nothing. Vectors that are null,
     zero or not finite, and rows with a null label, link with nothing; vectors of different length
     neither. A repeated id counts each of its rows; a null id names no component.
     """
