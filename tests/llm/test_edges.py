@@ -38,6 +38,21 @@ def test_surrogates_are_consistent_and_distinct(spark):
     assert re.search(r"card \d{16} ", got[1].text) and "4387513035237269" not in got[1].text
 
 
+def test_secrets_of_any_case_and_length(spark):
+    lower, long = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b", "0123456789abcdef" * 8
+    mixed = "".join(c.upper() if i % 3 else c for i, c in enumerate(lower))
+    texts = [f'TOKEN = "{v}"!!' for v in (lower, lower.upper(), mixed, long, long.upper(), long * 3 + "a")] + [f"0x{lower} 0X{lower.upper()}L key{lower[1:]}", "abcdef" * 5 + "a defaced"]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r for r in pii.replace(docs, "k").collect()}
+    made = [re.fullmatch(r'TOKEN = "([0-9A-Fa-f]+)"!!', got[i].text)[1] for i in range(6)]
+    shape = lambda v: re.sub("[a-f]", "a", re.sub("[A-F]", "A", re.sub("[0-9]", "0", v)))
+    for i, v in enumerate((lower, lower.upper(), mixed, long, long.upper(), long * 3 + "a")):
+        assert got[i].n_pii == 1 and shape(made[i]) == shape(v) and made[i].lower() != v.lower()
+    assert len({m.lower() for m in made[:3]}) == len({m.lower() for m in made[3:5]}) == 1 and made[5][:128].lower() != made[3]
+    assert got[6].n_pii == 3 and got[6].text.startswith(f"0x{made[0]} 0X{made[1]}L key") and lower[1:] not in got[6].text
+    assert got[7].n_pii == 0 and got[7].text == texts[7]
+
+
 def test_marks_in_texts_and_clashing_names(spark):
     texts = ["\u0001 a@b.example.com\u0001\u0003\u0001\u0002 c@d.example.com", "\u0001\u0003", "1@x.example.com+1 755 555 9729z@y.example.com"]
     docs = spark.createDataFrame([(t, i, "p", "m") for i, t in enumerate(texts)], "text string, row int, parts string, made string")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.session import stage
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-SECRET = r"(?<![A-Za-z0-9])[0-9a-f]{32,64}(?![A-Za-z0-9])"
+#: Also next to other letters, such as the x of 0x.
+SECRET = r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{32,}+"
 PHONE = r"\+\d{1,3} ?\(?\d{2,4}\)?[ -]?\d{3,4}[ -]?\d{3,4}(?!\d)"
 CARD = r"(?<![0-9A-Za-z])\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?![0-9A-Za-z])"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
@@ -21,8 +22,8 @@ NAME = rf"(?:(?<![\p{{L}}\p{{N}}_])(?:{FEMALE}|{MALE})\.?) \p{{Lu}}\p{{L}}+(?: \
 _EMAIL_START = r"(?:(?<![A-Za-z0-9._%+-])|\G)"
 _PATTERNS = (_EMAIL_START + EMAIL.replace("+@", "++@"), SECRET, PHONE, CARD, IP, SSN, NAME)
 ALL = "|".join(["(?:" + p.replace(r"([ -]?)", r"(?:[ -]?)").replace(r"\1", "[ -]?") + ")" for p in _PATTERNS])
-#: Nothing starts after a letter of A to Z but numbers, and what stands next to the entity before; tried first, as it fails fast.
-_START = r"(?:(?<![A-Za-z])|(?=[+0-9])|\G)"
+#: Nothing starts after a letter of A to Z but numbers, secrets, and what stands next to the entity before; tried first, as it fails fast.
+_START = r"(?:(?<![A-Za-z])|(?=[+0-9])|(?<=[G-Zg-z])(?=[A-Fa-f][0-9A-Fa-f]{31})|\G)"
 #: Mark around entities, and what stands for its first character in a text.
 _MARK, _HEAD, _ESCAPED = "\u0001\u0003", "\u0001", "\u0001\u0002"
 #: Syllables of surrogate names, by script.
@@ -35,7 +36,7 @@ ENDINGS = {"f": ("na", "на"), "m": ("n", "н")}
 def _kind(v):
     whole = lambda p: v.rlike(f"^(?:{p})$")
     return (
-        F.when(v.contains("@"), "email").when(whole("[0-9a-f]{32,64}"), "secret").when(v.startswith("+"), "phone")
+        F.when(v.contains("@"), "email").when(whole("[0-9A-Fa-f]{32,}"), "secret").when(v.startswith("+"), "phone")
         .when(whole(r"\d{3}-\d{2}-\d{4}"), "ssn").when(whole(r"[\d -]+"), "card").when(whole(r"[\d.]+"), "ip").otherwise("name")
     )
 
@@ -89,10 +90,11 @@ def _surrogate(kind, canon, stream):
 
 
 def _rendered(kind, v, made):
-    """The surrogate in the spelling of one value: its separators, its title."""
+    """The surrogate in the spelling of one value: its separators, its title, its capitals."""
     nth = lambda i: F.length(F.regexp_replace(F.substring(v, F.lit(1), i + 1), r"\D", ""))
     digits = F.array_join(F.transform(F.split(v, ""), lambda c, i: F.when(c.rlike("[0-9]"), F.substring(made, nth(i), F.lit(1))).otherwise(c)), "")
-    return F.when(kind.isin("phone", "card", "ssn"), digits).when(kind == "name", F.concat(F.regexp_extract(v, r"^(\S+ )", 1), made)).otherwise(made)
+    capitals = F.array_join(F.zip_with(F.split(v, ""), F.split(made, ""), lambda c, m: F.when(c.rlike("[A-F]"), F.upper(m)).otherwise(m)), "")
+    return F.when(kind.isin("phone", "card", "ssn"), digits).when(kind == "secret", capitals).when(kind == "name", F.concat(F.regexp_extract(v, r"^(\S+ )", 1), made)).otherwise(made)
 
 
 def surrogates(found: DataFrame, key: str) -> DataFrame:
