@@ -53,6 +53,18 @@ def test_secrets_of_any_case_and_length(spark):
     assert got[7].n_pii == 0 and got[7].text == texts[7]
 
 
+def test_more_entities_than_the_first_space(spark):
+    assert len(set(pii.LATIN)) == len(set(pii.CYRILLIC)) == 16
+    letters = lambda alphabet, i: "".join(alphabet[i // 12**k % 12] for k in range(5))
+    names = [f"Mr. X{letters('abcdefghijkl', i)}" for i in range(70000)] + [f"Г-н Ж{letters('абвгдежзийкл', i)}" for i in range(70000)]
+    mails = [f"{'_' * (i % 9 + 1)}@x{i}.example.com" for i in range(100000)]
+    found = spark.createDataFrame([(v,) for v in names + mails], "value string")
+    made = pii.surrogates(found, "k")
+    assert made.count() == made.select("kind", "surrogate").distinct().count() == 240000
+    assert made.join(found, made.surrogate == found.value, "left_semi").isEmpty()
+    assert made.where("kind = 'name' AND length(surrogate) > 30").isEmpty()
+
+
 def test_marks_in_texts_and_clashing_names(spark):
     texts = ["\u0001 a@b.example.com\u0001\u0003\u0001\u0002 c@d.example.com", "\u0001\u0003", "1@x.example.com+1 755 555 9729z@y.example.com"]
     docs = spark.createDataFrame([(t, i, "p", "m") for i, t in enumerate(texts)], "text string, row int, parts string, made string")

@@ -28,7 +28,9 @@ _START = r"(?:(?<![A-Za-z])|(?=[+0-9])|(?<=[G-Zg-z])(?=[A-Fa-f][0-9A-Fa-f]{31})|
 _MARK, _HEAD, _ESCAPED = "\u0001\u0003", "\u0001", "\u0001\u0002"
 #: Syllables of surrogate names, by script.
 LATIN = ("ba", "de", "fi", "go", "ku", "la", "me", "ni", "po", "ra", "se", "ti", "vo", "ya", "ze", "lu")
-CYRILLIC = ("ба", "де", "фи", "го", "ку", "ла", "ме", "ни", "по", "ра", "се", "ти", "во", "ра", "зе", "лу")
+CYRILLIC = ("ба", "де", "фи", "го", "ку", "ла", "ме", "ни", "по", "ра", "се", "ти", "во", "ря", "зе", "лу")
+#: Attempts in which numbers keep their first digit, and rounds without a single new surrogate after which all forms are used up.
+FIRST, IDLE = 8, 64
 #: Endings of surrogate first names, by gender.
 ENDINGS = {"f": ("na", "на"), "m": ("n", "н")}
 
@@ -53,8 +55,12 @@ def _stream(kind, canon, key: str, attempt: int):
     return F.concat(*[F.sha2(F.concat_ws("\u0001", F.lit(key), F.lit(f"{attempt}-{part}"), kind, canon), 512) for part in range(2)])
 
 
-def _surrogate(kind, canon, stream):
-    """A replacement of the canonical form, of the same type, from the bytes of `stream`."""
+def _surrogate(kind, canon, stream, attempt: int = 0):
+    """A replacement of the canonical form, of the same type, from the bytes of `stream`.
+
+    Names get a syllable and addresses a digit more with each attempt. Numbers and secrets keep
+    their length; phone, card and SSN numbers keep their first digit for FIRST attempts.
+    """
     byte = lambda i: F.conv(F.substring(stream, (i % 128) * 2 + 1, 2), 16, 10).cast("int")
     pick = lambda alphabet, i: F.substring(F.lit(alphabet), byte(i) % len(alphabet) + 1, 1)
 
@@ -72,17 +78,17 @@ def _surrogate(kind, canon, stream):
         numbers = F.transform(F.split(F.reverse(digits), ""), lambda c, i: double(c.cast("int"), i))
         return F.aggregate(numbers, F.lit(0), lambda t, x: t + x) % 10
 
-    email = F.concat(shape(F.substring_index(canon, "@", 1), "abcdefghijklmnopqrstuvwxyz"), F.lit("@mail"), *[pick("0123456789", F.lit(200 - i)) for i in range(4)], F.lit(".example.org"))
-    number = F.concat(F.substring(canon, 1, 1), shape(F.substring(canon, 2, 100), "a"))
+    email = F.concat(shape(F.substring_index(canon, "@", 1), "abcdefghijklmnopqrstuvwxyz"), F.lit("@mail"), *[pick("0123456789", F.lit(200 - i)) for i in range(4 + attempt)], F.lit(".example.org"))
+    number = F.concat(F.substring(canon, 1, 1), shape(F.substring(canon, 2, 100), "a")) if attempt < FIRST else shape(canon, "a")
     body = F.concat(F.substring(number, 1, 15), F.lit("0"))
     # the check digit is right where the original's is
     last = ((luhn(canon) - luhn(body) + 10) % 10).cast("string")
     card = F.concat(F.substring(number, 1, 15), last)
     ip = F.concat_ws(".", *[(byte(F.lit(i)) % 254 + 1).cast("string") for i in range(4)])
     def named(syllables, ending):
-        made = lambda start: F.concat(*[F.element_at(F.array(*map(F.lit, syllables)), byte(F.lit(start + i)) % 16 + 1) for i in range(4)])
-        both = F.concat(F.initcap(F.concat(made(0), F.when(canon.startswith("f "), ending["f"]).otherwise(ending["m"]))), F.lit(" "), F.initcap(made(8)))
-        return F.when(F.size(F.split(canon, " ")) > 2, both).otherwise(F.initcap(made(8)))
+        made = lambda start, more=0: F.concat(*[F.element_at(F.array(*map(F.lit, syllables)), byte(F.lit(start + i)) % 16 + 1) for i in range(4 + more)])
+        both = F.concat(F.initcap(F.concat(made(0), F.when(canon.startswith("f "), ending["f"]).otherwise(ending["m"]))), F.lit(" "), F.initcap(made(8, attempt)))
+        return F.when(F.size(F.split(canon, " ")) > 2, both).otherwise(F.initcap(made(8, attempt)))
 
     cyrillic = canon.rlike(r"\p{IsCyrillic}")
     name = F.when(cyrillic, named(CYRILLIC, {g: e[1] for g, e in ENDINGS.items()})).otherwise(named(LATIN, {g: e[0] for g, e in ENDINGS.items()}))
@@ -101,15 +107,17 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
     """(value, kind, surrogate) for distinct values of `found` (column value).
 
     Spellings of one entity share a surrogate; two entities never do, and none is an entity of the
-    corpus itself. Rounds: entities whose surrogate clashes draw again with the next attempt. The
-    last place goes to the smallest entity, so the result does not depend on the order of rows.
+    corpus itself. Rounds: entities whose surrogate clashes draw again with the next attempt, names
+    and addresses from a larger space, so that any number of them ends. The last place goes to the
+    smallest entity, so the result does not depend on the order of rows. Only numbers of one form
+    can run out, when entities and surrogates fill it; the job fails then.
     """
     values = stage(found.select("value").distinct().withColumn("kind", _kind(F.col("value"))).withColumn("canon", _canon(F.col("kind"), F.col("value"))), "pii-values")
     real = stage(values.select("kind", "canon").distinct(), "pii-entities")
-    fixed, todo, attempt = None, real, 0
+    fixed, todo, attempt, left, idle = None, real, 0, real.count(), 0
     while True:
         drawn = todo.withColumn("stream", _stream(F.col("kind"), F.col("canon"), key, attempt))
-        drawn = drawn.withColumn("made", _surrogate(F.col("kind"), F.col("canon"), F.col("stream"))).drop("stream").withColumn("made_canon", F.when(F.col("kind") == "name", F.concat(F.substring("canon", 1, 2), F.lower("made"))).otherwise(F.col("made")))
+        drawn = drawn.withColumn("made", _surrogate(F.col("kind"), F.col("canon"), F.col("stream"), attempt)).drop("stream").withColumn("made_canon", F.when(F.col("kind") == "name", F.concat(F.substring("canon", 1, 2), F.lower("made"))).otherwise(F.col("made")))
         drawn = stage(drawn, "pii-drawn")
         first = drawn.groupBy("kind", "made").agg(F.min("canon").alias("canon"))
         good = drawn.join(first, ["kind", "made", "canon"], "left_semi").join(real.select("kind", F.col("canon").alias("made_canon")), ["kind", "made_canon"], "left_anti")
@@ -119,10 +127,12 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
         fixed = good if fixed is None else fixed.union(good)
         todo = stage(todo.join(good, ["kind", "canon"], "left_anti"), "pii-todo")
         attempt += 1
-        if todo.isEmpty():
+        before, left = left, todo.count()
+        if not left:
             break
-        if attempt == 64:
-            raise RuntimeError("the space of surrogates is too small for the entities found")
+        idle = idle + 1 if left == before else 0
+        if idle == IDLE:
+            raise RuntimeError("the numbers of one form are used up by the entities found")
     out = values.join(fixed, ["kind", "canon"])
     return out.select("value", "kind", _rendered(F.col("kind"), F.col("value"), F.col("made")).alias("surrogate"))
 
