@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import catalog, pii, simhash, toxicity, urls
+from tidemark.llm import catalog, pii, recompression, segments, simhash, suffixes, toxicity, urls
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -109,6 +109,27 @@ def test_embeddings_without_use(spark, tmp_path):
     assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), **{i: (0, i) for i in range(4, 10)}}
 
 
+@pytest.mark.parametrize("name, module, dealt", [("op4_suffix_dedup", suffixes, suffixes._anchored(50)), ("op8_substring_dedup", recompression, recompression._pieces(13))])
+def test_hot_buckets_are_sliced(spark, dirty, monkeypatch, name, module, dealt):
+    folder, _ = dirty
+    want = sorted(map(str, catalog.QUERIES[name](spark, folder).collect()))
+    monkeypatch.setattr(segments, "LARGE", 2000)
+    monkeypatch.setattr(segments, "SLICE", 2000)
+    assert sorted(map(str, catalog.QUERIES[name](spark, folder).collect())) == want
+    # one passage in every document: no task may hold the copies of all
+    passage = " ".join(f"shared{i}" for i in range(40))
+    docs = spark.createDataFrame([(i, f"own{i * 7} {passage} tail{i}") for i in range(200)], "id long, text string").repartition(20, "id")
+    width = 50 if module is suffixes else 13
+    windows = module._windows(width)
+
+    def watched(data, begin, end, doc, place, *rest):
+        assert len(set(doc.tolist())) < 150
+        return windows(data, begin, end, doc, place, *rest)
+
+    got = {r.id for r in segments.marks(docs, dealt, 4, watched, width).collect()}
+    assert got == set(range(1, 200))
+
+
 def test_dense_cells_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(simhash, "CELL", 3)
     values = [0, 1, 3, 7, 1 << 40, 1 << 40 | 1 << 41 | 1 << 42, 255]

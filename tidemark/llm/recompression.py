@@ -90,8 +90,8 @@ def _pieces(width: int):
     return pieces
 
 
-def _covered(width: int):
-    def run(data, begin, end, doc, place):
+def _windows(width: int):
+    def run(data, begin, end, doc, place, named):
         # a white space byte between pieces
         n = end - begin
         buf = np.full(len(data) + len(n), 32, np.uint8)
@@ -108,13 +108,10 @@ def _covered(width: int):
             one, two = mix(one * _K + pair[lo + j, 0]), mix(two * _K + pair[lo + j, 1])
         order = np.lexsort((two, one))
         one, two = one[order], two[order]
-        group = np.cumsum(np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))) - 1
+        head = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))[: len(one)]
         seg, at = piece[lo[order]], lo[order]
-        least = np.full(int(group[-1]) + 1 if len(group) else 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, group, doc[seg])
-        hit = doc[seg] > least[group] if len(group) else np.zeros(0, bool)
-        where = place[seg[hit]] + at[hit] - first[seg[hit]]
-        return doc[seg[hit]], where, where + width
+        name = np.stack([one[head], two[head]], axis=1).view(np.int64)
+        return np.cumsum(head) - 1, doc[seg], place[seg] + at - first[seg], name
 
     return run
 
@@ -128,7 +125,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     and both lose what an earlier one holds; rows without an id lose nothing.
     """
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    found = segments.marks(segments.cut(named, _pieces(width), segments.bucket_count(docs)), _covered(width))
+    found = segments.marks(named, _pieces(width), segments.bucket_count(named), _windows(width), width)
     return segments.kept(named, found, digest or (lambda text, ranges: (" ".join(left_words(text, ranges)[1]),)), schema)
 
 

@@ -12,15 +12,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import chunks, joined
+from tidemark.session import stage
 
-_SCHEMA = "bucket int, data binary, size binary, key binary, doc binary, place binary"
+#: Bytes of text for a bucket; of pieces from which a bucket is sliced, and of pieces in a slice.
+BUCKET, LARGE, SLICE = 5 << 19, 48 << 20, 8 << 20
+#: One row in so many is read to tell the size of buckets.
+SAMPLE = 16
+_SCHEMA = "bucket int, bytes long, data binary, size binary, key binary, doc binary, place binary"
 
 
-def cut(docs: DataFrame, pieces: Callable, buckets: int) -> DataFrame:
+def cut(docs: DataFrame, pieces: Callable, buckets: int, keep: Callable | None = None) -> DataFrame:
     """Pieces of all texts, dealt into buckets by their key and packed.
 
     `pieces(buf, starts)` gives (key, begin, end, text, place) arrays. Equal pieces of one batch
-    travel once for each document; a batch gives one row per bucket.
+    travel once for each document; a batch gives one row per bucket, of those that `keep` takes.
     """
 
     def run(batches):
@@ -35,48 +40,100 @@ def cut(docs: DataFrame, pieces: Callable, buckets: int) -> DataFrame:
             edges = np.append(np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets))), len(bucket))
             size = end - begin
             for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                if keep and not keep(int(bucket[lo])):
+                    continue
                 n = size[lo:hi]
                 stop = np.cumsum(n)
                 data = buf[np.repeat(begin[lo:hi] - (stop - n), n) + np.arange(stop[-1])].tobytes()
-                yield pd.DataFrame({"bucket": [int(bucket[lo])], "data": [pack(data)], "size": [pack(n.astype(np.int32).tobytes())], "key": [pack(key[lo:hi].tobytes())], "doc": [pack(ids[text[lo:hi]].tobytes())], "place": [pack(place[lo:hi].astype(np.int32).tobytes())]})
+                yield pd.DataFrame({"bucket": [int(bucket[lo])], "bytes": [int(stop[-1])], "data": [pack(data)], "size": [pack(n.astype(np.int32).tobytes())], "key": [pack(key[lo:hi].tobytes())], "doc": [pack(ids[text[lo:hi]].tobytes())], "place": [pack(place[lo:hi].astype(np.int32).tobytes())]})
 
     return docs.select("id", "text").where("id IS NOT NULL").mapInPandas(run, _SCHEMA)
 
 
-def marks(cuts: DataFrame, covered: Callable) -> DataFrame:
-    """(id, starts, ends) of what `covered` finds in each bucket.
+def marks(docs: DataFrame, pieces: Callable, buckets: int, windows: Callable, width: int) -> DataFrame:
+    """(id, starts, ends) of the windows that a smaller id holds as well.
 
-    Pieces whose key stands in one document only are dropped first.
-    `covered(data, begin, end, doc, place)` gives (doc, from, to) arrays.
+    `windows(data, begin, end, doc, place, named)` gives (group, doc, place) of each window, equal
+    windows with one number from 0 on, and 128 bits of content for each number where `named`.
+    A bucket of up to LARGE bytes is compared in one task; pieces whose key stands in one document
+    only are dropped there. A larger one is dealt into slices: each gives a row for each of its
+    distinct windows, the least id of a window is found by Spark, and goes back to the slices.
+    Which buckets are large is told by every SAMPLE-th row; slices change no result.
     """
-
-    def run(frame):
-        unpack = zstandard.ZstdDecompressor().decompress
-        get = lambda c, kind: np.concatenate([np.frombuffer(unpack(x), kind) for x in frame[c]])
-        key, doc, place, size = get("key", np.uint64), get("doc", np.int64), get("place", np.int32), get("size", np.int32).astype(np.int64)
-        end = np.cumsum(size)
-        begin = end - size
-        order = np.lexsort((doc, key))
-        k, d = key[order], doc[order]
-        first = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, int)
-        last = np.append(first[1:], len(k)) - 1
-        shared = np.zeros(len(k), bool)
-        shared[order] = np.repeat(d[first] != d[last], last - first + 1)
-        empty = pd.DataFrame({"id": np.zeros(0, np.int64), "starts": [], "ends": []})
-        if not shared.any():
-            return empty
-        data = get("data", np.uint8)
-        n = size[shared]
-        stop = np.cumsum(n)
-        data = data[np.repeat(begin[shared] - (stop - n), n) + np.arange(stop[-1])]
-        who, lo, hi = covered(data, stop - n, stop, doc[shared], place[shared].astype(np.int64))
-        if not len(who):
-            return empty
-        who, lo, hi = merged(who, lo, hi)
-        at = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
-        return pd.DataFrame({"id": who[at], "starts": np.split(lo, at[1:]), "ends": np.split(hi, at[1:])})
-
-    return cuts.groupBy("bucket").applyInPandas(run, "id long, starts array<long>, ends array<long>")
+    schema = "id long, starts array<long>, ends array<long>"
+    sample = docs.where(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SAMPLE)) == 0)
+    size = cut(sample, pieces, buckets).groupBy("bucket").agg((F.sum("bytes") * SAMPLE).alias("bytes")).where(F.col("bytes") > LARGE)
+    big = stage(size.select("bucket", F.ceil(F.col("bytes") / SLICE).cast("int").alias("slices")), "pieces-big")
+    large = {r.bucket for r in big.select("bucket").collect()}  # at most bytes / LARGE numbers
+    one = cut(docs, pieces, buckets, (lambda b: b not in large) if large else None).groupBy("bucket").applyInPandas(lambda frame: _whole(frame, windows, width), schema)
+    if not large:
+        return one
+    dealt = stage(cut(docs, pieces, buckets, large.__contains__).join(F.broadcast(big), "bucket"), "pieces")
+    dealt = dealt.withColumn("slice", F.pmod(F.xxhash64("doc", "place"), F.col("slices")).cast("int"))
+
+    def distinct(frame):
+        group, doc, _, name = windows(*_pieces_of(frame), True)
+        least, most = np.full(len(name), np.iinfo(np.int64).max), np.full(len(name), np.iinfo(np.int64).min)
+        np.minimum.at(least, group, doc)
+        np.maximum.at(most, group, doc)
+        return pd.DataFrame({"bucket": frame["bucket"].iloc[0], "slice": frame["slice"].iloc[0], "one": name[:, 0], "two": name[:, 1], "least": least, "most": most})
+
+    def sliced(frame, owners):
+        if not len(frame) or not len(owners):
+            return _ranges(*[np.zeros(0, np.int64)] * 2, width)
+        group, doc, at, name = windows(*_pieces_of(frame), True)
+        owner = pd.DataFrame({"one": name[:, 0], "two": name[:, 1]}).merge(owners[["one", "two", "owner"]], "left", ["one", "two"])
+        known = owner["owner"].notna().to_numpy()
+        least = np.full(len(name), np.iinfo(np.int64).max)
+        least[known] = owner["owner"][known].astype(np.int64)
+        hit = doc > least[group]
+        return _ranges(doc[hit], at[hit], width)
+
+    found = stage(dealt.groupBy("bucket", "slice").applyInPandas(distinct, "bucket int, slice int, one long, two long, least long, most long"), "windows")
+    owned = found.groupBy("bucket", "one", "two").agg(F.min("least").alias("owner"), F.max("most").alias("last")).where("owner < last")
+    owners = found.join(owned, ["bucket", "one", "two"]).where("most > owner").select("bucket", "slice", "one", "two", "owner")
+    many = dealt.groupBy("bucket", "slice").cogroup(owners.groupBy("bucket", "slice")).applyInPandas(sliced, schema)
+    return one.unionByName(many)
+
+
+def _pieces_of(frame: pd.DataFrame):
+    """Bytes, begin, end, document and place of the packed pieces of `frame`."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    get = lambda c, kind: np.concatenate([np.frombuffer(unpack(x), kind) for x in frame[c]])
+    end = np.cumsum(get("size", np.int32).astype(np.int64))
+    return get("data", np.uint8), np.append(0, end[:-1]), end, get("doc", np.int64), get("place", np.int32).astype(np.int64)
+
+
+def _whole(frame: pd.DataFrame, windows: Callable, width: int) -> pd.DataFrame:
+    unpack = zstandard.ZstdDecompressor().decompress
+    get = lambda c, kind: np.concatenate([np.frombuffer(unpack(x), kind) for x in frame[c]])
+    key, doc, place, size = get("key", np.uint64), get("doc", np.int64), get("place", np.int32), get("size", np.int32).astype(np.int64)
+    end = np.cumsum(size)
+    begin = end - size
+    order = np.lexsort((doc, key))
+    k, d = key[order], doc[order]
+    first = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, int)
+    last = np.append(first[1:], len(k)) - 1
+    shared = np.zeros(len(k), bool)
+    shared[order] = np.repeat(d[first] != d[last], last - first + 1)
+    if not shared.any():
+        return _ranges(*[np.zeros(0, np.int64)] * 2, width)
+    data = get("data", np.uint8)
+    n = size[shared]
+    stop = np.cumsum(n)
+    data = data[np.repeat(begin[shared] - (stop - n), n) + np.arange(stop[-1])]
+    group, doc, at, _ = windows(data, stop - n, stop, doc[shared], place[shared].astype(np.int64), False)
+    least = np.full(int(group.max()) + 1 if len(group) else 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, group, doc)
+    hit = doc > least[group]
+    return _ranges(doc[hit], at[hit], width)
+
+
+def _ranges(who: np.ndarray, at: np.ndarray, width: int) -> pd.DataFrame:
+    who, lo, hi = merged(who, at, at + width)
+    at = np.flatnonzero(np.append(True, who[1:] != who[:-1])[: len(who)])
+    lists = lambda x: pd.Series([part.tolist() for part in np.split(x, at[1:])][: len(at)], dtype=object)
+    return pd.DataFrame({"id": who[at], "starts": lists(lo), "ends": lists(hi)})
 
 
 def merged(who: np.ndarray, lo: np.ndarray, hi: np.ndarray):
@@ -116,6 +173,7 @@ def sha(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def bucket_count(docs: DataFrame) -> int:
-    """Four buckets for every shuffle partition of the session, which is sized to the data."""
-    return 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def bucket_count(docs: DataFrame, text_col: str = "text") -> int:
+    """Four buckets for every shuffle partition of the session, and one for each BUCKET bytes of text at least."""
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // BUCKET)

@@ -10,6 +10,7 @@ from tidemark.llm import segments
 from tidemark.llm.text import mix
 
 GRAM = 16  # bytes of an anchor
+_K = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _anchored(length: int):
@@ -96,8 +97,8 @@ def common_prefixes(s: np.ndarray, order: np.ndarray, length: int) -> np.ndarray
     return set_
 
 
-def _covered(length: int):
-    def run(data, begin, end, doc, place):
+def _windows(length: int):
+    def run(data, begin, end, doc, place, named):
         n = end - begin
         seg = np.repeat(np.arange(len(n)), n + 1)
         out = np.zeros(len(data) + len(n), np.int64)
@@ -109,12 +110,14 @@ def _covered(length: int):
         offset = order - base[seg[order]]
         whole = offset + length <= n[seg[order]]
         group = np.cumsum(new)[whole]
-        seg, offset = seg[order][whole], offset[whole]
-        least = np.full(int(group.max()) + 1 if len(group) else 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, group, doc[seg])
-        hit = doc[seg] > least[group]
-        where = place[seg[hit]] + offset[hit]
-        return doc[seg[hit]], where, where + length
+        head = np.append(True, group[1:] != group[:-1])[: len(group)]
+        group = np.cumsum(head) - 1
+        seg, offset, at = seg[order][whole], offset[whole], order[whole][head]
+        name = np.zeros((len(at), 2), np.uint64)
+        name[:, 1] = 1
+        for j in range(length) if named else ():
+            name = mix(name * _K + out[at + j].astype(np.uint64)[:, None])
+        return group, doc[seg], place[seg] + offset, name.view(np.int64)
 
     return run
 
@@ -129,7 +132,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     earlier document holds; rows without an id lose nothing.
     """
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    found = segments.marks(segments.cut(named, _anchored(length), segments.bucket_count(docs)), _covered(length))
+    found = segments.marks(named, _anchored(length), segments.bucket_count(named), _windows(length), length)
     return segments.kept(named, found, digest or (lambda text, ranges: (cut_bytes(text, ranges),)), schema)
 
 
