@@ -4,7 +4,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import rows
+from rows_of_frames import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

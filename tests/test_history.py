@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from rows_of_frames import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F

@@ -4,7 +4,7 @@ import random
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from rows_of_frames import rows
 from pyspark.sql import functions as F
 
 from tidemark.functions.computed import update_where, with_computed, with_defaults

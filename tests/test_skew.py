@@ -4,7 +4,7 @@ import datetime as dt
 import re
 
 import pytest
-from conftest import rows
+from rows_of_frames import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import balance, ranking, skew

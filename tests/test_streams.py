@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import rows
+from rows_of_frames import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import ranking, scd, vault
