@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, licenses, neighbours, pii, recompression, simhash, suffixes, toxicity, urls
+from tidemark.llm import bpe, conversations, decontaminate, licenses, neighbours, pii, recompression, simhash, suffixes, toxicity, urls
 
 TOKENS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 KEY = "surrogates-v1"
@@ -72,8 +72,17 @@ def op10_simhash(spark, folder):
     return simhash.groups(read(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op13_conversation_repair(spark, folder):
+    """Damaged `conversations`, their faults and cheapest repair; one row per original conv_id."""
+    table = read(spark, folder, "conversations")
+    cut, found = conversations.repair(conversations.damage(table))
+    kind = table.schema["conv_id"].dataType.simpleString()
+    out = conversations.digest(cut, found)
+    return out.select(F.col("conv").cast(kind).alias("conv_id"), *[c for c in out.columns if c != "conv"])
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_byte_bpe, op3_url_filter, op4_suffix_dedup, op5_toxicity, op6_embedding_dedup, op7_pii,
-    op8_substring_dedup, op9_decontaminate, op10_simhash,
+    op8_substring_dedup, op9_decontaminate, op10_simhash, op13_conversation_repair,
 )}
 ORACLES: dict[str, str] = {}
