@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, conversations, decontaminate, licenses, neighbours, pii, recompression, simhash, suffixes, toxicity, urls
+from tidemark.llm import bpe, conversations, decontaminate, fingerprints, licenses, neighbours, pii, recompression, simhash, suffixes, toxicity, urls
+from tidemark.session import stage
 
 TOKENS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 KEY = "surrogates-v1"
@@ -72,6 +73,26 @@ def op10_simhash(spark, folder):
     return simhash.groups(read(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op12_fingerprints(spark, folder):
+    """Fingerprints of all `documents` and of their edited texts, and how alike they are.
+
+    `n_near`, for ids divisible by 20 (else null): other rows within 3 differing bits, found in the
+    block tables.
+    """
+    rows = stage(fingerprints.edited(read(spark, folder, "documents")), "fingerprints")
+    copies = stage(rows.groupBy("fp0", "fp1").agg(F.count("*").alias("n"), F.max(F.coalesce(F.col("id") % 20 == 0, F.lit(False))).alias("asked")), "distinct-fingerprints")
+    asked = copies.where("asked").select(F.col("fp0").alias("q0"), F.col("fp1").alias("q1"))
+    found = fingerprints.within(asked, copies.select("fp0", "fp1"), 3)
+    near = found.join(copies, ["fp0", "fp1"]).groupBy("q0", "q1").agg(F.sum("n").alias("n"))
+    near = near.select(F.col("q0").alias("fp0"), F.col("q1").alias("fp1"), "n")
+    counted = rows.where("id % 20 = 0").join(near, ["fp0", "fp1"]).select("*", (F.col("n") - 1).alias("n_near")).drop("n")
+    others = rows.where("id % 20 <> 0 or id is null").withColumn("n_near", F.lit(None).cast("long"))
+    return counted.unionByName(others).select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256", fingerprints.hexed("fp").alias("fingerprint"),
+        fingerprints.hexed("edited").alias("edited_fingerprint"), "near_edited", "near_next", "n_near",
+    )
+
+
 def op13_conversation_repair(spark, folder):
     """Damaged `conversations`, their faults and cheapest repair; one row per original conv_id."""
     table = read(spark, folder, "conversations")
@@ -83,6 +104,6 @@ def op13_conversation_repair(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_byte_bpe, op3_url_filter, op4_suffix_dedup, op5_toxicity, op6_embedding_dedup, op7_pii,
-    op8_substring_dedup, op9_decontaminate, op10_simhash, op13_conversation_repair,
+    op8_substring_dedup, op9_decontaminate, op10_simhash, op12_fingerprints, op13_conversation_repair,
 )}
 ORACLES: dict[str, str] = {}
