@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, conversations, decontaminate, fingerprints, licenses, neighbours, pii, recompression, simhash, suffixes, toxicity, urls
+from tidemark.llm import bpe, conversations, decontaminate, fingerprints, lexical, licenses, neighbours, pii, recompression, simhash, suffixes, toxicity, urls
 from tidemark.session import stage
 
 TOKENS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -73,6 +73,11 @@ def op10_simhash(spark, folder):
     return simhash.groups(read(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_lexical_search(spark, folder):
+    """The ten documents of highest score for each benchmark item."""
+    return lexical.rank(read(spark, folder, "documents"), read(spark, folder, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
 def op12_fingerprints(spark, folder):
     """Fingerprints of all `documents` and of their edited texts, and how alike they are.
 
@@ -84,7 +89,7 @@ def op12_fingerprints(spark, folder):
     asked = copies.where("asked").select(F.col("fp0").alias("q0"), F.col("fp1").alias("q1"))
     found = fingerprints.within(asked, copies.select("fp0", "fp1"), 3)
     near = found.join(copies, ["fp0", "fp1"]).groupBy("q0", "q1").agg(F.sum("n").alias("n"))
-    near = near.select(F.col("q0").alias("fp0"), F.col("q1").alias("fp1"), "n")
+    near = stage(near.select(F.col("q0").alias("fp0"), F.col("q1").alias("fp1"), "n"), "near-fingerprints")
     counted = rows.where("id % 20 = 0").join(near, ["fp0", "fp1"]).select("*", (F.col("n") - 1).alias("n_near")).drop("n")
     others = rows.where("id % 20 <> 0 or id is null").withColumn("n_near", F.lit(None).cast("long"))
     return counted.unionByName(others).select(
@@ -104,6 +109,30 @@ def op13_conversation_repair(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_byte_bpe, op3_url_filter, op4_suffix_dedup, op5_toxicity, op6_embedding_dedup, op7_pii,
-    op8_substring_dedup, op9_decontaminate, op10_simhash, op12_fingerprints, op13_conversation_repair,
+    op8_substring_dedup, op9_decontaminate, op10_simhash, op11_lexical_search, op12_fingerprints, op13_conversation_repair,
 )}
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = f"unnest(regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+'))"
+ORACLES: dict[str, str] = {
+    "op11_lexical_search": f"""
+        WITH rows AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+        found AS (SELECT rid, doc_id, {_TERMS} AS term FROM rows),
+        tfs AS (SELECT rid, doc_id, term, count(*) AS tf FROM found GROUP BY ALL),
+        lengths AS (SELECT rid, count(*) AS n FROM found GROUP BY rid),
+        corpus AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM lengths),
+        dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+        asked AS (SELECT item_id, {_TERMS} AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+        weighed AS (
+            SELECT item_id, term, sum(floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1))))::BIGINT AS w
+            FROM asked JOIN dfs USING (term), corpus GROUP BY item_id, term),
+        scores AS (
+            SELECT item_id, rid, doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l))))::BIGINT AS score
+            FROM weighed JOIN tfs USING (term) JOIN lengths USING (rid), corpus GROUP BY ALL),
+        ranked AS (
+            SELECT item_id, doc_id, score,
+                   row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank
+            FROM scores WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
+}
