@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.operators import balance, bands, scd, snapshot
-from tidemark.operators.merge import change_feed, insert_if_absent, merge
+from tidemark.operators.merge import change_feed, insert_if_absent, merge, paired
 from tidemark.session import new_folder
 
 FEW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
@@ -145,9 +145,11 @@ def test_merge_then_reversal_gives_the_same_fact(spark):
     fact = balance.rb_initial(landed)
     landed = landed.unionByName(lines(spark, {(1, 1): 11, (1, 2): 21, (3, 1): 7}, 2, "update"))
     merged = balance.rb_merge(fact, landed, KEYS, ["qty", "flag"])
-    two_steps = merged.rows.unionByName(balance.rb_reversals(merged.changes, KEYS, ["qty"]))
+    two_steps = merged.rows.unionByName(balance.rb_reversals(merged.updates, ["qty"]))
     one_step = balance.reverse_balance(fact, landed, KEYS, ["qty", "flag"], ["qty"])
     assert rows(two_steps, *fact.columns) == rows(one_step, *fact.columns)
+    stored = balance.rb_reversals(paired(merged.changes, KEYS), ["qty"])
+    assert rows(stored) == rows(balance.rb_reversals(merged.updates, ["qty"]))
 
 
 DAY = st.dictionaries(st.tuples(st.integers(1, 3), st.integers(1, 3)), st.integers(1, 9), min_size=1, max_size=6)

@@ -8,14 +8,18 @@ it touches and appends; nothing of the fact is rewritten.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.merge import MergeResult, merge, single_per_key
 from tidemark.operators.skew import salted_join
+from tidemark.session import stage
 from tidemark.sources.landing import latest_load
 
 DELETION = "deletion"
+#: How a fact is written, so that a load reads the after-images of few as-ats.
+FACT_PARTITIONS = ["is_after_image", "as_at_dts"]
 
 
 def rb_initial(landed: DataFrame, ts: str = "load_ts") -> DataFrame:
@@ -52,13 +56,17 @@ def detect_deletions(
     A line is lost when no later load has it. With `reuse=True`, for sources that use a line
     number again, it is lost when the next load of the order does not have it.
 
-    The join comes first: only lines of the orders in the history are sorted by load, which for
-    a daily load is a small part of the landing area.
+    The history of an order becomes one row with its loads, from each to its next; it has at most
+    as many entries as there are loads. The join with it comes first: only lines of the orders in the
+    history are sorted, once, each beside the next load that has it. So the work grows with the
+    landed lines, also with a full history, and not with pairs of loads. A line that a load holds
+    twice is in that load once more, not in a later one.
     """
-    loads = history.select(order_key, F.col(ts).alias("_order_load"), "next_order_load")
-    lines = salted_join(landed, loads, [order_key])
-    following = F.lead(ts).over(Window.partitionBy(order_key, line_key, "_order_load").orderBy(ts))
-    lines = lines.withColumn("next_line_load", following).filter(F.col(ts) == F.col("_order_load"))
+    steps = F.map_from_entries(F.collect_set(F.struct(ts, "next_order_load"))).alias("_steps")
+    orders = history.filter(F.col("next_order_load").isNotNull()).groupBy(order_key).agg(steps)
+    following = F.lead(ts).over(Window.partitionBy(order_key, line_key).orderBy(ts))
+    lines = salted_join(landed, orders, [order_key]).withColumn("next_line_load", following)
+    lines = lines.withColumn("next_order_load", F.col("_steps")[F.col(ts)]).filter(F.col("next_order_load").isNotNull())
     if reuse:
         lost = lines.filter(~F.col("next_line_load").eqNullSafe(F.col("next_order_load")))
     else:
@@ -83,14 +91,36 @@ def logical_deletes(deletions: DataFrame, additive: Sequence[str], ts: str = "lo
     ).drop("next_order_load", "next_line_load")
 
 
-def _newest(fact: DataFrame, landed: DataFrame, keys: Sequence[str], order_key: str, ts: str) -> DataFrame:
+def newest_as_at(fact: DataFrame, batch: DataFrame, order_key: str = "sales_order_id") -> DataFrame:
+    """(order, max_as_at) of the orders of a batch that the fact holds.
+
+    Only the key and the as-at of after-images are read, and only rows of the batch's orders leave
+    their place when the orders, a written table, are small enough for Spark to broadcast.
+    """
+    orders = stage(batch.select(order_key).distinct(), "touched-orders")
+    seen = fact.filter("is_after_image").select(order_key, "as_at_dts").join(orders, order_key, "left_semi")
+    return seen.groupBy(order_key).agg(F.max("as_at_dts").alias("max_as_at"))
+
+
+def current_images(fact: DataFrame, as_at: DataFrame, order_key: str = "sales_order_id") -> DataFrame:
+    """The after-images that are the newest state of the orders in `as_at`.
+
+    With a fact written by image flag and as-at (`FACT_PARTITIONS`), before-images are not read, nor
+    are as-ats older than the oldest one that any of the orders needs.
+    """
+    needed = F.col("as_at_dts") >= as_at.agg(F.min("max_as_at")).scalar()
+    images = fact.filter(F.col("is_after_image") & needed)
+    newest = as_at.select(order_key, F.col("max_as_at").alias("as_at_dts"))
+    return images.join(newest, [order_key, "as_at_dts"], "left_semi")
+
+
+def _newest(batch: DataFrame, as_at: DataFrame, keys: Sequence[str], order_key: str) -> DataFrame:
     """Rows of the newest load, each with the newest as-at that the fact has for its order.
 
     The rows leave spread by the whole line key, by which the next steps work. If they kept the
     order's partitioning, an order with very many lines would stay in one task to the end.
     """
-    as_at = fact.groupBy(order_key).agg(F.max("as_at_dts").alias("max_as_at"))
-    return salted_join(latest_load(landed, ts), as_at, [order_key], "left").repartition(*keys)
+    return salted_join(batch, as_at, [order_key], "left").repartition(*keys)
 
 
 def rb_merge(
@@ -106,8 +136,10 @@ def rb_merge(
     `rows` is the fact between the merge and the reversal; `changes` has the images from which
     `rb_reversals` restores the history.
     """
+    batch = latest_load(landed, ts)
+    as_at = stage(newest_as_at(fact, batch, order_key), "touched-as-at")
     source = (
-        _newest(fact, landed, keys, order_key, ts)
+        _newest(batch, as_at, keys, order_key)
         .withColumn("as_at_dts", F.coalesce("max_as_at", F.col(ts)))
         .withColumn("is_after_image", F.lit(True))
         .select(*fact.columns, ts)
@@ -121,31 +153,26 @@ def rb_merge(
         update={c: own[c] for c in [*update, "load_type", "as_at_dts"]},
         insert=own,
     )
-    return MergeResult(merged.rows.unionByName(fact.filter("not is_after_image")), merged.changes)
+    return replace(merged, rows=merged.rows.unionByName(fact.filter("not is_after_image")))
 
 
 def _negated(additive: Sequence[str], columns: Sequence[str], pick) -> list[Column]:
     return [(-pick(c) if c in additive else pick(c)).alias(c) for c in columns]
 
 
-def rb_reversals(changes: DataFrame, keys: Sequence[str], additive: Sequence[str]) -> DataFrame:
-    """For each updated line: the old after-image as it was, and its negation at the new as-at."""
-    columns = [c for c in changes.columns if c not in ("action", "is_update")]
-    types = {f.name: f.dataType for f in changes.schema.fields}
-    old = changes.filter("is_update and action = 'DELETE'").select(*columns)
-    new = changes.filter("is_update and action = 'INSERT'").select(*keys, F.col("as_at_dts").alias("_as_at_after"))
-    both = old.join(new, list(keys), "inner")
-
-    def struct(overrides: dict[str, Column], negate: bool) -> Column:
-        def pick(c: str) -> Column:
-            return overrides.get(c, F.col(c))
+def rb_reversals(updates: DataFrame, additive: Sequence[str]) -> DataFrame:
+    """For each updated line: the old after-image as it was, and its negation at the new as-at.
 
-        cols = _negated(additive, columns, pick) if negate else [pick(c).alias(c) for c in columns]
-        return F.struct(*[c.cast(types[name]).alias(name) for name, c in zip(columns, cols)])
-
-    restored = struct({}, negate=False)
-    reversed_ = struct({"as_at_dts": F.col("_as_at_after"), "is_after_image": F.lit(False)}, negate=True)
-    return both.select(F.inline(F.array(restored, reversed_)))
+    `updates` has one row per updated line with its `before` and `after` image, as a merge gives
+    them or `paired` makes of stored change rows. Nothing is shuffled.
+    """
+    columns = [f.name for f in updates.schema["before"].dataType.fields]
+    restored = F.col("before")
+    overrides = {"as_at_dts": F.col("after.as_at_dts"), "is_after_image": F.lit(False)}
+    types = {f.name: f.dataType for f in updates.schema["before"].dataType.fields}
+    negated = _negated(additive, columns, lambda c: overrides.get(c, F.col(f"before.{c}")))
+    reversed_ = F.struct(*[c.cast(types[name]).alias(name) for name, c in zip(columns, negated)])
+    return updates.select(F.inline(F.array(restored, reversed_)))
 
 
 def rb_new_rows(
@@ -159,16 +186,17 @@ def rb_new_rows(
 ) -> DataFrame:
     """The rows that the newest load adds to the fact.
 
-    One left join from the newest load to the after-images at each order's newest as-at: a new
-    line gives one row, a known line gives its negated old row and its new row. No as-at lies
-    above the newest one, so `>=` selects it and leaves the line key as the only join key, by
-    which the source is spread already.
+    The batch is joined once with the current images of its orders: a new line gives one row, a known
+    line gives its negated old row and its new row. The join is on the line key alone, by which
+    the source is spread already. With a small batch no row of another order leaves its place.
     """
     types = {f.name: f.dataType for f in fact.schema.fields}
-    source = single_per_key(_newest(fact, landed, keys, order_key, ts), keys, "_s").alias("s")
-    images = fact.filter("is_after_image").withColumn("_t", F.lit(True)).alias("t")
+    batch = latest_load(landed, ts)
+    as_at = stage(newest_as_at(fact, batch, order_key), "touched-as-at")
+    source = single_per_key(_newest(batch, as_at, keys, order_key), keys, "_s").alias("s")
+    images = current_images(fact, as_at, order_key).withColumn("_t", F.lit(True)).alias("t")
     match = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys]
-    joined = source.join(images, [*match, F.col("t.as_at_dts") >= F.col("s.max_as_at")], "left").filter("s._s")
+    joined = source.join(images, match, "left").filter("s._s")
 
     def row(pick) -> Column:
         return F.struct(*[pick(c).cast(types[c]).alias(c) for c in fact.columns])

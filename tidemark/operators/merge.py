@@ -11,13 +11,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.session import stage
+
 
 @dataclass(frozen=True)
 class MergeResult:
-    """`rows`: the table after the merge. `changes`: before and after images of what it did."""
+    """`rows`: the table after the merge. `changes`: before and after images of what it did, a row each.
+
+    `updates`: one row per updated row, with its images side by side as `before` and `after`.
+    """
 
     rows: DataFrame
     changes: DataFrame
+    updates: DataFrame
 
 
 def single_per_key(source: DataFrame, on: Sequence[str], flag: str) -> DataFrame:
@@ -44,7 +50,9 @@ def join_by_key(target: DataFrame, source: DataFrame, on: Sequence[str]) -> Data
     join has to move both sides; here a small batch is the build side of a left join, and new keys
     are looked for among the target keys that the batch touches, so the target stays where it is.
     Which side is small is left to Spark's own size check; with two large sides both are shuffled.
+    The batch is written first: it is worked out once, and its size is known when the joins are planned.
     """
+    source = stage(source, "merge-batch")
     left = target.withColumn("_t", F.lit(True)).alias("t")
     right = single_per_key(source, on, "_s")
     same = [F.col(f"t.{c}") == F.col(f"s.{c}") for c in on]
@@ -106,7 +114,19 @@ def merge(
     old = image("DELETE", [F.col(f"t.{c}").cast(types[c]).alias(c) for c in target.columns], is_update)
     images = F.when(is_update, F.array(old, new)).otherwise(F.array(new))
     changes = stepped.filter("_step <> 'keep'").select(F.inline(images))
-    return MergeResult(rows, changes)
+    both = [F.struct(*[F.col(f"t.{c}").cast(types[c]).alias(c) for c in target.columns]).alias("before"), F.struct(*[after(c) for c in target.columns]).alias("after")]
+    return MergeResult(rows, changes, stepped.filter(is_update).select(*both))
+
+
+def paired(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`updates` of stored change rows: both images of each updated key in one row, by one aggregate."""
+    columns = [c for c in changes.columns if c not in ("action", "is_update")]
+
+    def image(action: str) -> Column:
+        return F.max(F.when(F.col("action") == action, F.struct(*columns)))
+
+    images = changes.filter("is_update").groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(image("DELETE").alias("before"), image("INSERT").alias("after"))
+    return images.select("before", "after")
 
 
 def absent(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:

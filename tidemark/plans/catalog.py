@@ -389,6 +389,29 @@ def detect_deletions(s: Scenario) -> DataFrame:
     )
 
 
+def _lost_lines(s: Scenario, reuse: bool) -> DataFrame:
+    """Deletions over all loads of a landing area with three."""
+    landed = s.src_line_item_3()
+    lost = balance.detect_deletions(landed, balance.load_history(landed, full=True), reuse=reuse)
+    return lost.select("next_order_load", "next_line_load", "load_ts", "sales_order_id", "line_number", "load_type")
+
+
+@query("detect_deletions_full")
+def detect_deletions_full(s: Scenario) -> DataFrame:
+    return _lost_lines(s, reuse=False)
+
+
+@query("detect_deletions_reuse")
+def detect_deletions_reuse(s: Scenario) -> DataFrame:
+    return _lost_lines(s, reuse=True)
+
+
+@query("load_history_loads")
+def load_history_loads(s: Scenario) -> DataFrame:
+    """Every load of an order that has a next one, over three loads."""
+    return balance.load_history(s.src_line_item_3(), full=True)
+
+
 @query("logical_deletes")
 def logical_deletes(s: Scenario) -> DataFrame:
     return balance.logical_deletes(s.line_deletions(), LINE_ADDITIVE)
@@ -405,7 +428,7 @@ def rb_merge_after(s: Scenario) -> DataFrame:
 
 @query("rb_reverse_before")
 def rb_reverse_before(s: Scenario) -> DataFrame:
-    return balance.rb_reversals(_line_merge(s).changes, LINE_KEYS, LINE_ADDITIVE)
+    return balance.rb_reversals(_line_merge(s).updates, LINE_ADDITIVE)
 
 
 @query("reverse_balance")

@@ -411,6 +411,29 @@ _oracle(
                line_number, load_type FROM lost""",
     text="next_order_load next_line_load load_ts",
 )
+FRAGMENTS["lines3"] = f"""
+    SELECT *, {T3} AS load_ts, 'update' AS load_type FROM m_line_item
+    WHERE sales_order_id % 2 = 0 AND line_number % 10 NOT IN (0, 1, 3)"""
+FRAGMENTS["three_loads"] = " UNION ALL ".join(
+    f"SELECT sales_order_id, line_number, load_ts, load_type FROM {load}" for load in ("lines1", "lines2", "lines3")
+)
+FRAGMENTS["order_steps"] = """
+    SELECT * FROM (SELECT sales_order_id, load_ts,
+                          lead(load_ts) OVER (PARTITION BY sales_order_id ORDER BY load_ts) AS next_order_load
+                   FROM (SELECT DISTINCT sales_order_id, load_ts FROM three_loads))
+    WHERE next_order_load IS NOT NULL"""
+FRAGMENTS["missing_next"] = """
+    SELECT s.next_order_load, l.load_ts, l.sales_order_id, l.line_number, l.load_type,
+           (SELECT min(x.load_ts) FROM three_loads x
+            WHERE x.sales_order_id = l.sales_order_id AND x.line_number = l.line_number AND x.load_ts > l.load_ts
+           ) AS next_line_load
+    FROM three_loads l JOIN order_steps s ON s.sales_order_id = l.sales_order_id AND s.load_ts = l.load_ts
+    WHERE NOT EXISTS (SELECT 1 FROM three_loads x WHERE x.sales_order_id = l.sales_order_id
+                      AND x.line_number = l.line_number AND x.load_ts = s.next_order_load)"""
+_LOST = "next_order_load next_line_load load_ts"
+_oracle("load_history_loads", "SELECT * FROM order_steps", text="load_ts next_order_load")
+_oracle("detect_deletions_full", "SELECT * FROM missing_next WHERE next_line_load IS NULL", text=_LOST)
+_oracle("detect_deletions_reuse", "SELECT * FROM missing_next", text=_LOST)
 _oracle("logical_deletes", "SELECT * FROM deleted", LINE_MONEY, LINE_TEXT)
 _oracle(
     "rb_merge_after",

@@ -99,7 +99,7 @@ class Scenario:
         self.spark = spark
         self.folder = folder.rstrip("/")
 
-    def _once(self, name: str, build: Callable[[], DataFrame], partition_by: str | None = None) -> DataFrame:
+    def _once(self, name: str, build: Callable[[], DataFrame], partition_by: str | Sequence[str] | None = None) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _STAGED:
             _STAGED[key] = stage(build(), name, partition_by)
@@ -194,6 +194,18 @@ class Scenario:
         landed = self.src_line_item()
         return balance.detect_deletions(landed, balance.load_history(landed))
 
+    def line_batch_3(self) -> DataFrame:
+        """Third load: every second order. Lines whose number ends in 2 are back, those ending in 3 are missing."""
+        digit = bands.last_digit(F.col("line_number"))
+        keep = ~digit.isin(0, 1, 3)
+        rows = self.lines().filter((F.col("sales_order_id") % 2 == 0) & keep)
+        return landing.land(rows, ts(LOAD_3)).withColumn("load_type", F.lit("update"))
+
+    def src_line_item_3(self) -> DataFrame:
+        """Landing area after three loads."""
+        third = self._once("line_batch_3", self.line_batch_3, partition_by="load_ts")
+        return landing.union_all([self.src_line_item(), third])
+
     def src_line_item_recovered(self) -> DataFrame:
         """Landing area with the lost lines put back as logical deletions."""
         deletes = self._once(
@@ -214,6 +226,7 @@ class Scenario:
             lambda: balance.rb_new_rows(
                 first, self.src_line_item_recovered(), LINE_KEYS, LINE_UPDATED, LINE_ADDITIVE
             ),
+            partition_by=balance.FACT_PARTITIONS,
         )
         return landing.union_all([first, added])
 

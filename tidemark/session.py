@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,7 +63,7 @@ def spread(scan: DataFrame, *keys: str) -> DataFrame:
     return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
 
 
-def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+def stage(df: DataFrame, label: str, partition_by: str | Sequence[str] | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts the lineage like a reliable checkpoint, survives the loss of executors, and keeps what
@@ -73,6 +74,6 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
     path = new_folder(spark, label)
     writer = df.write.option("compression", "zstd")  # staged tables are written once and read a few times
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
