@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.variants import json_elements
@@ -54,7 +56,8 @@ _CHILDREN = """
         (x, i) -> named_struct('key', cast(null as string), 'path', concat(node.path, '[', cast(i as string), ']'),
                                'pos', i, 'value', x, 'level', node.level + 1)), array()))
 """
-_LEVELS_PER_ROUND = 8
+#: Levels that one plan expands; deeper documents are staged in between.
+LEVELS_PER_PLAN = 8
 
 
 def _expand(nodes: DataFrame, columns: list[str], level: int) -> DataFrame:
@@ -64,11 +67,44 @@ def _expand(nodes: DataFrame, columns: list[str], level: int) -> DataFrame:
     return nodes.select(*columns, F.explode(rows).alias("node"))
 
 
+def _nested(schema: str) -> int | None:
+    """Containers inside each other in a schema's text; None where types that differ hide what is below."""
+    plain = re.sub("`[^`]*`", "", schema)  # names with special characters
+    if "VARIANT" in plain:
+        return None
+    depth = deepest = 0
+    for mark in re.findall("(?:OBJECT|ARRAY)<|>", plain):
+        depth += -1 if mark == ">" else 1
+        deepest = max(deepest, depth)
+    return deepest
+
+
+def depth(df: DataFrame, v: str) -> int:
+    """Levels of nodes below the root of the deepest document, by one aggregate over all documents.
+
+    The merged schema of the documents tells it. Where documents differ in the type of a value, the schema
+    does not show what is below, and the brackets of each document's text are counted instead.
+    """
+    nested = _nested(df.agg(F.schema_of_variant_agg(v)).first()[0] or "")
+    if nested is not None:
+        return nested
+    brackets = F.regexp_replace(F.regexp_replace(F.to_json(v), r'"(?:[^"\\]|\\.)*+"', ""), r"[^\[\]{}]", "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(state, mark):
+        now = state["now"] + F.when(mark.isin("[", "{"), 1).when(mark.isin("]", "}"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    most = F.aggregate(F.split(brackets, ""), start, step, lambda state: state["most"])
+    return df.agg(F.max(most)).first()[0] or 0
+
+
 def flatten_all(df: DataFrame, v: str) -> DataFrame:
     """Every node below the root of each document: `key`, `path`, `pos`, `value`, `level`.
 
-    Rounds of eight levels go on until no node has children. A round expands only the deepest
-    nodes of the one before, whose rows are staged, so a document of any depth is read once.
+    The depth of the documents is found first, then each level is expanded once, in one plan for documents of
+    up to eight levels. Beyond that, the nodes so far are written after every eight levels and only the deepest
+    ones are read on, so a document of any depth is read once.
     """
     columns = [c for c in df.columns if c != v]
     root = F.struct(
@@ -78,19 +114,14 @@ def flatten_all(df: DataFrame, v: str) -> DataFrame:
         F.col(v).alias("value"),
         F.lit(0).alias("level"),
     )
-    frontier, done, depth = df.select(*columns, root.alias("node")), [], 0
-    while True:
-        nodes = frontier
-        for level in range(depth, depth + _LEVELS_PER_ROUND):
-            nodes = _expand(nodes, columns, level)
-        depth += _LEVELS_PER_ROUND
-        nodes = stage(nodes, f"nodes-{depth}")
-        deepest = nodes.filter(F.col("node.level") == depth)
-        done.append(nodes.filter((F.col("node.level") > 0) & (F.col("node.level") > depth - _LEVELS_PER_ROUND)))
-        if deepest.filter(F.size(F.expr(_CHILDREN)) > 0).isEmpty():
-            break
-        frontier = deepest
-    rows = done[0]
-    for more in done[1:]:
-        rows = rows.unionByName(more)
-    return rows.select(*columns, "node.*")
+    levels = depth(df, v)
+    nodes, done = df.select(*columns, root.alias("node")), []
+    for level in range(levels):
+        nodes = _expand(nodes, columns, level)
+        if (level + 1) % LEVELS_PER_PLAN == 0 and level + 1 < levels:
+            nodes = stage(nodes, f"nodes-{level + 1}")
+            done.append(nodes.filter(F.col("node.level") <= level))
+            nodes = nodes.filter(F.col("node.level") == level + 1)
+    for part in done:
+        nodes = nodes.unionByName(part)
+    return nodes.filter("node.level > 0").select(*columns, "node.*")

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from itertools import count
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from tidemark.session import stage
+from tidemark.session import new_folder
 
 
 def connect_by(
@@ -23,53 +21,71 @@ def connect_by(
     The path has the separator before each element, the first too. `root_col` carries the label
     of the start row down its branch.
 
-    One join per level, and each level is written before the next one reads it, so neither the
-    plan nor the lost work of a failed executor grows with the depth. There is no bound on the
-    depth. A row has one parent, so a cycle can only be met where a walk comes back to its own start
-    row, which fails the job at once; where ids repeat, a walk deeper than there are rows fails it.
+    By pointer jumping: a row knows an ancestor and the piece of path between them. Each round it
+    takes over what that ancestor knows, which doubles the piece, so a tree of depth d needs
+    log2(d) rounds with one join each. A piece that ends at a start row is a finished walk. All rounds write to
+    one table, by round and by whether the piece is still open; the next round and the result read
+    its partitions.
+
+    There is no bound on the depth. A cycle that a walk enters fails the job: at once where it comes back to its
+    own start row, else when a piece is longer than there are rows. Cycles that no start row leads
+    to change nothing. Repeated ids are walked through each of their rows.
     """
-    nodes = stage(nodes, "nodes")
-    rows = nodes.count()
-    columns = nodes.columns
-    level = nodes.filter(start).select(
-        *columns,
-        F.concat(F.lit(sep), F.col(label)).alias("path"),
-        F.lit(1).alias("level"),
-        F.col(label).alias("_root"),
-        F.col(id_col).alias("_root_id"),
+    spark, columns, root = nodes.sparkSession, nodes.columns, new_folder(nodes.sparkSession, "walk")
+    element = F.concat(F.lit(sep), F.col(label).cast("string"))
+    piece = nodes.select(
+        *[F.col(f"`{c}`").alias(f"n_{c}") for c in columns],
+        F.when(start, F.col(label)).alias("_root"),
+        F.when(start, F.col(id_col)).alias("_root_id"),
+        F.col(parent).alias("_up"),
+        element.alias("path"),
+        F.lit(1).cast("bigint").alias("level"),
+        F.coalesce(start, F.lit(False)).alias("_starts"),
     )
-    level = stage(level, "walk-1")
-    levels = [level]
-    for depth in count(2):
-        above = level.select(
-            F.col(id_col).alias("_above"),
-            F.col("path").alias("_path"),
-            F.col("level").alias("_level"),
-            "_root",
-            "_root_id",
+    known = [f"n_{c}" for c in columns]
+    kept = [*known, "_root", "_root_id", "_up", "path", "level"]
+    nothing = F.lit(None)
+    done = piece.filter("_starts").select(*kept, F.lit(False).alias("_open")).withColumn("_up", nothing.cast(piece.schema["_up"].dataType))
+    left = piece.filter("_up is not null").withColumns({"_root": nothing.cast(piece.schema["_root"].dataType), "_root_id": nothing.cast(piece.schema["_root_id"].dataType)})
+    fresh = done.unionByName(left.select(*kept, F.lit(True).alias("_open")))
+    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in fresh.schema.fields], T.StructField("_round", T.IntegerType())])
+
+    def table() -> DataFrame:
+        return spark.read.schema(schema).option("basePath", root).parquet(root)
+
+    rows, reach, turn = None, 1, 0
+    while True:
+        fresh.write.option("compression", "zstd").partitionBy("_open").parquet(f"{root}/_round={turn}")
+        walks = table()
+        finished, pieces = walks.filter("not _open"), walks.filter(F.col("_open") & (F.col("_round") == turn))
+        if pieces.isEmpty():
+            break
+        if turn == 2 and rows is None:
+            rows = nodes.count()  # few rounds are no sign of a cycle
+        if rows is not None and reach > rows:
+            ids = pieces.select(F.col(f"n_{id_col}").alias("_id")).distinct()
+            if not finished.join(ids, F.col(f"n_{id_col}") == F.col("_id"), "left_semi").isEmpty():
+                raise RuntimeError("a cycle away from the start rows: more levels than rows")
+            break
+        above = finished.unionByName(pieces).select(
+            F.col(f"n_{id_col}").alias("_at"),
+            *[F.col(c).alias(f"a{c}") for c in ("_root", "_root_id", "_up", "path", "level", "_open")],
         )
-        below = nodes.join(above, nodes[parent] == F.col("_above"), "inner")
-        again = F.raise_error(F.concat(F.lit("cycle at "), F.col(id_col).cast("string"))).cast("string")
-        below = below.select(
-            *columns,
-            F.when(F.col(id_col) == F.col("_root_id"), again)
-            .otherwise(F.concat("_path", F.lit(sep), F.col(label)))
-            .alias("path"),
-            (F.col("_level") + 1).alias("level"),
-            "_root",
-            "_root_id",
+        again = F.raise_error(F.concat(F.lit("cycle at "), F.col(f"n_{id_col}").cast("string"))).cast("string")
+        closed = ~F.col("a_open") & (F.col("a_root_id") == F.col(f"n_{id_col}"))
+        fresh = pieces.join(above, F.col("_up") == F.col("_at")).select(
+            *known,
+            F.col("a_root").alias("_root"),
+            F.col("a_root_id").alias("_root_id"),
+            F.col("a_up").alias("_up"),
+            F.when(closed, again).otherwise(F.concat("apath", "path")).alias("path"),
+            (F.col("level") + F.col("alevel")).alias("level"),
+            F.col("a_open").alias("_open"),
         )
-        level = stage(below, f"walk-{depth}")
-        if level.isEmpty():
-            break
-        if depth > rows:
-            raise RuntimeError("a cycle away from the start rows: more levels than rows")
-        levels.append(level)
-    walked = levels[0]
-    for one in levels[1:]:
-        walked = walked.unionByName(one)
+        turn, reach = turn + 1, 2 * reach
     carried = [F.col("_root").alias(root_col)] if root_col else []
-    return walked.select(*columns, "path", *carried, "level")
+    found = table().filter("not _open")
+    return found.select(*[F.col(f"n_{c}").alias(c) for c in columns], "path", *carried, F.col("level").cast("int").alias("level"))
 
 
 def branches(

@@ -12,8 +12,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.merge import absent
+from tidemark.operators.merge import absent, without
 from tidemark.operators.numbering import assign_keys
+from tidemark.session import stage
 
 
 def first_per_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -33,9 +34,12 @@ def _max_key(target: DataFrame, sk: str) -> Column:
 
 
 def shred_dim(target: DataFrame, rows: DataFrame, natural_key: str, sk: str) -> DataFrame:
-    """Dimension rows whose natural key is absent, with keys after the target's highest."""
+    """Dimension rows whose natural key is absent, with keys after the target's highest.
+
+    The batch is reduced to one row per key and written; the target is only asked for these keys.
+    """
     known = rows.filter(F.col(natural_key).isNotNull())
-    fresh = first_per_key(known, [natural_key]).join(target.select(natural_key), natural_key, "left_anti")
+    fresh = without(stage(first_per_key(known, [natural_key]), f"distinct-{sk}"), target, [natural_key])
     keyed = assign_keys(fresh.select(*rows.columns), sk, [natural_key], _max_key(target, sk))
     return keyed.select(*target.columns)
 

@@ -361,57 +361,60 @@ class Scenario:
             party_services=make("party_id bigint, service_id bigint"),
         )
 
+    def typed_documents(self, load: int) -> DataFrame:
+        """The documents of a load as typed columns, stops nested; read from the variants once and written."""
+        docs = self.order_documents(load)
+        get = lambda path, type_="string", v="v": F.try_variant_get(v, f"$.{path}", type_)
+
+        def stop(s: Column) -> Column:
+            return F.struct(
+                get("name", v=s).alias("name"), get("nickname", v=s).alias("nickname"), get("express", "boolean", s).alias("express"),
+                get("services", "array<string>", s).alias("services"), get("years", "array<bigint>", s).alias("years"),
+            )
+
+        return self._once(
+            f"typed-documents-{load}",
+            lambda: docs.select(
+                get("name").alias("name"),
+                get("nickname").alias("nickname"),
+                get("opened", "bigint").alias("opened"),
+                get("status").alias("status"),
+                get("carrier.name").alias("carrier_name"),
+                get("carrier.type").alias("carrier_type"),
+                get("carrier.year", "bigint").alias("carrier_year"),
+                get("years", "array<bigint>").alias("years"),
+                F.transform(get("stops", "array<variant>"), stop).alias("stops"),
+                "load_name",
+                "load_ts",
+            ),
+        )
+
     def document_rows(self, load: int) -> dict[str, DataFrame]:
         """The relational row sets that the documents of a load hold."""
-        docs = self.order_documents(load)
+        heads = self.typed_documents(load)
         stamp = ["load_name", "load_ts"]
-        get = lambda path, type_="string", v="v": F.variant_get(v, f"$.{path}", type_)
-        heads = docs.select(
-            get("name").alias("name"),
-            get("nickname").alias("nickname"),
-            get("opened", "bigint").alias("opened"),
-            get("status").alias("status"),
-            get("carrier.name").alias("carrier_name"),
-            get("carrier.type").alias("carrier_type"),
-            get("carrier.year", "bigint").alias("carrier_year"),
-            *stamp,
-        )
-        stops = documents.flatten(docs, "v", "stops", "stop")
-        stop_name = get("name", v="stop")
-        services = documents.flatten(stops, "stop", "services", "service")
-        head_years = documents.flatten(docs, "v", "years", "y")
-        stop_years = documents.flatten(stops, "stop", "years", "y")
-        year = F.variant_get("y", "$", "bigint").alias("year")
+        stops = heads.select(F.col("name").alias("owner_name"), "carrier_name", *stamp, F.explode("stops").alias("stop"))
+        stops = stops.select("owner_name", "carrier_name", *stamp, "stop.*")
+        year = lambda rows: rows.select(F.col("name").alias("party_name"), F.explode("years").alias("year"), *stamp)
         return {
             "heads": heads,
-            "stops": stops.select(
-                stop_name.alias("name"),
-                get("nickname", v="stop").alias("nickname"),
-                get("express", "boolean", v="stop").alias("express"),
-                get("name").alias("owner_name"),
-                get("carrier.name").alias("carrier_name"),
-                *stamp,
-            ),
-            "services": services.select(
-                stop_name.alias("party_name"), F.variant_get("service", "$", "string").alias("service_name"), *stamp
-            ),
-            "years": head_years.select(get("name").alias("party_name"), year, *stamp).unionByName(
-                stop_years.select(stop_name.alias("party_name"), year, *stamp)
-            ),
+            "stops": stops.select("name", "nickname", "express", "owner_name", "carrier_name", *stamp),
+            "services": stops.select(F.col("name").alias("party_name"), F.explode("services").alias("service_name"), *stamp),
+            "years": year(heads).unionByName(year(stops)),
         }
 
     def _shred_load(self, state: Shredded, load: int) -> Shredded:
         rows = self.document_rows(load)
         stamp = ["load_name", "load_ts"]
         services = rows["services"].select(F.col("service_name").alias("name"), *stamp)
-        service = state.service.unionByName(shred.shred_dim(state.service, services, "name", "service_id"))
+        service = state.service.unionByName(stage(shred.shred_dim(state.service, services, "name", "service_id"), "service"))
         carriers = rows["heads"].select(
             F.col("carrier_name").alias("name"),
             F.col("carrier_type").alias("type"),
             F.col("carrier_year").alias("year"),
             *stamp,
         )
-        carrier = state.carrier.unionByName(shred.shred_dim(state.carrier, carriers, "name", "carrier_id"))
+        carrier = state.carrier.unionByName(stage(shred.shred_dim(state.carrier, carriers, "name", "carrier_id"), "carrier"))
         on_carrier = lambda df: shred.resolve(df, carrier, "carrier_name", "name", "carrier_id", "carrier_id")
         members = shred.shred_rollup(
             state.party,
