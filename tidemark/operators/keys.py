@@ -92,13 +92,38 @@ def check_schema(df: DataFrame, contract: Table) -> DataFrame:
             rules.append((f.name, "not null", F.col(f.name).isNull()))
         if f.max_length is not None:
             rules.append((f.name, f"length <= {f.max_length}", F.length(f.name) > f.max_length))
+    return _counted(df, contract.name, rules)
+
+
+def check_source(rows: DataFrame, contract: Table) -> DataFrame:
+    """Stored values that break a column rule of a model table, one output row per rule, in one pass.
+
+    The rules look at the stored columns, before any cast: a value is missing, is none of the
+    declared type, has more decimal places than the type keeps, or is too long. So what a cast would turn into
+    NULL or round is found here.
+    """
+    rules = []
+    for f in contract.fields:
+        stored = F.col(f.source)
+        if not f.nullable:
+            rules.append((f.source, "not null", stored.isNull()))
+        cast = stored.try_cast(f.type)
+        rules.append((f.source, f"is {f.type}", stored.isNotNull() & cast.isNull()))
+        if f.type.startswith("decimal"):
+            rules.append((f.source, f"scale of {f.type}", stored.try_cast("decimal(38,6)") != cast.cast("decimal(38,6)")))
+        if f.max_length is not None:
+            rules.append((f.source, f"length <= {f.max_length}", F.length(stored) > f.max_length))
+    return _counted(rows, contract.name, rules)
+
+
+def _counted(df: DataFrame, table: str, rules: Sequence[tuple]) -> DataFrame:
     counts = df.agg(
         *[F.count(F.when(broken, F.lit(1))).alias(f"r{i}") for i, (_, _, broken) in enumerate(rules)],
     )
     lines = F.array(
         *[
             F.struct(
-                F.lit(contract.name).alias("table_name"),
+                F.lit(table).alias("table_name"),
                 F.lit(column).alias("column_name"),
                 F.lit(rule).alias("rule"),
                 F.col(f"r{i}").alias("violations"),

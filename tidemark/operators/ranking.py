@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from tidemark.sources.contracts import MODEL
 
 # Highest rank of each tier, and the location left out.
 TIERS = [(20, "gold"), (100, "silver"), (400, "bronze")]
@@ -66,11 +68,42 @@ def loyalty_customer(customer: DataFrame, sales_order: DataFrame, supporters: Da
     return combine_loyalty(top_customers(customer_totals(customer, sales_order)), supporters)
 
 
-def register_loyalty_view(customer: DataFrame, sales_order: DataFrame, supporters: DataFrame, name: str) -> DataFrame:
-    """The same rows as a view over the files that the three tables have now.
+def _typed_text(name: str, table: str) -> str:
+    """SELECT of a model table's columns from its stored table."""
+    columns = ", ".join(f"CAST({f.source} AS {f.type}) AS {f.name}" for f in MODEL[name].fields)
+    return f"SELECT {columns} FROM {table}"
+
+
+def register_loyalty_view(spark: SparkSession, customer_path: str, orders_path: str, supporters: Sequence[int], name: str) -> None:
+    """The same rows as a view: SQL text over catalogue tables on the two folders.
 
-    A table read from a path lists its files when it is read, so rows that land later need a new
-    call: `loyalty_customer` over tables read anew is always current.
+    The tables are external, so files belong to the folders and stay when a table is registered anew.
+    A view is worked out when it is read; `loyalty_view` reads it over the files of that moment.
     """
-    loyalty_customer(customer, sales_order, supporters).createOrReplaceTempView(name)
-    return customer.sparkSession.table(name)
+    for table, path in ((f"{name}_customer", customer_path), (f"{name}_orders", orders_path)):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path, source="parquet")
+    n = TIERS[-1][0]
+    tier = " ".join(f"WHEN cust_level <= {upper} THEN '{label}'" for upper, label in sorted(TIERS))
+    early = ", ".join(f"({int(i)})" for i in supporters)
+    spark.sql(f"""
+        CREATE OR REPLACE VIEW {name} AS
+        WITH customer AS ({_typed_text("customer", f"{name}_customer")}),
+             sales_order AS ({_typed_text("sales_order", f"{name}_orders")}),
+             summed AS (SELECT customer_id, sum(total_price_usd) AS total FROM sales_order GROUP BY customer_id),
+             totals AS (SELECT customer_id, total FROM summed WHERE customer_id IN (
+                            SELECT customer_id FROM customer WHERE account_balance_usd > 0 AND location_id <> {EXCLUDED_LOCATION})),
+             top AS (SELECT DISTINCT total FROM totals WHERE total IS NOT NULL ORDER BY total DESC LIMIT {n}),
+             levels AS (SELECT total, dense_rank() OVER (ORDER BY total DESC) AS cust_level FROM top),
+             ranked AS (SELECT customer_id, CASE {tier} END AS level, 'top {n}' AS type FROM totals JOIN levels USING (total))
+        SELECT customer_id, level, type, CAST(0 AS BIGINT) AS points_amount, '' AS comments
+        FROM (SELECT * FROM ranked
+              UNION ALL SELECT CAST(id AS BIGINT), 'gold', 'early supporter' FROM VALUES {early} AS early(id))
+    """)
+
+
+def loyalty_view(spark: SparkSession, name: str) -> DataFrame:
+    """The registered view, over the files that its folders hold now, whoever wrote them."""
+    for table in (f"{name}_customer", f"{name}_orders"):
+        spark.catalog.refreshTable(table)
+    return spark.table(name)

@@ -88,7 +88,7 @@ def shred_values(
     """New rows, one per owner and value of a multi-valued attribute; both make the key."""
     distinct = first_per_key(rows, [name, value])
     keyed = resolve(distinct, owner, name, natural_key, sk, sk)
-    return absent(target, keyed, [sk, value])
+    return absent(target, stage(keyed, f"keyed-{value}"), [sk, value])
 
 
 def shred_bridge(
@@ -103,7 +103,7 @@ def shred_bridge(
     keyed = first_per_key(rows, list(sides))
     for name, (dim, natural_key, sk) in sides.items():
         keyed = resolve(keyed, dim, name, natural_key, sk, sk)
-    return absent(target, keyed, [sk for _, _, sk in sides.values()])
+    return absent(target, stage(keyed, "keyed-pairs"), [sk for _, _, sk in sides.values()])
 
 
 def shredded_star(

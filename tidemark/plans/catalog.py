@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemark.functions.computed import update_where, with_computed, with_defaults
 from tidemark.functions.hashing import diff_hash
 from tidemark.functions.ordering import order_by
+from tidemark.functions.strings import strtok
 from tidemark.functions.variants import array_first, array_last, json_array, json_get, path_depth
 from tidemark.operators import (
     balance,
@@ -27,6 +28,7 @@ from tidemark.operators import (
 )
 from tidemark.plans.scenario import (
     DAYS,
+    EARLY_SUPPORTERS,
     FIRST_DAY,
     LINE_ADDITIVE,
     LINE_KEYS,
@@ -114,6 +116,27 @@ def model_not_null(s: Scenario) -> DataFrame:
     return landing.union_all([keys.check_schema(s.model(n), MODEL[n]) for n in ("customer", "sales_order", "part")])
 
 
+@query("source_rules")
+def source_rules(s: Scenario) -> DataFrame:
+    """Column rules of all seven tables, on the values as they are stored."""
+    return landing.union_all([keys.check_source(s.source(t.source), t) for t in MODEL.values()])
+
+
+@query("pk_check_inventory")
+def pk_check_inventory(s: Scenario) -> DataFrame:
+    """Pairs of part and supplier that several lines hold: why the inventory is made distinct."""
+    return keys.key_violations(tables.typed(s.source("lineitem"), "inventory"), MODEL["inventory"].key)
+
+
+@query("alternate_key_check")
+def alternate_key_check(s: Scenario) -> DataFrame:
+    """Location names, the alternate key, that occur more than once; beside the names of customers per segment."""
+    location = keys.key_violations(s.model("location"), MODEL["location"].alternate).select(F.lit("location").alias("tbl"), "name", "row_count")
+    segments = s.model("customer").select(F.col("market_segment").alias("name"))
+    repeated = keys.key_violations(segments, ["name"]).select(F.lit("segment").alias("tbl"), "name", "row_count")
+    return location.unionByName(repeated)
+
+
 @query("pk_check")
 def pk_check(s: Scenario) -> DataFrame:
     """Repeated line numbers of the source, the reason for renumbering."""
@@ -194,7 +217,9 @@ def loyalty_customer(s: Scenario) -> DataFrame:
 
 @query("loyalty_view")
 def loyalty_view(s: Scenario) -> DataFrame:
-    return ranking.register_loyalty_view(s.model("customer"), s.model("sales_order"), s.supporters, "v_loyalty_customer")
+    ids = [i for (i,) in EARLY_SUPPORTERS]
+    ranking.register_loyalty_view(s.spark, f"{s.folder}/customer.parquet", f"{s.folder}/orders.parquet", ids, "v_loyalty_customer")
+    return ranking.loyalty_view(s.spark, "v_loyalty_customer")
 
 
 @query("loyalty_stream")
@@ -686,6 +711,14 @@ def hierarchy_branches(s: Scenario) -> DataFrame:
     return order_by(_branches(s), "branch", "level", "node_id")
 
 
+@query("hierarchy_named_branches")
+def hierarchy_named_branches(s: Scenario) -> DataFrame:
+    """The branch below the region whose second word is EAST, each row with the second part of its name."""
+    east = (F.col("rank") == "Region") & (strtok("name", " ", 2) == "EAST")
+    found = hierarchy.branches(s.organisation(), "node_id", "superior_id", east, F.col("rank") == "World", "name")
+    return found.select("node_id", "path", "branch", "level", strtok("name", "#_ ", 2).alias("second_part"))
+
+
 @query("hierarchy_edges")
 def hierarchy_edges(s: Scenario) -> DataFrame:
     return hierarchy.edge_nodes(_branches(s), "node_id", "superior_id")

@@ -20,6 +20,7 @@ from tidemark.plans.scenario import (
     LOAD_NAME,
     REC_SRC,
 )
+from tidemark.sources.contracts import MODEL
 from tidemark.sources.inline import ISO_CODES
 
 FRAGMENTS: dict[str, str] = {}
@@ -143,6 +144,39 @@ _RULES = [
     ("part", "part_id"), ("part", "name"), ("part", "name", 55), ("part", "brand"), ("part", "brand", 10),
     ("part", "type"), ("part", "type", 25), ("part", "size_centimeters"), ("part", "retail_price_usd"),
 ]
+
+
+def _source_rules() -> str:
+    """Each declared rule, counted on the stored column."""
+    parts = []
+    for table in MODEL.values():
+        for f in table.fields:
+            c, kind = f.source, "VARCHAR" if f.type == "string" else f.type
+            rules = [] if f.nullable else [("not null", f"{c} IS NULL")]
+            rules.append((f"is {f.type}", f"{c} IS NOT NULL AND TRY_CAST({c} AS {kind}) IS NULL"))
+            if f.type.startswith("decimal"):
+                rules.append(("scale of " + f.type, f"TRY_CAST({c} AS DECIMAL(38,6)) <> CAST(TRY_CAST({c} AS {kind}) AS DECIMAL(38,6))"))
+            if f.max_length is not None:
+                rules.append((f"length <= {f.max_length}", f"length({c}) > {f.max_length}"))
+            parts += [
+                f"SELECT '{table.name}' AS table_name, '{c}' AS column_name, '{rule}' AS rule, "
+                f"count(*) FILTER (WHERE {broken}) AS violations FROM {table.source}"
+                for rule, broken in rules
+            ]
+    return " UNION ALL ".join(parts)
+
+
+_oracle("source_rules", _source_rules())
+_oracle(
+    "pk_check_inventory",
+    """SELECT l_partkey::BIGINT AS part_id, l_suppkey::BIGINT AS supplier_id, count(*) AS row_count
+       FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
+)
+_oracle(
+    "alternate_key_check",
+    """SELECT 'location' AS tbl, n_name AS name, count(*) AS row_count FROM nation GROUP BY ALL HAVING count(*) > 1
+       UNION ALL SELECT 'segment', c_mktsegment, count(*) FROM customer GROUP BY ALL HAVING count(*) > 1""",
+)
 _oracle("model_not_null", " UNION ALL ".join(_rule(*r) for r in _RULES))
 _oracle(
     "pk_check",
@@ -710,6 +744,15 @@ _BRANCHES = f"""WITH RECURSIVE org AS ({FRAGMENTS["org"]}),
       SELECT * FROM walk
       UNION ALL SELECT node_id, name, rank, superior_id, name, name, 1 FROM org WHERE rank = 'World')"""
 ORACLES["hierarchy_branches"] = f"{_BRANCHES} SELECT * FROM labelled ORDER BY branch, level"
+ORACLES["hierarchy_named_branches"] = f"""WITH RECURSIVE org AS ({FRAGMENTS["org"]}),
+    walk AS (
+      SELECT node_id, name, '-> ' || name AS path, name AS branch, 2 AS level
+      FROM org WHERE rank = 'Region' AND split_part(name, ' ', 2) = 'EAST'
+      UNION ALL
+      SELECT o.node_id, o.name, w.path || '-> ' || o.name, w.branch, w.level + 1
+      FROM org o JOIN walk w ON o.superior_id = w.node_id)
+    SELECT node_id, path, branch, level, string_split_regex(name, '[#_ ]+')[2] AS second_part
+    FROM (SELECT * FROM walk UNION ALL SELECT node_id, name, name, name, 1 FROM org WHERE rank = 'World')"""
 ORACLES["hierarchy_edges"] = f"""{_BRANCHES}
     SELECT *, node_id NOT IN (SELECT superior_id FROM labelled WHERE superior_id IS NOT NULL) AS is_edge_node
     FROM labelled"""

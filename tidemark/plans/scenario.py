@@ -74,7 +74,7 @@ def run_days(
         today = day(text)
         batch = bands.employee_changes(source, current, today, reviewed(today))
         landed.append(stage(batch, "employees-landed"))
-        rows = stage(bands.type2_step(current, landing.union_all(landed)), "employees-fact")
+        rows = stage(bands.type2_step(current, landed[-1]), "employees-fact")
         current = bands.current_staff(rows)
         closed.append(bands.DAYS_HELD.closed(rows))
     return landing.union_all(landed), landing.union_all([current, *closed])
