@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import catalog, pii, recompression, segments, simhash, suffixes, toxicity, urls
+from tidemark.llm import catalog, decontaminate, pii, recompression, segments, simhash, suffixes, toxicity, urls
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -99,6 +99,7 @@ def test_empty_documents(spark, tmp_path, name):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     assert catalog.QUERIES[name](spark, str(tmp_path)).count() == 0
 
 
@@ -154,3 +155,39 @@ def test_scores_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b"), (None, None)], "doc_id long, text string")
     model = toxicity.train(spark.createDataFrame([], "text string, toxic int"))
     assert all(r.score < 0.5 for r in toxicity.score(docs, model).collect())
+
+
+def test_words_of_one_polynomial_hash_are_not_equal(spark):
+    """Two words of one polynomial hash for every odd base: a Thue-Morse sequence and its complement."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    one, two = ("".join("ab"[b ^ x] for b in bits) for x in (0, 1))
+    rest = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, f"{one} {rest}"), (2, f"{two} {rest}"), (3, f"{one} {rest}")], "doc_id long, text string")
+    out = recompression.dedup(docs, digest=recompression.digest, schema="n_words long, n_removed long, kept_sha256 string")
+    assert {r.id: r.n_removed for r in out.collect()} == {1: 0, 2: 0, 3: 13}
+
+
+def test_items_without_an_id_hit(spark):
+    words = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, f"x {words} y"), (2, "clean")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, words), (9_007_199_254_740_993, "w1 w2")], "item_id long, text string")
+    found = {r.id: (r.starts, r.ends, r["items"]) for r in decontaminate.scan(docs, items).collect()}
+    assert found == {1: ([1], [13], [9_007_199_254_740_993]), 2: ([], [], [])}
+
+
+def test_near_copies_go_by_row(spark):
+    """Repeated rows, one id with two texts, null ids and a clashing column: one row of each group stays."""
+    rows = [(1, "a b c d", "x"), (1, "a b c d", "x"), (1, "quite another text here", "y"), (None, "a b c d", "z"), (None, "nobody owns this", "z"), (5, None, "n"), (6, "", "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
+    out = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert out.columns == docs.columns
+    kept = sorted((tuple(r) for r in out.collect()), key=repr)
+    assert kept == sorted([rows[0], rows[2], rows[4], rows[5]], key=repr)
+
+
+def test_labelled_rows_are_bounded(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    labels = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 == 0, 1).otherwise(0).alias("toxic")).union(spark.createDataFrame([(None, 1), (1, None)], "doc_id long, toxic int"))
+    found = {r.toxic: r["count"] for r in toxicity.labelled(docs, labels, per_class=1000).groupBy("toxic").count().collect()}
+    assert found[1] == 400 and 900 < found[0] < 1100
+    assert toxicity.labelled(docs, labels.limit(0)).count() == 0

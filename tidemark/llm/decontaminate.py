@@ -21,11 +21,11 @@ def _tables(items: pd.DataFrame, window: int) -> dict[int, dict]:
     begin, end, first = words(buf, starts, ALNUM)
     h, data = hashes(buf, begin, end), buf.tobytes()
     by_length: dict[int, dict[tuple, set]] = {}
-    for item, lo, hi in zip(items["item_id"].tolist(), first[:-1].tolist(), first[1:].tolist()):
+    for item, named, lo, hi in zip(items["item_id"].tolist(), items["named"].tolist(), first[:-1].tolist(), first[1:].tolist()):
         n = min(window, hi - lo)
         for at in range(lo, hi - n + 1) if n else ():
             key = tuple(data[begin[j] : end[j]] for j in range(at, at + n))
-            by_length.setdefault(n, {}).setdefault((tuple(h[at : at + n].tolist()), key), set()).add(item)
+            by_length.setdefault(n, {}).setdefault((tuple(h[at : at + n].tolist()), key), set()).update([item] if named else [])
     out = {}
     for n, patterns in by_length.items():
         block = 2 if n > 1 else 1
@@ -88,7 +88,8 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
 
     `items` (item_id, text) is searched in blocks of `block_items` rows, each a bounded broadcast and
     one narrow pass over the documents, so any number of items is searched whole. Null and empty
-    texts have no words and no hits; an item without words matches nothing; repeated rows stay.
+    texts have no words and no hits; an item without words matches nothing; repeated rows stay. The
+    windows of an item with a null id hit words, but it is not among the items found.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
@@ -127,7 +128,9 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
 
         return run
 
-    picked = items.select("item_id", "text").where("item_id IS NOT NULL").distinct()
+    # an item without an id is searched like any other, but has no name to report
+    name = F.coalesce("item_id", F.lit("0").cast(item_kind)).alias("item_id")
+    picked = items.select(name, F.col("item_id").isNotNull().alias("named"), "text").distinct()
     total = picked.count()
     blocks = max(1, -(-total // block_items))
     numbered = stage(picked.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "items")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import segments
-from tidemark.llm.text import NONBLANK, hashes, mix, words
+from tidemark.llm.text import NONBLANK, exact_hashes, hashes, mix, words
 
 ROUNDS = 2
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -102,7 +102,7 @@ def _windows(width: int):
         lo = np.arange(max(0, len(w0) - width + 1))
         lo = lo[piece[lo] == piece[lo + width - 1]] if len(lo) else lo
         # the words themselves, numbered within the bucket by two independent hashes, name a window
-        pair = np.stack([hashes(buf, w0, w1, 1), hashes(buf, w0, w1, 2)], axis=1)
+        pair = np.stack([exact_hashes(buf, w0, w1, 1), exact_hashes(buf, w0, w1, 2)], axis=1)
         one, two = np.zeros(len(lo), np.uint64), np.zeros(len(lo), np.uint64)
         for j in range(width):
             one, two = mix(one * _K + pair[lo + j, 0]), mix(two * _K + pair[lo + j, 1])

@@ -79,37 +79,65 @@ def _held(text, known: np.ndarray) -> np.ndarray:
     return np.unique(x[known[x]])
 
 
-def train(labelled: DataFrame, sample: int = 20_000, smooth: float = 1.0, least: float = 6.0):
-    """(features, weights, intercept) from (text, toxic) rows.
+def labelled(documents: DataFrame, labels: DataFrame, per_class: int = 10_000) -> DataFrame:
+    """(text, toxic) of the documents that train the classifier: about `per_class` of each class at most.
 
-    Log-count ratios are counted over all labelled rows; features whose rate in the two classes
+    That is the documented bound. `labels` has doc_id and toxic, one of several labels of an id being
+    the highest. Ids are drawn by a threshold on their hash that follows from the size of their class, all of them
+    in a small class; so at most about 2 * per_class ids are broadcast and no text is shuffled.
+    A null id and a null label are left out; rows of one id are all taken.
+    """
+    known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    known = stage(known, "toxic-labels")
+    number = dict(known.groupBy("toxic").count().collect())
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
+    drawn = F.lit(False)
+    for toxic, n in number.items():
+        drawn = drawn | ((F.col("toxic") == toxic) & (place < int((1 << 31) * min(1.0, per_class / n))))
+    return documents.select("doc_id", "text").join(F.broadcast(known.where(drawn)), "doc_id").select("text", "toxic")
+
+
+def train(labelled: DataFrame, smooth: float = 1.0, least: float = 6.0):
+    """(features, weights, intercept) from (text, toxic) rows; `labelled` above bounds them.
+
+    Log-count ratios are counted over all these rows; features whose rate in the two classes
     differs by less than `least` standard errors say too little and are left out. The linear
-    classifier is fitted on at most `sample` rows, half of each class, those with the least hash of
-    the text, which is the documented bound; null labels are left out and null texts are empty.
+    classifier is fitted by one task, since its rows are bounded; the driver gets the weights only.
+    Null labels are left out and null texts are empty; repeated rows count again.
     Without rows of both classes the score is that of the one class, and not toxic without any.
     """
     rows = labelled.where("toxic IN (0, 1)").select(F.col("text").alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    rows = stage(rows, "toxic-rows")  # read three times; a join would shuffle its texts each time
+    rows = stage(rows, "toxic-rows")
     found = dict(rows.groupBy("toxic").count().collect())
     number = [found.get(0, 0), found.get(1, 0)]
     if not all(number):
         return np.zeros(0, np.int32), np.zeros(0), 6.0 if number[1] else -6.0
     table = _ratios(rows, number, smooth, least)
-    features = table["feature"].to_numpy()
-    ratio = np.zeros(1 << BITS)
-    ratio[features] = table["ratio"].to_numpy()
-    held = labelled.sparkSession.sparkContext.broadcast(features)
+    features, ratios = table["feature"].to_numpy().copy(), table["ratio"].to_numpy().copy()
+    del table
+    held = labelled.sparkSession.sparkContext.broadcast((features, ratios))
 
     def pick(batches):
-        known = _known(held.value)
+        known = _known(held.value[0])
         for batch in batches:
-            yield pd.DataFrame({"toxic": batch["toxic"], "rank": batch["rank"], "features": [_held(t, known).astype(np.int32).tobytes() for t in batch["text"]]})
+            yield pd.DataFrame({"toxic": batch["toxic"], "features": [_held(t, known).astype(np.int32).tobytes() for t in batch["text"]]})
 
-    drawn = rows.select("text", "toxic", F.xxhash64("text").alias("rank")).mapInPandas(pick, "toxic int, rank long, features binary")
-    halves = [drawn.where(F.col("toxic") == toxic).orderBy("rank", "features").limit(sample // 2) for toxic in (0, 1)]
-    picked = halves[0].union(halves[1]).toArrow()
-    weights, intercept = fit([np.frombuffer(x.as_py(), np.int32) for x in picked["features"]], picked["toxic"].to_numpy(), ratio)
-    return features, weights[features], intercept
+    def learn(batches):
+        features, ratios = held.value
+        ratio = np.zeros(1 << BITS)
+        ratio[features] = ratios
+        held_rows, toxic = [], []
+        for batch in batches:
+            held_rows += [np.frombuffer(x, np.int32) for x in batch["features"]]
+            toxic.append(batch["toxic"].to_numpy(np.int64))
+        if held_rows:
+            weights, intercept = fit(held_rows, np.concatenate(toxic), ratio)
+            yield pd.DataFrame({"weights": [weights[features].tobytes()], "intercept": [float(intercept)]})
+
+    drawn = stage(rows.mapInPandas(pick, "toxic int, features binary"), "toxic-features")
+    fitted = drawn.repartition(1).sortWithinPartitions("toxic", "features").mapInPandas(learn, "weights binary, intercept double").first()
+    held.unpersist()
+    return features, np.frombuffer(fitted["weights"], float), fitted["intercept"]
 
 
 def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
