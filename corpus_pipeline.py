@@ -10,38 +10,46 @@ from tidemark.llm import bpe, decontaminate, pii, simhash, toxicity
 from tidemark.llm.catalog import KEY, TOKENS, read, toxicity_model
 from tidemark.session import stage
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score under 0.7."""
+    """Documents with a toxicity score under 0.7. Null and empty texts get the score of no features; repeated rows are judged alike."""
     model = toxicity_model(docs, read(spark, sf_dir, "labels"))
-    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
-    scored = toxicity.score(docs, model, keep=rest)
-    return scored.where("score < 0.7").select(F.col("id").alias("doc_id"), "text", *rest)
+    row = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return toxicity.score(row, model, id_col="row").where("score < 0.7").select("id.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash group; a null id has no group and stays."""
-    groups = simhash.groups(docs.select("doc_id", "text"))
-    kept = groups.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    return named.unionByName(docs.where("doc_id IS NULL")).select(*COLUMNS)
+    """One row of each SimHash group: that with the smallest doc_id, a null id being the largest.
+
+    Rows are told apart by a number, so repeated rows, other texts under one id and rows without an
+    id are members like any other, and of each group one row stays. Texts without words have one fingerprint.
+    """
+    row = "_row_of_the_stage"
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = simhash.groups(numbered.select(row, "text"), id_col=row).select(F.col("id").alias(row), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    first = numbered.select(row, "doc_id").join(groups, row).groupBy("component_id").agg(F.min(order).alias("first"))
+    return numbered.join(first.select(F.col(f"first.{row}").alias(row)), row, "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark window."""
-    found = decontaminate.scan(docs.select(F.struct(*COLUMNS).alias("row"), "text"), read(spark, sf_dir, "benchmark"), id_col="row")
+    """Documents without any benchmark window. Null and empty texts have none and stay."""
+    found = decontaminate.scan(docs.select(F.struct(*docs.columns).alias("row"), "text"), read(spark, sf_dir, "benchmark"), id_col="row")
     return found.where(F.size("starts") == 0).select("id.*")
 
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with surrogates for personal data."""
-    return pii.replace(docs, KEY).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    """Documents with surrogates for personal data, `n_chars` counted anew. Null texts stay null and keep their count."""
+    plain = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    replaced = pii.replace(plain, KEY)
+    columns = [F.col("text") if c == "text" else F.col(f"row.{c}").alias(c) for c in docs.columns]
+    if "n_chars" in docs.columns:
+        kind, at = docs.schema["n_chars"].dataType, docs.columns.index("n_chars")
+        columns[at] = F.coalesce(F.length("text"), F.col("row.n_chars")).cast(kind).alias("n_chars")
+    return replaced.select(*columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids and hashes of the ids and of the decoded bytes."""
+    """Ids and hashes of the ids and of the decoded bytes. Null and empty texts have no ids; repeated rows stay."""
     ids = bpe.encode(docs, TOKENS, public_tokenizers.PATTERN)
     return bpe.digest(bpe.decode(ids, TOKENS))
 
@@ -57,6 +65,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each written and read again; an empty table gives no rows."""
     docs = read(spark, sf_dir, "documents")
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name)
