@@ -20,15 +20,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each SimHash group: that with the smallest doc_id, a null id being the largest.
 
-    Rows are told apart by a number, so repeated rows, other texts under one id and rows without an
-    id are members like any other, and of each group one row stays. Texts without words have one fingerprint.
+    Rows are told apart by 128 bits of hash of all their columns (maps and variants aside), so another text
+    under one id and rows without an id are members like any other. Equal rows are one member, of which one row
+    stays. Texts without words have one fingerprint.
     """
-    row = "_row_of_the_stage"
-    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    groups = simhash.groups(numbered.select(row, "text"), id_col=row).select(F.col("id").alias(row), "component_id")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
-    first = numbered.select(row, "doc_id").join(groups, row).groupBy("component_id").agg(F.min(order).alias("first"))
-    return numbered.join(first.select(F.col(f"first.{row}").alias(row)), row, "left_semi").select(*docs.columns)
+    mark = "_mark_of_the_row"
+    hashed = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    marked = docs.withColumn(mark, F.concat(F.hex(F.xxhash64(*hashed)), F.lit("-"), F.hex(F.xxhash64(F.lit(7), *hashed))))
+    groups = simhash.groups(marked.select(mark, "text"), id_col=mark)
+    members = groups.groupBy(F.col("id").alias(mark), "component_id").agg(F.count("*").alias("n"))
+    ids = marked.select(mark, "doc_id").distinct()
+    first = members.join(ids, mark).groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", mark, "n")).alias("first"))
+    kept = stage(first.select(F.col(f"first.{mark}").alias(mark), "first.n"), "kept-rows")
+    once = marked.join(kept.where("n = 1"), mark, "left_semi")
+    often = marked.join(kept.where("n > 1"), mark, "left_semi").dropDuplicates([mark])
+    return once.unionByName(often).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
