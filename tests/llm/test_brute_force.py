@@ -63,6 +63,13 @@ def test_byte_bpe(spark, dirty):
         assert got[i][1:] == (len(ids), sha(",".join(map(str, ids)).encode()), sha((text or "").encode())), (i, text[:50])
 
 
+def test_one_pass_digests_what_decoding_gives(spark, dirty):
+    folder, _ = dirty
+    ids = catalog.bpe.encode(spark.read.parquet(f"{folder}/documents.parquet"), catalog.TOKENS, P.PATTERN)
+    two = catalog.bpe.digest(catalog.bpe.decode(ids, catalog.TOKENS))
+    assert sorted(map(tuple, catalog.bpe.decoded_digest(ids, catalog.TOKENS).collect())) == sorted(map(tuple, two.collect()))
+
+
 def _repeats(docs, units, n):
     least = {}
     for i, u in units.items():
