@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +168,34 @@ def test_words_of_one_polynomial_hash_are_not_equal(spark):
     assert {r.id: r.n_removed for r in out.collect()} == {1: 0, 2: 0, 3: 13}
 
 
+def test_equal_hashes_are_told_apart(spark, monkeypatch):
+    """With one hash for everything, slices and windows are still equal only where their bytes are."""
+    buf = np.frombuffer(b"ab cd ab ce cd ab", np.uint8)
+    begin = np.arange(0, 18, 3)
+    monkeypatch.setattr(segments, "hashes", lambda buf, begin, end: np.zeros(len(begin), np.uint64))
+    rep, number = segments.distinct(buf, begin, begin + 2)
+    assert [buf[begin[r] : begin[r] + 2].tobytes() for r in rep[number]] == [b"ab", b"cd", b"ab", b"ce", b"cd", b"ab"] and len(rep) == 3
+    monkeypatch.setattr(recompression, "exact_hashes", lambda buf, begin, end, seed: np.zeros(len(begin), np.uint64))
+    text = np.frombuffer(b"a b ca b da b c", np.uint8)
+    end = np.array([5, 10, 15])
+    group, doc, place, _ = recompression._windows(3)(text, end - 5, end, np.arange(3), np.zeros(3, np.int64), False)
+    of = dict(zip(doc.tolist(), group.tolist()))
+    assert of[0] == of[2] != of[1] and set(place.tolist()) == {0}
+
+
+@pytest.mark.parametrize("module", [suffixes, recompression])
+def test_ids_of_any_size_and_none(spark, module):
+    """Ids above 2**53 and missing ones in one chunk: the ids come back as they are, a row without one loses nothing."""
+    passage = " ".join(f"word{i}" for i in range(30))
+    top = 2**62 + 1
+    rows = [(top, passage), (None, passage), (top - 1, passage), (-top, None), (top + 1, passage + " tail"), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    schema = {suffixes: "n_bytes long, n_removed long, n_spans long, kept_sha256 string", recompression: "n_words long, n_removed long, kept_sha256 string"}[module]
+    got = {r.id: (r[1], r.n_removed) for r in module.dedup(docs, digest=module.digest, schema=schema).collect()}
+    n = 30 if module is recompression else len(passage)
+    assert got == {top: (n, n), None: (n, 0), top - 1: (n, 0), -top: (0, 0), top + 1: (n + (1 if n == 30 else 5), n), 3: (0, 0)}
+
+
 def test_items_without_an_id_hit(spark):
     words = " ".join(f"w{i}" for i in range(12))
     docs = spark.createDataFrame([(1, f"x {words} y"), (2, "clean")], "doc_id long, text string")

@@ -101,7 +101,8 @@ def _windows(width: int):
         piece = np.repeat(np.arange(len(n)), np.diff(first))
         lo = np.arange(max(0, len(w0) - width + 1))
         lo = lo[piece[lo] == piece[lo + width - 1]] if len(lo) else lo
-        # the words themselves, numbered within the bucket by two independent hashes, name a window
+        # a window is named by two hashes over its words; each word and each window is then compared with the first of its name
+        _, number = segments.distinct(buf, w0, w1)
         pair = np.stack([exact_hashes(buf, w0, w1, 1), exact_hashes(buf, w0, w1, 2)], axis=1)
         one, two = np.zeros(len(lo), np.uint64), np.zeros(len(lo), np.uint64)
         for j in range(width):
@@ -110,6 +111,11 @@ def _windows(width: int):
         one, two = one[order], two[order]
         head = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))[: len(one)]
         seg, at = piece[lo[order]], lo[order]
+        like = at[np.flatnonzero(head)][np.cumsum(head) - 1] if len(at) else at
+        if any((number[at + j] != number[like + j]).any() for j in range(width)):
+            # two windows of different words have one name: group by the words themselves
+            _, first_of, group = np.unique(np.stack([number[at + j] for j in range(width)], axis=1), axis=0, return_index=True, return_inverse=True)
+            return group.reshape(-1), doc[seg], place[seg] + at - first[seg], np.stack([one[first_of], two[first_of]], axis=1).view(np.int64)
         name = np.stack([one[head], two[head]], axis=1).view(np.int64)
         return np.cumsum(head) - 1, doc[seg], place[seg] + at - first[seg], name
 
@@ -120,13 +126,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     """Per row the words left of its text when windows of an earlier document go.
 
     A window belongs to the smallest id that holds it. High-level symbols bring equal windows to one
-    bucket; symbols of a single document are dropped there, and windows are compared whole by 128
-    bits over their words. Null, empty and short texts stay; rows that repeat an id are one document
+    bucket; symbols of a single document do not travel, and windows of one symbol are compared word
+    for word. Null, empty and short texts stay; rows that repeat an id are one document
     and both lose what an earlier one holds; rows without an id lose nothing.
     """
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    found = segments.marks(named, _pieces(width), segments.bucket_count(named), _windows(width), width)
-    return segments.kept(named, found, digest or (lambda text, ranges: (" ".join(left_words(text, ranges)[1]),)), schema)
+    left = lambda text, ranges: (" ".join(left_words(text, ranges)[1]),)
+    return segments.dedup(named, _pieces(width), _windows(width), width, digest or left, schema)
 
 
 def left_words(text, ranges):

@@ -23,26 +23,24 @@ def _anchored(length: int):
         pad = np.append(buf, np.zeros(16, np.uint8)).tobytes()
         lane = np.ndarray(len(buf) + 8, "<u8", pad, strides=(1,))
         gram = mix(mix(lane[: len(buf)]) * np.uint64(0x9E3779B97F4A7C15) + lane[8 : len(buf) + 8])
-        gram = (gram & ~np.uint64(63))  # room for nothing else: ties go to the first place
-        width = length - GRAM + 1
-        least, at, span = gram, np.arange(len(buf), dtype=np.int32), 1
+        # the place modulo 64 in the low bits: the least of a window tells the place of its anchor as well
+        least = (gram & ~np.uint64(63)) | (np.arange(len(buf), dtype=np.uint64) & np.uint64(63))
+        width, span = length - GRAM + 1, 1
         while span < width:
             step = min(span, width - span)
-            a, b = least[: len(least) - step], least[step:]
-            pick = b < a
-            least, at = np.where(pick, b, a), np.where(pick, at[step:], at[: len(at) - step])
+            least = np.minimum(least[: len(least) - step], least[step:])
             span += step
         n = len(buf) - length + 1
-        least, at = least[:n], at[:n]
-        text = np.searchsorted(starts, np.arange(n), side="right") - 1 if n < 1_000 else np.repeat(np.arange(len(starts) - 1), np.diff(starts))[:n]
-        whole = np.arange(n) + length <= starts[text + 1] - 1  # not over the end of a text
-        place = np.flatnonzero(whole)
+        least = least[:n]
+        text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[:n]
+        place = np.flatnonzero(np.arange(n) + length <= starts[text + 1] - 1)  # not over the end of a text
         if not len(place):
             return none.astype(np.uint64), none, none, none, none
-        new = np.append(True, (at[place][1:] != at[place][:-1]) | (np.diff(place) != 1))
+        anchor = least[place]
+        new = np.append(True, (anchor[1:] != anchor[:-1]) | (np.diff(place) != 1))
         first = place[new]
         last = place[np.append(np.flatnonzero(new)[1:], len(place)) - 1]
-        return least[first], first, last + length, text[first], first - starts[text[first]]
+        return least[first] & ~np.uint64(63), first, last + length, text[first], first - starts[text[first]]
 
     return pieces
 
@@ -126,14 +124,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     """Per row the bytes left of its text when repeats of an earlier document go.
 
     A string belongs to the smallest id that holds it, wherever it stands. Anchors (the least hash
-    of a string's 16-grams) bring equal strings to one bucket; each bucket sorts the suffixes of the
-    pieces whose anchor stands in several documents. Null and empty texts, and those shorter than
+    of a string's 16-grams) bring equal strings to one bucket; only pieces whose anchor stands in
+    several documents travel, and each bucket sorts the suffixes of its distinct pieces. Null and empty texts, and those shorter than
     `length`, stay as they are; rows that repeat an id are the same document, and both lose what an
     earlier document holds; rows without an id lose nothing.
     """
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    found = segments.marks(named, _anchored(length), segments.bucket_count(named), _windows(length), length)
-    return segments.kept(named, found, digest or (lambda text, ranges: (cut_bytes(text, ranges),)), schema)
+    return segments.dedup(named, _anchored(length), _windows(length), length, digest or (lambda text, ranges: (cut_bytes(text, ranges),)), schema)
 
 
 def cut_bytes(text, ranges) -> bytes:
