@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import segments
-from tidemark.llm.text import NONBLANK, exact_hashes, hashes, mix, words
+from tidemark.llm.text import NONBLANK, exact_hashes, hashes, mix, windows, words
 
 ROUNDS = 2
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -73,6 +73,8 @@ def parse(h: np.ndarray, text: np.ndarray, lo: np.ndarray, hi: np.ndarray, width
 
 
 def _pieces(width: int):
+    """Windows keyed by their symbol; the check of each is a hash of its words."""
+
     def pieces(buf, starts):
         none = np.zeros(0, np.int64)
         begin, end, first = words(buf, starts, NONBLANK)
@@ -80,12 +82,11 @@ def _pieces(width: int):
         lo = np.arange(max(0, len(begin) - width + 1))
         lo = lo[text[lo] == text[lo + width - 1]] if len(lo) else lo
         if not len(lo):
-            return none.astype(np.uint64), none, none, none, none
-        key, place = parse(hashes(buf, begin, end), text, lo, lo + width - 1, width)
-        new = np.append(True, (place[1:] != place[:-1]) | (np.diff(lo) != 1) | (key[1:] != key[:-1]))
-        head = np.flatnonzero(new)
-        tail = np.append(head[1:], len(lo)) - 1
-        return key[head], begin[lo[head]], end[lo[tail] + width - 1], text[lo[head]], lo[head] - first[text[lo[head]]]
+            return none.astype(np.uint64), none, none, none, none, none.astype(np.uint64)[:, None]
+        h = hashes(buf, begin, end)
+        key, _ = parse(h, text, lo, lo + width - 1, width)
+        check = windows(h, width)[lo]
+        return key, begin[lo], end[lo + width - 1], text[lo], lo - first[text[lo]], check[:, None]
 
     return pieces
 
@@ -126,8 +127,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     """Per row the words left of its text when windows of an earlier document go.
 
     A window belongs to the smallest id that holds it. High-level symbols bring equal windows to one
-    bucket; symbols of a single document do not travel, and windows of one symbol are compared word
-    for word. Null, empty and short texts stay; rows that repeat an id are one document
+    bucket; windows of a single document do not travel, by a hash of 32 bits, and those of one
+    symbol are compared word for word. Null, empty and short texts stay; rows that repeat an id are one document
     and both lose what an earlier one holds; rows without an id lose nothing.
     """
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))

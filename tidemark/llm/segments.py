@@ -47,14 +47,15 @@ def _opened(row):
     return buf, np.frombuffer(row.starts, np.int64), np.frombuffer(row.ids, np.int64), np.frombuffer(row.lost, bool)
 
 
-def _pieces_of(row, pieces: Callable, buckets: int):
-    """Pieces of the texts of a chunk that have an id, in the order of their token: a bucket and 32 bits of the key."""
+def _units_of(row, pieces: Callable, buckets: int):
+    """Units of the texts of a chunk that have an id, and their tokens: the bucket of the key and 32 bits of each check."""
     buf, starts, ids, lost = _opened(row)
-    key, begin, end, text, place = pieces(buf, starts)
-    token = ((key >> np.uint64(20)) % np.uint64(buckets) << np.uint64(32)) | ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32))
-    order = np.argsort(token, kind="stable")
-    order = order[~lost[text[order]]]
-    return buf, ids, token[order], begin[order], end[order], text[order], place[order]
+    *unit, checks = pieces(buf, starts)
+    key, begin, end, text, place = unit
+    stay = ~lost[text]
+    key, begin, end, text, place, checks = (x[stay] for x in (key, begin, end, text, place, checks))
+    bucket = (key >> np.uint64(20)) % np.uint64(buckets)
+    return buf, ids, bucket, (bucket << np.uint64(32))[:, None] | (checks >> np.uint64(32)), key, begin, end, text, place
 
 
 def _heads(x: np.ndarray) -> np.ndarray:
@@ -98,14 +99,17 @@ def distinct(buf: np.ndarray, begin: np.ndarray, end: np.ndarray):
 
 
 def shared_keys(chunked: DataFrame, pieces: Callable, buckets: int) -> DataFrame:
-    """(bucket, chunk, keys): 32 bits of the keys of a chunk that stand in another chunk, or in two texts of this one."""
+    """(bucket, chunk, keys): 32 bits of the checks of a chunk that stand in another chunk, or in two texts of this one."""
 
     def keys(batches):
         for batch in batches:
             for row in batch.itertuples():
-                _, _, token, _, _, text, _ = _pieces_of(row, pieces, buckets)
+                _, _, _, token, _, _, _, text, _ = _units_of(row, pieces, buckets)
                 if not len(token):
                     continue
+                text, token = np.repeat(text, token.shape[1]), token.reshape(-1)
+                order = np.argsort(token, kind="stable")
+                text, token = text[order], token[order]
                 head = _heads(token)
                 many = np.maximum.reduceat(text, head) != np.minimum.reduceat(text, head)
                 token = token[head]
@@ -133,22 +137,30 @@ def shared_keys(chunked: DataFrame, pieces: Callable, buckets: int) -> DataFrame
 
 
 def shipped(chunked: DataFrame, pieces: Callable, buckets: int) -> DataFrame:
-    """Pieces whose key is shared, a row for each chunk and bucket: distinct contents once, and where they stand."""
+    """Pieces of units with a shared check, a row for each chunk and bucket: distinct contents once, and where they stand.
+
+    `pieces(buf, starts)` gives (key, begin, end, text, place, checks) of units in the order of the text. Equal windows
+    have one key and stand in units that have a check in common.
+    """
 
     def ship(mine, wanted):
         none = pd.DataFrame({c.split()[0]: [] for c in _SHIPPED.split(", ")})
         if not len(mine) or not len(wanted):
             return none
         row = next(mine.itertuples())
-        buf, ids, token, begin, end, text, place = _pieces_of(row, pieces, buckets)
-        key = np.concatenate([np.frombuffer(k, np.uint32) for k in wanted["keys"]]).astype(np.uint64)
-        asked = np.repeat(wanted["bucket"].to_numpy().astype(np.uint64), wanted["keys"].map(len) // 4) << np.uint64(32) | key
-        take = np.flatnonzero(np.isin(token, asked))
+        buf, ids, bucket, token, key, begin, end, text, place = _units_of(row, pieces, buckets)
+        check = np.concatenate([np.frombuffer(k, np.uint32) for k in wanted["keys"]]).astype(np.uint64)
+        asked = np.repeat(wanted["bucket"].to_numpy().astype(np.uint64), wanted["keys"].map(len) // 4) << np.uint64(32) | check
+        take = np.flatnonzero(np.isin(token, asked).any(axis=1))
         if not len(take):
             return none
-        token, begin, end, text, place = (x[take] for x in (token, begin, end, text, place))
+        bucket, key, begin, end, text, place = (x[take] for x in (bucket.astype(np.int64), key, begin, end, text, place))
+        # units of one key that follow each other are one piece
+        first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (text[1:] != text[:-1]) | (np.diff(place) != 1)))
+        end = end[np.append(first[1:], len(key)) - 1]
+        bucket, begin, text, place = bucket[first], begin[first], text[first], place[first]
         rep, number = distinct(buf, begin, end)
-        bucket = (token >> np.uint64(32)).astype(np.int64)  # equal contents have one key, so one bucket
+        bucket = bucket[rep][number]  # equal contents have one key, so one bucket
         at = np.argsort(bucket[rep], kind="stable")
         rep, number = rep[at], np.argsort(at)[number]
         order = np.argsort(bucket[rep][number], kind="stable")
@@ -236,8 +248,8 @@ def _marked(opened, piece, offset, owner, high, width):
 def chunk_marks(chunked: DataFrame, pieces: Callable, buckets: int, windows: Callable, width: int) -> DataFrame:
     """(chunk, row, lo, hi) of the windows that a smaller id holds as well.
 
-    Keys go first: 32 bits of each, once for a chunk; only pieces whose key another text has travel, equal ones of a
-    chunk once. A bucket compares the distinct contents of its pieces. `windows(data, begin, end, doc, place, named)`
+    Checks go first: 32 bits of each, once for a chunk; only units with a check that another text has travel, equal
+    pieces of a chunk once. A bucket compares the distinct contents of its pieces. `windows(data, begin, end, doc, place, named)`
     gives (group, doc, place) of each window, equal windows with one number from 0 on, and 128 bits of content for
     each number where `named`. A bucket above LARGE bytes is dealt into slices by chunk: each gives a row for each of
     its distinct windows, Spark finds the least id of a window, and that goes back to the slices. Between slices,

@@ -14,12 +14,12 @@ _K = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _anchored(length: int):
-    """Pieces that hold every string of `length` bytes, keyed by the least hash of its 16-grams."""
+    """Pieces that hold every string of `length` bytes, keyed by the least hash of its 16-grams; checks are the anchor with the bytes on its left or right."""
 
     def pieces(buf, starts):
         none = np.zeros(0, np.int64)
         if len(buf) < length:
-            return none.astype(np.uint64), none, none, none, none
+            return none.astype(np.uint64), none, none, none, none, none.astype(np.uint64)[:, None]
         pad = np.append(buf, np.zeros(16, np.uint8)).tobytes()
         lane = np.ndarray(len(buf) + 8, "<u8", pad, strides=(1,))
         gram = mix(mix(lane[: len(buf)]) * np.uint64(0x9E3779B97F4A7C15) + lane[8 : len(buf) + 8])
@@ -35,20 +35,39 @@ def _anchored(length: int):
         text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[:n]
         place = np.flatnonzero(np.arange(n) + length <= starts[text + 1] - 1)  # not over the end of a text
         if not len(place):
-            return none.astype(np.uint64), none, none, none, none
+            return none.astype(np.uint64), none, none, none, none, none.astype(np.uint64)[:, None]
         anchor = least[place]
         new = np.append(True, (anchor[1:] != anchor[:-1]) | (np.diff(place) != 1))
         first = place[new]
         last = place[np.append(np.flatnonzero(new)[1:], len(place)) - 1]
-        return least[first] & ~np.uint64(63), first, last + length, text[first], first - starts[text[first]]
+        least = least[first]
+        at = first + ((least - first.astype(np.uint64)) & np.uint64(63)).astype(np.int64)
+        key = least & ~np.uint64(63)
+        # a string holds half of the bytes around its anchor at least on one side
+        half = -(-(length - GRAM) // 2)
+        steps = [*range(0, half - 8, 8), half - 8] if half >= 8 else []
+        wide = np.concatenate([np.zeros(half, np.uint8), buf, np.zeros(half + 8, np.uint8)]).tobytes()
+        lane = np.ndarray(len(wide) - 7, "<u8", wide, strides=(1,))
+        checks = np.stack([mix(key + np.uint64(side)) for side in (1, 2)], axis=1)
+        for step in steps:
+            for side, base in enumerate((at, at + half + GRAM)):
+                checks[:, side] = mix(checks[:, side] * _K + lane[base + step])
+        return key, first, last + length, text[first], first - starts[text[first]], checks
 
     return pieces
 
 
 def _suffix_array(s: np.ndarray, length: int) -> np.ndarray:
     """Order of the suffixes by their first `length` symbols, by doubling the compared prefix."""
-    rank, done = s.astype(np.int64), 1
+    # seven symbols of nine bits at once, 0 behind the end
+    rank, done = np.zeros(len(s), np.int64), 7
+    for j in range(done):
+        rank <<= 9
+        rank[: len(s) - j] |= s[j:] + 1 if j < len(s) else 0
     order = np.argsort(rank, kind="stable")
+    ordered = rank[order]
+    rank = np.empty(len(s), np.int64)
+    rank[order] = np.cumsum(np.append(0, ordered[1:] != ordered[:-1]))
     while done < length:
         other = np.zeros(len(s), np.int64)
         other[: len(s) - done] = rank[done:] + 1 if done < len(s) else 0
