@@ -70,6 +70,21 @@ def test_one_pass_digests_what_decoding_gives(spark, dirty):
     assert sorted(map(tuple, catalog.bpe.decoded_digest(ids, catalog.TOKENS).collect())) == sorted(map(tuple, two.collect()))
 
 
+def test_words_split_over_small_blocks_and_answers(spark, dirty):
+    folder, docs = dirty
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(catalog.TOKENS, "rb"))}
+    coder = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        ids = catalog.bpe.encode(spark.read.parquet(f"{folder}/documents.parquet"), catalog.TOKENS, P.PATTERN, carry=["source", "text"], block_bytes=3000, answer_rows=100)
+        got = {row.id: row for row in ids.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == len(docs)
+    for i, text, source in zip(docs["doc_id"], docs["text"], docs["source"]):
+        assert (got[i].ids, got[i].text, got[i].source) == (coder.encode_ordinary(text or ""), text, source)
+
+
 def _repeats(docs, units, n):
     least = {}
     for i, u in units.items():

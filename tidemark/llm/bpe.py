@@ -5,6 +5,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from collections import defaultdict
+from itertools import chain, count
 
 import numpy as np
 import pandas as pd
@@ -73,73 +75,92 @@ def slices(batches, rows: int = 500):
             yield batch.iloc[at : at + rows].reset_index(drop=True)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+def _pack(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^31, compressed byte plane by byte plane."""
+    return zstandard.compress(np.ascontiguousarray(numbers, np.int32).view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.int32).ravel()
+
+
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of every run, one run after the other."""
+    ends = np.cumsum(size, dtype=np.int64)
+    return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, block_bytes: int = 8 << 20, answer_rows: int = 1 << 18) -> DataFrame:
     """(id, ids array<int>, carried columns) per row.
 
-    A batch of rows is a block. Its rows become numbers of the block's distinct words by position
-    (one written table); the words of all blocks are shuffled, made distinct and encoded once; ids
-    go back to the blocks that hold the word and are put together by position. So a frequent word
-    travels once for each block, not for each occurrence. Null and empty texts have no ids;
-    repeated rows stay; carried columns are passed on unchanged.
+    About `block_bytes` characters of a batch of rows are a block. Its rows become numbers of the
+    block's distinct words by position (one written table). The words of all blocks are shuffled by
+    word and sorted, so that equal words follow one another and each distinct word is encoded once;
+    the answers go back to the blocks, packed for `answer_rows` words at a time, and the ids are put
+    together by position. So a frequent word travels once for each block, not for each occurrence.
+    Null and empty texts have no ids; repeated rows stay; carried columns are passed on unchanged.
     """
     spark, carry = docs.sparkSession, carry or []
     held = spark.sparkContext.broadcast(vocabulary(path))
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*carry).alias("carried") if carry else F.lit(None).cast("string").alias("carried"))
     kinds = {f.name: f.dataType.simpleString() for f in named.schema.fields}
     # a written number of the row takes the carried columns through the blocks
-    schema = f"block string, id {kinds['id']}, carried {kinds['carried']}, places binary, words array<string>"
+    schema = f"block long, id {kinds['id']}, carried {kinds['carried']}, places binary, words array<string>"
 
     def number(batches):
-        find, task = regex.compile(pattern).findall, TaskContext.get()
-        pack = zstandard.ZstdCompressor(level=3).compress
-        for k, batch in enumerate(chunks(batches, limit=4 << 20)):
-            known: dict[str, int] = {}
-            places = []
-            for text in batch["text"]:
-                found = find(text) if isinstance(text, str) else []
-                places.append(pack(np.array([known.setdefault(w, len(known)) for w in found], np.int32).view(np.uint8).reshape(-1, 4).T.tobytes()))
-            block = f"{task.partitionId()}-{k}"
-            out = pd.DataFrame({"block": block, "id": batch["id"], "carried": batch["carried"], "places": places, "words": None})
-            yield out
+        find, first = regex.compile(pattern).findall, TaskContext.get().partitionId() << 32
+        for block, batch in enumerate(chunks(batches, limit=block_bytes), first):
+            known: dict[str, int] = defaultdict(count().__next__)
+            places = [_pack(np.fromiter(map(known.__getitem__, find(text) if isinstance(text, str) else ()), np.int32)) for text in batch["text"]]
+            yield pd.DataFrame({"block": block, "id": batch["id"], "carried": batch["carried"], "places": places, "words": None})
             yield pd.DataFrame({"block": [block], "id": None, "carried": None, "places": None, "words": [list(known)]})
 
     blocks = stage(named.mapInPandas(number, schema), "bpe-blocks")
 
+    def answers(block, k, turn, coded):
+        size = np.array([len(ids) for ids in coded])
+        start, flat = np.cumsum(size) - size, np.fromiter(chain.from_iterable(coded), np.int32)
+        order = np.lexsort((k, block))
+        rows = []
+        for part in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
+            own = turn[part]
+            rows.append((block[part[0]], _pack(np.diff(k[part], prepend=0)), _pack(size[own]), _pack(flat[_runs(start[own], size[own])])))
+        return pd.DataFrame(rows, columns=["own_block", "steps", "sizes", "ids"])
+
     def encode_all(batches):
-        ranks = held.value
+        ranks, last, kept, coded = held.value, None, [], []
         for batch in batches:
-            yield pd.DataFrame({"word": batch["word"], "ids": [encode_word(w.encode(), ranks) for w in batch["word"]]})
+            if not len(batch):
+                continue
+            words = batch["word"].to_numpy()
+            fresh = np.append(words[0] != last, words[1:] != words[:-1]).astype(bool)
+            kept.append((batch["block"].to_numpy(), batch["k"].to_numpy(), np.cumsum(fresh) - 1 + len(coded)))
+            coded += [encode_word(word.encode(), ranks) for word in words[fresh]]
+            last = words[-1]
+            if sum(len(part[0]) for part in kept) >= answer_rows:
+                yield answers(*map(np.concatenate, zip(*kept)), coded)
+                kept, coded = [], coded[-1:]
+        if kept:
+            yield answers(*map(np.concatenate, zip(*kept)), coded)
 
     rows = blocks.where("words IS NOT NULL").select("block", F.posexplode("words").alias("k", "word"))
-    coded = stage(rows.select("word").distinct().mapInPandas(encode_all, "word string, ids array<int>"), "bpe-words")
-    back = rows.join(coded, "word").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("k", "ids"))).alias("table"))
-    back = back.select(F.col("block").alias("own_block"), F.col("table.ids").alias("ids"))
-
-    def place(batches):
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            out, held_block, flat, size, start = [], None, None, None, None
-            for block, spots, table in zip(batch["block"], batch["places"], batch["ids"]):
-                at = np.ascontiguousarray(np.frombuffer(unpack(spots), np.uint8).reshape(4, -1).T).view(np.int32).ravel()
-                if not len(at):
-                    out.append(np.zeros(0, np.int32))
-                    continue
-                if held_block != block:
-                    size = np.array([len(t) for t in table])
-                    start, flat, held_block = np.cumsum(size) - size, np.concatenate(list(table)).astype(np.int32), block
-                n = size[at]
-                ends = np.cumsum(n)
-                out.append(flat[np.repeat(start[at] - (ends - n), n) + np.arange(ends[-1])])
-            yield pd.DataFrame({"id": batch["id"], "carried": batch["carried"], "ids": out})
+    back = rows.repartition("word").sortWithinPartitions("word").mapInPandas(encode_all, "own_block long, steps binary, sizes binary, ids binary")
 
     def assemble(left, right):
-        table = {"ids": [right["ids"].iloc[0]] * len(left)} if len(right) else {"ids": [None] * len(left)}
-        if not len(left):
-            return pd.DataFrame({"id": left["id"], "carried": left["carried"], "ids": []})
-        return next(place([left[["block", "id", "carried", "places"]].assign(**table)]))
-
-    rows_out = blocks.where("words IS NULL").select("block", "id", "carried", "places")
-    out = rows_out.groupBy("block").cogroup(back.groupBy("own_block")).applyInPandas(assemble, f"id {kinds['id']}, carried {kinds['carried']}, ids array<int>")
+        size = start = flat = np.zeros(0, np.int32)
+        if len(right):
+            k, n, flat = (np.concatenate(parts) for parts in ([np.cumsum(_unpack(x)) for x in right["steps"]], [_unpack(x) for x in right["sizes"]], [_unpack(x) for x in right["ids"]]))
+            size, start = np.zeros(len(k), np.int64), np.zeros(len(k), np.int64)
+            size[k], start[k] = n, np.cumsum(n, dtype=np.int64) - n
+        out = []
+        for places in left["places"]:
+            at = _unpack(places)
+            out.append(flat[_runs(start[at], size[at])])
+        return pd.DataFrame({"id": left["id"], "carried": left["carried"], "ids": out})
+
+    texts = blocks.where("words IS NULL").select("block", "id", "carried", "places")
+    out = texts.groupBy("block").cogroup(back.groupBy("own_block")).applyInPandas(assemble, f"id {kinds['id']}, carried {kinds['carried']}, ids array<int>")
     return out.select("id", *([f"carried.{c}" for c in carry]), "ids")
 
 
@@ -183,13 +204,15 @@ def decoded_digest(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         token = {i: b for b, i in held.value.items()}
+        name = {i: str(i) for i in token}
         for batch in slices(batches):
             rows = []
             for ids in batch["ids"]:
                 numbers, data = hashlib.sha256(), hashlib.sha256()
-                numbers.update(",".join(map(str, ids.tolist())).encode())
                 for at in range(0, len(ids), 1 << 16):
-                    data.update(b"".join(map(token.__getitem__, ids[at : at + (1 << 16)].tolist())))
+                    part = ids[at : at + (1 << 16)].tolist()
+                    numbers.update(("," * (at > 0) + ",".join(map(name.__getitem__, part))).encode())
+                    data.update(b"".join(map(token.__getitem__, part)))
                 rows.append((len(ids), numbers.hexdigest(), data.hexdigest()))
             yield pd.DataFrame({"doc_id": batch["id"], **dict(zip(("n_tokens", "ids_sha256", "decoded_sha256"), zip(*rows)))} if rows else {"doc_id": batch["id"], "n_tokens": pd.Series(dtype="int64"), "ids_sha256": pd.Series(dtype=object), "decoded_sha256": pd.Series(dtype=object)})
 
