@@ -76,7 +76,7 @@ def test_words_split_over_small_blocks_and_answers(spark, dirty):
     coder = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
     try:
-        ids = catalog.bpe.encode(spark.read.parquet(f"{folder}/documents.parquet"), catalog.TOKENS, P.PATTERN, carry=["source", "text"], block_bytes=3000, answer_rows=100)
+        ids = catalog.bpe.encode(spark.read.parquet(f"{folder}/documents.parquet"), catalog.TOKENS, P.PATTERN, carry=["source", "text"], block_chars=3000, bucket_bytes=500)
         got = {row.id: row for row in ids.collect()}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -7,6 +7,7 @@ import hashlib
 import heapq
 from collections import defaultdict
 from itertools import chain, count
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -19,26 +20,43 @@ from pyspark.sql import functions as F
 from tidemark.llm.text import chunks
 from tidemark.session import stage
 
-MAX_RANKS = 1_000_000  # tokens of a vocabulary that is broadcast
+MAX_RANKS = 1_000_000  # tokens of a vocabulary that is broadcast; ranks are below it
+SHORT = 40  # bytes of a word whose pairs are searched in a list
+#: Bytes of text for each bucket of words, and the least number of buckets.
+BUCKET_BYTES, BUCKETS = 64 << 20, 32
 
 
 def vocabulary(path: str) -> dict[bytes, int]:
     """Token bytes and ranks of a rank file; refused beyond MAX_RANKS tokens."""
     with open(path, "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in file if line.strip())}
-    if len(ranks) > MAX_RANKS:
-        raise ValueError(f"{len(ranks)} tokens; a vocabulary may have {MAX_RANKS}")
+    if len(ranks) > MAX_RANKS or max(ranks.values(), default=0) >= MAX_RANKS:
+        raise ValueError(f"{len(ranks)} tokens; a vocabulary may have {MAX_RANKS}, with ranks below that")
     return ranks
 
 
 def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one word: the lowest-ranked neighbouring pair is merged until none is left.
 
-    A heap of pairs over a linked list, so that a word of n bytes takes n log n steps.
+    Short words look for the pair in a list. Others use a heap of pairs over a linked list, so
+    that a word of n bytes takes n log n steps.
     """
     if word in ranks:
         return [ranks[word]]
     n = len(word)
+    if n <= SHORT:
+        get, none = ranks.get, MAX_RANKS
+        parts = [word[i : i + 1] for i in range(n)]
+        pairs = [get(word[i : i + 2], none) for i in range(n - 1)]
+        while pairs and (least := min(pairs)) < none:
+            i = pairs.index(least)
+            parts[i] += parts.pop(i + 1)
+            del pairs[i]
+            if i:
+                pairs[i - 1] = get(parts[i - 1] + parts[i], none)
+            if i < len(pairs):
+                pairs[i] = get(parts[i] + parts[i + 1], none)
+        return [ranks[part] for part in parts]
     stop, prev, nxt = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
     heap: list[tuple[int, int, int]] = []
 
@@ -91,77 +109,99 @@ def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, block_bytes: int = 8 << 20, answer_rows: int = 1 << 18) -> DataFrame:
+def _first_seen(at: np.ndarray) -> np.ndarray:
+    """Numbers given in order of first occurrence, with 0 at those places and number + 1 elsewhere."""
+    fresh = at > np.maximum.accumulate(np.append(-1, at))[:-1]
+    return np.where(fresh, 0, at + 1)
+
+
+def _seen(coded: np.ndarray) -> np.ndarray:
+    fresh, at = coded == 0, coded - 1
+    at[fresh] = np.arange(fresh.sum())
+    return at
+
+
+class _Ids(dict):
+    """Ids by word; a word that is asked for the first time is encoded."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
+        self.ranks = ranks
+
+    def __missing__(self, word: bytes) -> list[int]:
+        ids = self[word] = encode_word(word, self.ranks)
+        return ids
+
+
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, block_chars: int = 16 << 20, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(id, ids array<int>, carried columns) per row.
 
-    About `block_bytes` characters of a batch of rows are a block. Its rows become numbers of the
-    block's distinct words by position (one written table). The words of all blocks are shuffled by
-    word and sorted, so that equal words follow one another and each distinct word is encoded once;
-    the answers go back to the blocks, packed for `answer_rows` words at a time, and the ids are put
+    Rows of about `block_chars` characters are a block. A block's texts become numbers of its
+    distinct words by position, and those words go, packed, to the bucket of their hash (one written
+    table holds both). All blocks' words meet in the buckets, where each distinct word is encoded
+    once; each pack is answered by the ids of its words in the same order, and a block puts its ids
     together by position. So a frequent word travels once for each block, not for each occurrence.
-    Null and empty texts have no ids; repeated rows stay; carried columns are passed on unchanged.
+    There is a bucket for every `bucket_bytes` of text, so a bucket's words fit in a task at any
+    size of the table, and no pack is empty. Null and empty texts have no ids; repeated rows stay;
+    carried columns are passed on unchanged, also one named like the id.
     """
-    spark, carry = docs.sparkSession, carry or []
+    spark = docs.sparkSession
     held = spark.sparkContext.broadcast(vocabulary(path))
-    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*carry).alias("carried") if carry else F.lit(None).cast("string").alias("carried"))
-    kinds = {f.name: f.dataType.simpleString() for f in named.schema.fields}
-    # a written number of the row takes the carried columns through the blocks
-    schema = f"block long, id {kinds['id']}, carried {kinds['carried']}, places binary, words array<string>"
+    buckets = max(BUCKETS, -(-(docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0) // bucket_bytes))
+    carried = F.struct(*carry) if carry else F.lit(None).cast("string")
+    named = docs.select(F.struct(F.col(id_col).alias("id"), carried.alias("carried")).alias("row"), F.col(text_col).alias("text"))
+    kind = named.schema["row"].dataType.simpleString()
+    # a row per block with bucket -1 for its texts, and one for each bucket of its words
+    schema = f"block long, bucket int, rows array<{kind}>, counts binary, owners binary, places binary, sizes binary, words binary"
 
     def number(batches):
         find, first = regex.compile(pattern).findall, TaskContext.get().partitionId() << 32
-        for block, batch in enumerate(chunks(batches, limit=block_bytes), first):
+        for block, batch in enumerate(chunks(batches, limit=block_chars), first):
+            if not len(batch):
+                continue
             known: dict[str, int] = defaultdict(count().__next__)
-            places = [_pack(np.fromiter(map(known.__getitem__, find(text) if isinstance(text, str) else ()), np.int32)) for text in batch["text"]]
-            yield pd.DataFrame({"block": block, "id": batch["id"], "carried": batch["carried"], "places": places, "words": None})
-            yield pd.DataFrame({"block": [block], "id": None, "carried": None, "places": None, "words": [list(known)]})
+            found = [np.fromiter(map(known.__getitem__, find(text) if isinstance(text, str) else ()), np.int32) for text in batch["text"]]
+            words = [word.encode() for word in known]
+            bucket = np.fromiter((crc32(word) % buckets for word in words), np.int32, len(words))
+            texts = (block, -1, list(batch["row"]), _pack([len(at) for at in found]), _pack(bucket), _pack(_first_seen(np.concatenate(found))), None, None)
+            order, packs = np.argsort(bucket, kind="stable"), []
+            for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else ():
+                own = [words[i] for i in part.tolist()]
+                packs.append((block, int(bucket[part[0]]), None, None, None, None, _pack([len(word) for word in own]), zstandard.compress(b"".join(own), 3)))
+            yield pd.DataFrame([texts, *packs], columns=["block", "bucket", "rows", "counts", "owners", "places", "sizes", "words"])
 
     blocks = stage(named.mapInPandas(number, schema), "bpe-blocks")
 
-    def answers(block, k, turn, coded):
-        size = np.array([len(ids) for ids in coded])
-        start, flat = np.cumsum(size) - size, np.fromiter(chain.from_iterable(coded), np.int32)
-        order = np.lexsort((k, block))
-        rows = []
-        for part in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
-            own = turn[part]
-            rows.append((block[part[0]], _pack(np.diff(k[part], prepend=0)), _pack(size[own]), _pack(flat[_runs(start[own], size[own])])))
-        return pd.DataFrame(rows, columns=["own_block", "steps", "sizes", "ids"])
-
     def encode_all(batches):
-        ranks, last, kept, coded = held.value, None, [], []
-        for batch in batches:
-            if not len(batch):
-                continue
-            words = batch["word"].to_numpy()
-            fresh = np.append(words[0] != last, words[1:] != words[:-1]).astype(bool)
-            kept.append((batch["block"].to_numpy(), batch["k"].to_numpy(), np.cumsum(fresh) - 1 + len(coded)))
-            coded += [encode_word(word.encode(), ranks) for word in words[fresh]]
-            last = words[-1]
-            if sum(len(part[0]) for part in kept) >= answer_rows:
-                yield answers(*map(np.concatenate, zip(*kept)), coded)
-                kept, coded = [], coded[-1:]
-        if kept:
-            yield answers(*map(np.concatenate, zip(*kept)), coded)
-
-    rows = blocks.where("words IS NOT NULL").select("block", F.posexplode("words").alias("k", "word"))
-    back = rows.repartition("word").sortWithinPartitions("word").mapInPandas(encode_all, "own_block long, steps binary, sizes binary, ids binary")
+        coded, last = None, None
+        for batch in slices(batches, 64):
+            out = []
+            for block, bucket, sizes, words in zip(batch["block"], batch["bucket"], batch["sizes"], batch["words"]):
+                if bucket != last:
+                    coded, last = _Ids(held.value), bucket
+                text, ends = zstandard.decompress(words), np.cumsum(_unpack(sizes)).tolist()
+                ids = [coded[text[a:b]] for a, b in zip([0, *ends], ends)]
+                out.append((block, bucket, _pack([len(x) for x in ids]), _pack(np.fromiter(chain.from_iterable(ids), np.int32))))
+            yield pd.DataFrame(out, columns=["own_block", "own_bucket", "lengths", "ids"])
+
+    packs = blocks.where("bucket >= 0").select("block", "bucket", "sizes", "words")
+    back = packs.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(encode_all, "own_block long, own_bucket int, lengths binary, ids binary")
 
     def assemble(left, right):
-        size = start = flat = np.zeros(0, np.int32)
-        if len(right):
-            k, n, flat = (np.concatenate(parts) for parts in ([np.cumsum(_unpack(x)) for x in right["steps"]], [_unpack(x) for x in right["sizes"]], [_unpack(x) for x in right["ids"]]))
-            size, start = np.zeros(len(k), np.int64), np.zeros(len(k), np.int64)
-            size[k], start[k] = n, np.cumsum(n, dtype=np.int64) - n
-        out = []
-        for places in left["places"]:
-            at = _unpack(places)
-            out.append(flat[_runs(start[at], size[at])])
-        return pd.DataFrame({"id": left["id"], "carried": left["carried"], "ids": out})
-
-    texts = blocks.where("words IS NULL").select("block", "id", "carried", "places")
-    out = texts.groupBy("block").cogroup(back.groupBy("own_block")).applyInPandas(assemble, f"id {kinds['id']}, carried {kinds['carried']}, ids array<int>")
-    return out.select("id", *([f"carried.{c}" for c in carry]), "ids")
+        text = left.iloc[0]
+        owners, at = _unpack(text["owners"]), _seen(_unpack(text["places"]))
+        size, start, flat = np.zeros(len(owners), np.int64), np.zeros(len(owners), np.int64), np.zeros(0, np.int32)
+        if len(owners):
+            right = right.sort_values("own_bucket")
+            n, flat = (np.concatenate([_unpack(x) for x in right[c]]) for c in ("lengths", "ids"))
+            order = np.argsort(owners, kind="stable")
+            size[order], start[order] = n, np.cumsum(n, dtype=np.int64) - n
+        ends = np.append(0, np.cumsum(size[at]))[np.cumsum(_unpack(text["counts"]))]
+        return pd.DataFrame({"row": list(text["rows"]), "ids": np.split(flat[_runs(start[at], size[at])], ends[:-1])})
+
+    texts = blocks.where("bucket < 0").select("block", "rows", "counts", "owners", "places")
+    out = texts.groupBy("block").cogroup(back.groupBy("own_block")).applyInPandas(assemble, f"row {kind}, ids array<int>")
+    return out.select("row.id", *([f"row.carried.{c}" for c in carry or []]), "ids")
 
 
 def decode(encoded: DataFrame, path: str, carry: list[str] | None = None) -> DataFrame:
