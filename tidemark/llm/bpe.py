@@ -93,20 +93,31 @@ def slices(batches, rows: int = 500):
             yield batch.iloc[at : at + rows].reset_index(drop=True)
 
 
-def _pack(numbers: np.ndarray) -> bytes:
-    """Numbers below 2^31, compressed byte plane by byte plane."""
-    return zstandard.compress(np.ascontiguousarray(numbers, np.int32).view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+def _by_upper(upper: np.ndarray) -> np.ndarray:
+    """A stable order by the upper parts of numbers; 16 bits, which mostly do, are sorted faster."""
+    return np.argsort(upper.astype(np.uint16) if not len(upper) or upper.max() < 1 << 16 else upper, kind="stable")
+
+
+def _pack(numbers) -> bytes:
+    """Numbers from 0 to 2^31, compressed: their upper bytes plane by plane, then their low bytes in the order of the upper ones."""
+    numbers = np.asarray(numbers, np.int32)
+    upper = numbers >> 8
+    planes = upper.view(np.uint8).reshape(-1, 4).T[:3]
+    return zstandard.compress(planes.tobytes() + (numbers & 255).astype(np.uint8)[_by_upper(upper)].tobytes(), 3)
 
 
 def _unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view(np.int32).ravel()
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1).astype(np.int32)
+    upper = planes[0] | planes[1] << 8 | planes[2] << 16
+    low = np.empty_like(upper)
+    low[_by_upper(upper)] = planes[3]
+    return upper << 8 | low
 
 
 def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The places start, start + 1, ... of every run, one run after the other."""
     ends = np.cumsum(size, dtype=np.int64)
-    return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+    return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int64)
 
 
 def _first_seen(at: np.ndarray) -> np.ndarray:
@@ -190,14 +201,14 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def assemble(left, right):
         text = left.iloc[0]
         owners, at = _unpack(text["owners"]), _seen(_unpack(text["places"]))
-        size, start, flat = np.zeros(len(owners), np.int64), np.zeros(len(owners), np.int64), np.zeros(0, np.int32)
+        size, start, flat = np.zeros_like(owners), np.zeros_like(owners), np.zeros(0, np.int32)
         if len(owners):
             right = right.sort_values("own_bucket")
             n, flat = (np.concatenate([_unpack(x) for x in right[c]]) for c in ("lengths", "ids"))
             order = np.argsort(owners, kind="stable")
             size[order], start[order] = n, np.cumsum(n, dtype=np.int64) - n
-        ends = np.append(0, np.cumsum(size[at]))[np.cumsum(_unpack(text["counts"]))]
-        return pd.DataFrame({"row": list(text["rows"]), "ids": np.split(flat[_runs(start[at], size[at])], ends[:-1])})
+        texts = np.split(at, np.cumsum(_unpack(text["counts"]))[:-1])
+        return pd.DataFrame({"row": list(text["rows"]), "ids": [flat[_runs(start[spots], size[spots])] for spots in texts]})
 
     texts = blocks.where("bucket < 0").select("block", "rows", "counts", "owners", "places")
     out = texts.groupBy("block").cogroup(back.groupBy("own_block")).applyInPandas(assemble, f"row {kind}, ids array<int>")
