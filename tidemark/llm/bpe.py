@@ -107,8 +107,10 @@ def _pack(numbers) -> bytes:
 
 
 def _unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1).astype(np.int32)
-    upper = planes[0] | planes[1] << 8 | planes[2] << 16
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
+    upper = planes[2].astype(np.int32)
+    for plane in planes[1::-1]:
+        upper = upper << 8 | plane
     low = np.empty_like(upper)
     low[_by_upper(upper)] = planes[3]
     return upper << 8 | low
@@ -122,8 +124,10 @@ def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _first_seen(at: np.ndarray) -> np.ndarray:
     """Numbers given in order of first occurrence, with 0 at those places and number + 1 elsewhere."""
-    fresh = at > np.maximum.accumulate(np.append(-1, at))[:-1]
-    return np.where(fresh, 0, at + 1)
+    coded = at + 1
+    coded[1:][at[1:] > np.maximum.accumulate(at)[:-1]] = 0
+    coded[:1] = 0
+    return coded
 
 
 def _seen(coded: np.ndarray) -> np.ndarray:
@@ -144,8 +148,8 @@ class _Ids(dict):
         return ids
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, block_chars: int = 16 << 20, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(id, ids array<int>, carried columns) per row.
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, block_chars: int = 12 << 20, bucket_bytes: int = BUCKET_BYTES, digests: bool = False) -> DataFrame:
+    """(id, carried columns, ids array<int>) per row; with `digests` the columns of `digest` in place of ids.
 
     Rows of about `block_chars` characters are a block. A block's texts become numbers of its
     distinct words by position, and those words go, packed, to the bucket of their hash (one written
@@ -172,9 +176,11 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                 continue
             known: dict[str, int] = defaultdict(count().__next__)
             found = [np.fromiter(map(known.__getitem__, find(text) if isinstance(text, str) else ()), np.int32) for text in batch["text"]]
+            counts, found = [len(at) for at in found], np.concatenate(found)
             words = [word.encode() for word in known]
+            del known
             bucket = np.fromiter((crc32(word) % buckets for word in words), np.int32, len(words))
-            texts = (block, -1, list(batch["row"]), _pack([len(at) for at in found]), _pack(bucket), _pack(_first_seen(np.concatenate(found))), None, None)
+            texts = (block, -1, list(batch["row"]), _pack(counts), _pack(bucket), _pack(_first_seen(found)), None, None)
             order, packs = np.argsort(bucket, kind="stable"), []
             for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else ():
                 own = [words[i] for i in part.tolist()]
@@ -208,11 +214,15 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             order = np.argsort(owners, kind="stable")
             size[order], start[order] = n, np.cumsum(n, dtype=np.int64) - n
         texts = np.split(at, np.cumsum(_unpack(text["counts"]))[:-1])
-        return pd.DataFrame({"row": list(text["rows"]), "ids": [flat[_runs(start[spots], size[spots])] for spots in texts]})
+        ids = (flat[_runs(start[spots], size[spots])] for spots in texts)
+        if digests:
+            return _digests(ids, held.value).assign(row=list(text["rows"]))
+        return pd.DataFrame({"row": list(text["rows"]), "ids": list(ids)})
 
     texts = blocks.where("bucket < 0").select("block", "rows", "counts", "owners", "places")
-    out = texts.groupBy("block").cogroup(back.groupBy("own_block")).applyInPandas(assemble, f"row {kind}, ids array<int>")
-    return out.select("row.id", *([f"row.carried.{c}" for c in carry or []]), "ids")
+    made = DIGESTS if digests else "ids array<int>"
+    out = texts.groupBy("block").cogroup(back.groupBy("own_block")).applyInPandas(assemble, f"row {kind}, {made}")
+    return out.select("row.id", *([f"row.carried.{c}" for c in carry or []]), *out.columns[1:])
 
 
 def decode(encoded: DataFrame, path: str, carry: list[str] | None = None) -> DataFrame:
@@ -248,23 +258,36 @@ def digest(decoded: DataFrame) -> DataFrame:
     return decoded.select("id", "ids", "bytes").mapInPandas(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def _digests(texts, ranks: dict[bytes, int]) -> pd.DataFrame:
+    """Number and hash of the ids of each text, and the hash of the bytes they decode to, piece by piece."""
+    token = {i: word for word, i in ranks.items()}
+    name = {i: str(i) for i in token}
+    rows = []
+    for ids in texts:
+        numbers, data = hashlib.sha256(), hashlib.sha256()
+        for at in range(0, len(ids), 1 << 16):
+            part = ids[at : at + (1 << 16)].tolist()
+            numbers.update(("," * (at > 0) + ",".join(map(name.__getitem__, part))).encode())
+            data.update(b"".join(map(token.__getitem__, part)))
+        rows.append((len(ids), numbers.hexdigest(), data.hexdigest()))
+    return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+
 def decoded_digest(encoded: DataFrame, path: str) -> DataFrame:
     """`digest` of `decode` in one pass over the ids: neither ids nor bytes leave the task for a second one."""
     kind = encoded.schema["id"].dataType.simpleString()
     held = encoded.sparkSession.sparkContext.broadcast(vocabulary(path))
 
     def run(batches):
-        token = {i: b for b, i in held.value.items()}
-        name = {i: str(i) for i in token}
-        for batch in slices(batches):
-            rows = []
-            for ids in batch["ids"]:
-                numbers, data = hashlib.sha256(), hashlib.sha256()
-                for at in range(0, len(ids), 1 << 16):
-                    part = ids[at : at + (1 << 16)].tolist()
-                    numbers.update(("," * (at > 0) + ",".join(map(name.__getitem__, part))).encode())
-                    data.update(b"".join(map(token.__getitem__, part)))
-                rows.append((len(ids), numbers.hexdigest(), data.hexdigest()))
-            yield pd.DataFrame({"doc_id": batch["id"], **dict(zip(("n_tokens", "ids_sha256", "decoded_sha256"), zip(*rows)))} if rows else {"doc_id": batch["id"], "n_tokens": pd.Series(dtype="int64"), "ids_sha256": pd.Series(dtype=object), "decoded_sha256": pd.Series(dtype=object)})
-
-    return encoded.select("id", "ids").mapInPandas(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        for batch in batches:
+            yield _digests(batch["ids"], held.value).assign(doc_id=batch["id"])
+
+    return encoded.select("id", "ids").mapInPandas(run, f"doc_id {kind}, {DIGESTS}")
+
+
+def encoded_digest(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`digest` of the decoded ids of every row, worked out where a block puts its ids together, so ids never leave that task."""
+    return encode(docs, path, pattern, id_col, text_col, digests=True).withColumnRenamed("id", "doc_id")

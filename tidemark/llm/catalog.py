@@ -22,8 +22,7 @@ def op1_license_scan(spark, folder):
 
 
 def op2_byte_bpe(spark, folder):
-    ids = bpe.encode(read(spark, folder, "documents"), TOKENS, public_tokenizers.PATTERN)
-    return bpe.decoded_digest(ids, TOKENS)
+    return bpe.encoded_digest(read(spark, folder, "documents"), TOKENS, public_tokenizers.PATTERN)
 
 
 def op3_url_filter(spark, folder):
