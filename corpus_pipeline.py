@@ -56,8 +56,7 @@ def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids and hashes of the ids and of the decoded bytes. Null and empty texts have no ids; repeated rows stay."""
-    ids = bpe.encode(docs, TOKENS, public_tokenizers.PATTERN)
-    return bpe.decoded_digest(ids, TOKENS)
+    return bpe.encoded_digest(docs, TOKENS, public_tokenizers.PATTERN)
 
 
 STAGES = [
