@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.session import stage
+from tidemark.session import few_rows, stage
 
 
 @dataclass(frozen=True)
@@ -63,13 +63,17 @@ def join_by_key(target: DataFrame, source: DataFrame, on: Sequence[str]) -> Data
     return met.unionByName(fresh)
 
 
-def without(source: DataFrame, target: DataFrame, on: Sequence[str]) -> DataFrame:
+def without(source: DataFrame, target: DataFrame, on: Sequence[str], written: bool = False) -> DataFrame:
     """Source rows whose key the target does not hold; a key with a NULL is never held.
 
     The target's keys are reduced to those of the batch first, with the batch as the build side.
+    `written` tells that both are written tables: their rows are counted then, and nothing is
+    broadcast when both have many.
     """
-    touched = target.select(*on).join(source.select(*on), list(on), "left_semi").distinct()
-    return source.join(touched, list(on), "left_anti").select(*source.columns)
+    large = written and not few_rows(source) and not few_rows(target)
+    side = lambda df: df.hint("merge") if large else df
+    touched = target.select(*on).join(side(source.select(*on)), list(on), "left_semi").distinct()
+    return source.join(side(touched), list(on), "left_anti").select(*source.columns)
 
 
 def merge(
@@ -129,9 +133,9 @@ def paired(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     return images.select("before", "after")
 
 
-def absent(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
+def absent(target: DataFrame, source: DataFrame, on: Sequence[str], written: bool = False) -> DataFrame:
     """Source rows whose key the target does not hold: the rows to append."""
-    return without(source, target, on).select(*target.columns)
+    return without(source, target, on, written).select(*target.columns)
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.merge import absent, without
 from tidemark.operators.numbering import assign_keys
-from tidemark.session import stage
+from tidemark.session import few_rows, join_side, stage
 
 
 def first_per_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -39,7 +39,7 @@ def shred_dim(target: DataFrame, rows: DataFrame, natural_key: str, sk: str) ->
     The batch is reduced to one row per key and written; the target is only asked for these keys.
     """
     known = rows.filter(F.col(natural_key).isNotNull())
-    fresh = without(stage(first_per_key(known, [natural_key]), f"distinct-{sk}"), target, [natural_key])
+    fresh = without(stage(first_per_key(known, [natural_key]), f"distinct-{sk}"), target, [natural_key], written=True)
     keyed = assign_keys(fresh.select(*rows.columns), sk, [natural_key], _max_key(target, sk))
     return keyed.select(*target.columns)
 
@@ -72,14 +72,20 @@ def shred_rollup(
     new_parents = shred_dim(target, filled(parents), natural_key, sk)
     with_parents = target.unionByName(new_parents)
     owners = with_parents.select(F.col(natural_key).alias(parent_name), F.col(sk).alias(parent_ref))
-    linked = children.join(owners, parent_name, "inner")
+    linked = children.join(join_side(owners), parent_name, "inner")
     return new_parents.unionByName(shred_dim(with_parents, filled(linked), natural_key, sk))
 
 
-def resolve(rows: DataFrame, dim: DataFrame, name: str, natural_key: str, sk: str, out: str) -> DataFrame:
-    """Replace a natural key by the dimension's surrogate key."""
+def resolve(
+    rows: DataFrame, dim: DataFrame, name: str, natural_key: str, sk: str, out: str, few: bool | None = None
+) -> DataFrame:
+    """Replace a natural key by the dimension's surrogate key.
+
+    `few` tells whether `rows` are few, if the caller has counted them.
+    """
     keys = dim.select(F.col(natural_key).alias(name), F.col(sk).alias(out))
-    return rows.join(keys, name, "inner").drop(name)
+    few = few_rows(rows) if few is None else few
+    return rows.join(keys if few else join_side(keys), name, "inner").drop(name)
 
 
 def shred_values(
@@ -87,8 +93,8 @@ def shred_values(
 ) -> DataFrame:
     """New rows, one per owner and value of a multi-valued attribute; both make the key."""
     distinct = first_per_key(rows, [name, value])
-    keyed = resolve(distinct, owner, name, natural_key, sk, sk)
-    return absent(target, stage(keyed, f"keyed-{value}"), [sk, value])
+    keyed = resolve(distinct, owner, name, natural_key, sk, sk, few_rows(rows))
+    return absent(target, stage(keyed, f"keyed-{value}"), [sk, value], written=True)
 
 
 def shred_bridge(
@@ -100,10 +106,10 @@ def shred_bridge(
 
     `sides` maps each natural-key column of `rows` to (dimension, its natural key, its surrogate key).
     """
-    keyed = first_per_key(rows, list(sides))
+    keyed, few = first_per_key(rows, list(sides)), few_rows(rows)
     for name, (dim, natural_key, sk) in sides.items():
-        keyed = resolve(keyed, dim, name, natural_key, sk, sk)
-    return absent(target, stage(keyed, "keyed-pairs"), [sk for _, _, sk in sides.values()])
+        keyed = resolve(keyed, dim, name, natural_key, sk, sk, few)
+    return absent(target, stage(keyed, "keyed-pairs"), [sk for _, _, sk in sides.values()], written=True)
 
 
 def shredded_star(
@@ -116,9 +122,9 @@ def shredded_star(
     carriers = carrier.select(carrier_sk, F.col("type").alias("carrier_type"))
     linked = dim.select(dim_sk, F.col("name").alias("_linked"))
     return (
-        rollup.join(carriers, carrier_sk, "inner")
-        .join(bridge.select(member_sk, dim_sk), member_sk, "left")
-        .join(linked, dim_sk, "left")
+        rollup.join(join_side(carriers), carrier_sk, "inner")
+        .join(join_side(bridge.select(member_sk, dim_sk)), member_sk, "left")
+        .join(join_side(linked), dim_sk, "left")
         .select(
             "name",
             F.coalesce("nickname", F.lit("None")).alias("nickname"),

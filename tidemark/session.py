@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+#: Rows up to which a side of a join is left to Spark's own size check.
+BROADCAST_ROWS = 50_000
 
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -77,3 +79,17 @@ def stage(df: DataFrame, label: str, partition_by: str | Sequence[str] | None =
         writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def few_rows(df: DataFrame) -> bool:
+    """Whether a table is small enough for Spark's size check to choose; of a written table only row counts are read."""
+    return df.count() <= BROADCAST_ROWS
+
+
+def join_side(df: DataFrame) -> DataFrame:
+    """A written table as a side of a join, to be sorted and never broadcast when it has many rows.
+
+    The size check sees compressed files, and of a few columns only their share. Sorted names and
+    keys take a byte or two there and a hundred in a broadcast, so millions of rows would pass it.
+    """
+    return df if few_rows(df) else df.hint("merge")
