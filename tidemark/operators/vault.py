@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.hashing import vault_hash
 from tidemark.operators.merge import without
-from tidemark.session import stage
+from tidemark.session import few_rows, stage
 
 # The attributes in each record hash, in order.
 CUSTOMER_ATTRIBUTES = ["name", "iso2_code", "account_balance_usd", "market_segment"]
@@ -90,13 +90,30 @@ def _earliest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(least).select(*[c if c in keys else f"_least.{c}" for c in rows.columns])
 
 
+def _fresh(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The earliest row of each key that the target does not hold; a key with a NULL is never held.
+
+    Few rows look for their keys in the target, which stays where it is. Many rows meet the target's keys in
+    the aggregate that finds the earliest one, so both travel once and nothing is broadcast.
+    """
+    if few_rows(rows):
+        return _earliest(without(rows, target, keys), keys)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    others = ["load_ts", *[c for c in rows.columns if c not in keys and c != "load_ts"]]
+    held = target.filter(known).select(*keys)
+    met = rows.select(*keys, F.struct(*others).alias("_row")).unionByName(held, allowMissingColumns=True)
+    least = met.groupBy(*keys).agg(F.min("_row").alias("_least"), F.bool_or(F.col("_row").isNull()).alias("_held"))
+    return least.filter("not _held").select(*[c if c in keys else f"_least.{c}" for c in rows.columns])
+
+
 def load_hub(hub: DataFrame, staged: DataFrame, hk: str, bk: str) -> DataFrame:
     """New business keys of a batch: the rows to append to the hub.
 
     A batch with several rows of a key gives one, of the earliest load.
     """
-    fresh = without(staged.select(hk, bk, "load_ts", "rec_src"), hub, [hk])
-    return _earliest(fresh, [hk]).select(*hub.columns)
+    return _fresh(staged.select(hk, bk, "load_ts", "rec_src"), hub, [hk]).select(*hub.columns)
 
 
 def load_sat(
@@ -110,7 +127,7 @@ def load_sat(
     """
     rows = staged.select(hk, "load_ts", *attributes, F.col(hash_col).alias("hash_diff"), "rec_src")
     if compare == "any":
-        fresh = _earliest(without(rows, sat, [hk, "hash_diff"]), [hk, "hash_diff"])
+        fresh = _fresh(rows, sat, [hk, "hash_diff"])
     elif compare == "latest":
         rows = _earliest(rows, [hk, "hash_diff", "load_ts"])
         touched = sat.join(rows.select(hk), hk, "left_semi")
@@ -126,8 +143,7 @@ def load_sat(
 
 def load_link(link: DataFrame, staged: DataFrame, lk: str, hks: Sequence[str]) -> DataFrame:
     """New key pairs of a batch: the rows to append to the link."""
-    fresh = without(staged.select(lk, *hks, "load_ts", "rec_src"), link, [lk])
-    return _earliest(fresh, [lk]).select(*link.columns)
+    return _fresh(staged.select(lk, *hks, "load_ts", "rec_src"), link, [lk]).select(*link.columns)
 
 
 def load_ref(src: DataFrame) -> DataFrame:
@@ -185,39 +201,23 @@ class Target:
 
 
 def insert_absent(batch: DataFrame, targets: Mapping[str, Target]) -> dict[str, DataFrame]:
-    """What a batch adds to several insert-only tables, by one pass over its rows.
+    """What a batch adds to several insert-only tables.
 
-    The keys that the targets hold already are found among the batch's keys, so the targets stay
-    where they are; each batch row is flagged by target, a row becomes one routed row for each
-    target that lacks its key, routed rows are reduced to the earliest of a key, and all are written
-    together, one partition per target. Each target then reads its partition.
+    Each target takes its own columns of the batch, a written table, and only those travel. The rows
+    that a target lacks are reduced to the earliest of a key and written, one table per target.
     A key with a NULL is never held; rows of such a key are one row, as of any other key.
     """
     types = {f.name: f.dataType for t in targets.values() for f in t.table.schema.fields}
-    flagged = batch
+    added = {}
     for name, target in targets.items():
-        own = [target.column(k) for k in target.keys]
-        keys = batch.select(*[F.col(o).alias(k) for o, k in zip(own, target.keys)])
-        held = target.table.select(*target.keys).join(keys, list(target.keys), "left_semi").distinct()
-        held = held.select(*[F.col(k).alias(f"_{name}_{k}") for k in target.keys], F.lit(True).alias(f"_in_{name}"))
-        met = [F.col(o) == F.col(f"_{name}_{k}") for o, k in zip(own, target.keys)]
-        flagged = flagged.join(held, met, "left")
-
-    def routed(name: str, target: Target) -> Column:
         held = {f.name for f in target.table.schema.fields}
-        columns = [(F.col(target.column(c)) if c in held else F.lit(None)).cast(kind).alias(c) for c, kind in types.items()]
-        return F.when(F.col(f"_in_{name}").isNull(), F.struct(F.lit(name).alias("_target"), *columns))
-
-    rows = flagged.select(F.explode(F.array_compact(F.array(*[routed(n, t) for n, t in targets.items()]))).alias("r")).select("r.*")
-    key = F.lit(None)
-    for name, target in targets.items():
-        key = F.when(F.col("_target") == name, F.to_json(F.array(*[F.coalesce(F.hex(k), F.lit("-")) for k in target.keys]))).otherwise(key)
-    written = stage(_earliest(rows.withColumn("_key", key), ["_target", "_key"]).drop("_key"), "additions", "_target")
-    return {n: written.filter(F.col("_target") == n).select(*t.table.columns) for n, t in targets.items()}
+        rows = batch.select(*[F.col(target.column(c)).cast(kind).alias(c) for c, kind in types.items() if c in held])
+        added[name] = stage(_fresh(rows, target.table, target.keys), f"additions-{name}").select(*target.table.columns)
+    return added
 
 
 def vault_additions(state: Vault, customers: DataFrame, orders: DataFrame) -> dict[str, DataFrame]:
-    """The rows that one staged batch adds to each target, customers and orders in one pass each.
+    """The rows that one staged batch adds to each target.
 
     Every test reads `state` as it was before the batch, and the rows are written before any target
     takes them, so a run that failed half-way can be repeated.
