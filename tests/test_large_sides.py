@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from rows_of_frames import rows
 
 from tidemark import session
-from tidemark.operators import merge, shred
+from tidemark.operators import hierarchy, merge, shred, skew
 from tidemark.session import stage
 
 
@@ -48,3 +48,20 @@ def test_reading_back_many_members(spark):
     found = shred.shredded_star(rollup, carrier, bridge, dim, "party_id", "carrier_id", "service_id")
     assert plan(found).split("Initial Plan")[0].count("BroadcastHashJoin") == 1  # the two services
     assert rows(found.groupBy("linked_name").count()) == [("None", 1), ("S0", (n - 1) - (n - 1) // 2), ("S1", (n - 1) // 2)]
+
+
+def test_many_pieces_are_salted(spark, monkeypatch):
+    """A region of 400 customers, each with an order: in the last round all orders wait for one row."""
+    tree = [("W", None), ("R", "W"), *[(f"C{i}", "R") for i in range(400)], *[(f"O{i}", f"C{i}") for i in range(400)]]
+    nodes = stage(spark.createDataFrame([*tree, ("O0", "C1"), ("X", "Y"), ("Z", None)], "id string, up string"), "tree")
+    walk = lambda: rows(hierarchy.connect_by(nodes, "id", "up", F.col("id") == "W", "id"))
+    plain, calls = walk(), []
+
+    def spy(*args, **kwargs):
+        calls.append(kwargs["large"])
+        return skew.salted_join(*args, **kwargs)
+
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(hierarchy, "WAITING_ROWS", 50)
+    monkeypatch.setattr(hierarchy, "salted_join", spy)
+    assert walk() == plain and len(plain) == 803 and calls and all(calls)

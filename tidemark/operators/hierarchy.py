@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.session import new_folder
+from tidemark.operators.skew import salted_join
+from tidemark.session import few_rows, new_folder
+
+#: Pieces that wait for one ancestor, up to which they are joined by one task.
+WAITING_ROWS = 250_000
 
 
 def connect_by(
@@ -27,6 +31,8 @@ def connect_by(
     one table, by round and by whether the piece is still open; the next round and the result read
     its partitions.
 
+    Near the end most pieces wait for one of few ancestors, so a join of many pieces is salted.
+
     There is no bound on the depth. A cycle that a walk enters fails the job: at once where it comes back to its
     own start row, else when a piece is longer than there are rows. Cycles that no start row leads
     to change nothing. Repeated ids are walked through each of their rows.
@@ -68,12 +74,17 @@ def connect_by(
                 raise RuntimeError("a cycle away from the start rows: more levels than rows")
             break
         above = finished.unionByName(pieces).select(
-            F.col(f"n_{id_col}").alias("_at"),
+            F.col(f"n_{id_col}").alias("_above"),
             *[F.col(c).alias(f"a{c}") for c in ("_root", "_root_id", "_up", "path", "level", "_open")],
         )
         again = F.raise_error(F.concat(F.lit("cycle at "), F.col(f"n_{id_col}").cast("string"))).cast("string")
         closed = ~F.col("a_open") & (F.col("a_root_id") == F.col(f"n_{id_col}"))
-        fresh = pieces.join(above, F.col("_up") == F.col("_at")).select(
+        pieces = pieces.withColumnRenamed("_up", "_above")
+        if few_rows(pieces):
+            met = pieces.join(above, "_above")
+        else:
+            met = salted_join(pieces, above, ["_above"], hot_rows=WAITING_ROWS, large=True)
+        fresh = met.select(
             *known,
             F.col("a_root").alias("_root"),
             F.col("a_root_id").alias("_root_id"),

@@ -31,13 +31,14 @@ def salted_join(
     how: str = "inner",
     counted: DataFrame | None = None,
     hot_rows: int | None = None,
+    large: bool = False,
 ) -> DataFrame:
     """Join a table that may have hot keys to a side with few rows per key.
 
     Rows of a hot key are dealt into parts by a hash of the row, and the other side's rows of that
     key are repeated once per part; all other keys join as they are. `how` is inner, left,
     left_semi or left_anti. The hot keys are those of `counted` (default `left`), which has the
-    key columns and at least the rows of `left` per key.
+    key columns and at least the rows of `left` per key. With `large` neither side is broadcast.
     """
     on = list(on)
     # a NULL key meets nothing: its rows are dealt over all parts by themselves
@@ -54,4 +55,4 @@ def salted_join(
     copies = right.join(hot, on, "left").select(
         *right.columns, F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_salt")
     )
-    return dealt_left.join(copies, [*on, "_salt"], how).drop("_salt")
+    return dealt_left.join(copies.hint("merge") if large else copies, [*on, "_salt"], how).drop("_salt")
