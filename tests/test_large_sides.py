@@ -65,3 +65,22 @@ def test_many_pieces_are_salted(spark, monkeypatch):
     monkeypatch.setattr(hierarchy, "WAITING_ROWS", 50)
     monkeypatch.setattr(hierarchy, "salted_join", spy)
     assert walk() == plain and len(plain) == 803 and calls and all(calls)
+
+
+def test_a_first_load_does_not_broadcast_its_keys(spark):
+    """Nothing or little is known yet, and all of a large batch is new."""
+    n = session.BROADCAST_ROWS * 2
+    batch = members(spark, n)
+    for held in (batch.limit(3), spark.createDataFrame([], batch.schema)):
+        fresh = merge.absent(held, batch, ["name"], written=True)
+        found = plan(fresh)
+        assert "LeftSemi" not in found and "SortMergeJoin" not in found
+        assert fresh.count() == n - held.count()
+
+
+def test_rows_are_not_broadcast_beside_few_keys(spark):
+    n = session.BROADCAST_ROWS * 2
+    heads = members(spark, n).withColumn("carrier_name", F.concat(F.lit("C"), F.col("party_id") % 7))
+    dim = stage(spark.range(7).selectExpr("id AS carrier_id", "concat('C', id) AS name"), "dim")
+    found = shred.resolve(heads, dim, "carrier_name", "name", "carrier_id", "carrier_id")
+    assert "BuildRight" in plan(found) and "BuildLeft" not in plan(found) and found.count() == n

@@ -85,7 +85,9 @@ def resolve(
     """
     keys = dim.select(F.col(natural_key).alias(name), F.col(sk).alias(out))
     few = few_rows(rows) if few is None else few
-    return rows.join(keys if few else join_side(keys), name, "inner").drop(name)
+    if not few:  # else the rows themselves might be broadcast beside few keys
+        keys = F.broadcast(keys) if few_rows(keys) else keys.hint("merge")
+    return rows.join(keys, name, "inner").drop(name)
 
 
 def shred_values(
