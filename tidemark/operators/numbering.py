@@ -17,32 +17,40 @@ def number_within(
     blocks: Sequence[Column],
     out: str,
     hot_rows: int | None = None,
+    beside: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of each key, 1 to n in `order`.
 
     A key with more than `hot_rows` rows is numbered block by block: `blocks` are columns whose
-    order agrees with `order` (its leading columns, or a coarser form of them), each block is
-    sorted by its own task, and the sizes of the blocks before it are added. All other keys
+    order agrees with `order` (its leading columns, or a coarser form of them), the blocks are dealt
+    over several tasks, and the sizes of the blocks before one are added. All other keys
     share the plain window, and the table is shuffled once in either case.
+
+    `beside` has the key columns and more; rows get these others, NULL where the key is not in it. Equal
+    rows of it count once, and a key may have one row. That join uses the exchange of the numbering.
     """
     keys = list(keys)
-    hot = skew.hot_keys(df, keys, hot_rows or skew.HOT_ROWS).select(*keys, F.lit(True).alias("_hot"))
-    tagged = df.join(F.broadcast(hot), keys, "left").withColumn("_block", F.when(F.col("_hot"), F.struct(*blocks)))
+    hot = skew.hot_keys(df, keys, hot_rows or skew.HOT_ROWS)
+    blocked = df.join(F.broadcast(hot), keys, "left").withColumn("_block", F.when(F.col("_parts").isNotNull(), F.struct(*blocks)))
+    blocked = blocked.withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("_block"), F.col("_parts")), F.lit(0)))
+    place = [*keys, "_salt"]
+    tagged, added = blocked, []
+    if beside is not None:
+        added = [c for c in beside.columns if c not in keys]
+        tagged = blocked.join(skew.copies(beside, hot, keys).distinct(), place, "left")
 
-    in_block = Window.partitionBy(*keys, "_block").orderBy(*order)
+    in_block = Window.partitionBy(*place, "_block").orderBy(*order)
     numbered = tagged.withColumn("_nth", F.row_number().over(in_block).cast("bigint"))
 
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        tagged.filter("_hot")
-        .groupBy(*keys, "_block")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .select(*keys, "_block", F.sum("_size").over(before).alias("_before"))
-    )
+    sizes = blocked.filter(F.col("_parts").isNotNull()).groupBy(*place, "_block").agg(F.count(F.lit(1)).alias("_size"))
+    offset = F.struct("_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before")).alias("_offset")
+    # one row per part of a hot key, so that the join needs no other exchange than the numbering
+    offsets = sizes.select(*place, offset).groupBy(*place).agg(F.map_from_entries(F.collect_list("_offset")).alias("_offsets"))
     return (
-        numbered.join(offsets, [*keys, "_block"], "left")
-        .withColumn(out, F.col("_nth") + F.coalesce("_before", F.lit(0)))
-        .drop("_hot", "_block", "_nth", "_before")
+        numbered.join(offsets, place, "left")
+        .withColumn(out, F.col("_nth") + F.coalesce(F.col("_offsets")[F.col("_block")], F.lit(0)))
+        .select(*df.columns, *added, out)
     )
 
 

@@ -24,6 +24,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     return counted.select(*keys, F.ceil(F.col("_n") / hot_rows).alias("_parts"))
 
 
+def copies(right: DataFrame, hot: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The rows of a join's other side with their part in `_salt`: of a hot key a copy for each part."""
+    last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_salt")
+    return right.join(F.broadcast(hot), list(on), "left").select(*right.columns, parts)
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -32,6 +39,7 @@ def salted_join(
     counted: DataFrame | None = None,
     hot_rows: int | None = None,
     large: bool = False,
+    deal: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join a table that may have hot keys to a side with few rows per key.
 
@@ -39,20 +47,20 @@ def salted_join(
     key are repeated once per part; all other keys join as they are. `how` is inner, left,
     left_semi or left_anti. The hot keys are those of `counted` (default `left`), which has the
     key columns and at least the rows of `left` per key. With `large` neither side is broadcast.
+    With `deal` the parts follow from these columns alone, and the part stays as `_salt`: a window over
+    `on`, `_salt` and them works in the exchange of this join.
     """
     on = list(on)
     # a NULL key meets nothing: its rows are dealt over all parts by themselves
     known = F.lit(True)
     for c in on:
         known = known & F.col(c).isNotNull()
-    hot = F.broadcast(hot_keys(left if counted is None else counted, on, hot_rows or HOT_ROWS))
+    hot = hot_keys(left if counted is None else counted, on, hot_rows or HOT_ROWS)
     # a VARIANT cannot be hashed; the hash of the rest is the same when a lost task runs again
-    hashed = [c for c, kind in left.dtypes if "variant" not in kind]
+    hashed = list(deal) if deal else [c for c, kind in left.dtypes if "variant" not in kind]
     turn = F.xxhash64(*hashed)
     dealt = F.when(known, F.coalesce(F.pmod(turn, F.col("_parts")), F.lit(0))).otherwise(turn)
-    dealt_left = left.join(hot, on, "left").select(*left.columns, dealt.alias("_salt"))
-    last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
-    copies = right.join(hot, on, "left").select(
-        *right.columns, F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_salt")
-    )
-    return dealt_left.join(copies.hint("merge") if large else copies, [*on, "_salt"], how).drop("_salt")
+    dealt_left = left.join(F.broadcast(hot), on, "left").select(*left.columns, dealt.alias("_salt"))
+    other = copies(right, hot, on)
+    joined = dealt_left.join(other.hint("merge") if large else other, [*on, "_salt"], how)
+    return joined if deal else joined.drop("_salt")

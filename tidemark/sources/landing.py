@@ -64,20 +64,25 @@ def entity_batch(
     load_ts: Column,
     keep: Column | None = None,
     ts_col: str = "load_ts",
+    known: str | None = None,
 ) -> DataFrame:
     """A load of whole entities, split by whether the landing area knows them.
 
     Entities that are new arrive as they are, tagged `initial`; known ones arrive with their
     source values adjusted, tagged `update`. `keep` drops rows of known entities, which later
     shows as a deletion. One join tags every row; known keys are reduced to one row each first.
+    Where a column `known` of the source says it already, true or NULL, nothing is joined; it is not landed.
     """
-    known = landed.select(key).distinct().withColumn("_known", F.lit(True))
-    tagged = salted_join(src, known, [key], "left")
+    if known:
+        tagged, columns = src.withColumnRenamed(known, "_known"), [c for c in src.columns if c != known]
+    else:
+        keys = landed.select(key).distinct().withColumn("_known", F.lit(True))
+        tagged, columns = salted_join(src, keys, [key], "left"), src.columns
     if keep is not None:
         tagged = tagged.filter(F.col("_known").isNull() | keep)
     adjusted = update_where(tagged, adjust, F.col("_known"))
     return adjusted.select(
-        *src.columns,
+        *columns,
         load_ts.alias(ts_col),
         F.when(F.col("_known"), "update").otherwise("initial").alias("load_type"),
     )

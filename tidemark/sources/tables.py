@@ -32,7 +32,12 @@ def model(spark: SparkSession, folder: str, name: str, scan: Column | None = Non
     return rows
 
 
-def _line_items(rows: DataFrame) -> DataFrame:
+def lines_beside(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
+    """The line items, each with the columns of `orders` for its order; it has one row per order key, or equal ones."""
+    return _line_items(typed(source(spark, folder, MODEL["line_item"].source), "line_item"), orders)
+
+
+def _line_items(rows: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Lines renumbered within their order, with the dates that follow from the ship date.
 
     The source repeats line numbers within an order, so the declared key needs new ones.
@@ -43,6 +48,7 @@ def _line_items(rows: DataFrame) -> DataFrame:
         order=["source_line", "part_id", "supplier_id", "quantity", "extended_price_usd", "ship_date"],
         blocks=[F.col("source_line"), F.shiftright("part_id", 12)],
         out="line_number",
+        beside=orders,
     )
     return numbered.select(
         "line_number",
@@ -58,6 +64,7 @@ def _line_items(rows: DataFrame) -> DataFrame:
         "ship_date",
         F.date_add("ship_date", 7).alias("commit_date"),
         F.date_add("ship_date", 3).alias("receipt_date"),
+        *([] if orders is None else [c for c in orders.columns if c != "sales_order_id"]),
     )
 
 
