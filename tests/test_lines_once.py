@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import functions as F
 from rows_of_frames import rows
 
+from tidemark.operators import balance, skew
 from tidemark.operators.numbering import number_within
 from tidemark.plans.scenario import Scenario
 from tidemark.session import stage
@@ -31,6 +35,27 @@ def test_numbering_beside_orders(spark):
     assert rows(number(beside=tags, hot_rows=50)) == rows(plain)  # orders 1 and 2 in parts
 
 
+def test_deletions_are_found_in_the_exchange_of_the_join(spark, monkeypatch):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    stamp = lambda n: F.lit(dt.datetime(2020, 1, n))
+    first = spark.range(400).select((F.col("id") % 3).alias("sales_order_id"), F.col("id").alias("line_number"))
+    first = first.withColumns({"load_ts": stamp(1), "load_type": F.lit("initial")})
+    second = first.filter("line_number % 4 > 0").withColumns({"load_ts": stamp(2), "load_type": F.lit("update")})
+    landed = stage(first.unionByName(second), "landed")
+    try:
+        for key in keys:
+            spark.conf.set(key, "-1")
+        for hot_rows in (skew.HOT_ROWS, 40):
+            monkeypatch.setattr(skew, "HOT_ROWS", hot_rows)
+            lost = balance.detect_deletions(landed, balance.load_history(landed))
+            assert not re.search(r"hashpartitioning\(sales_order_id#\d+L, line_number", plan(lost))
+            assert sorted(r.line_number for r in lost.collect()) == list(range(0, 400, 4))
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_known_entities_by_a_column(spark):
     source = spark.createDataFrame([(1, 5, True), (2, 6, None), (None, 7, None)], "o long, q long, seen boolean")
     landed = spark.createDataFrame([(1,)], "o long")

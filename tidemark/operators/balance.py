@@ -58,14 +58,14 @@ def detect_deletions(
 
     The history of an order becomes one row with its loads, from each to its next; it has at most
     as many entries as there are loads. The join with it comes first: only lines of the orders in the
-    history are sorted, once, each beside the next load that has it. So the work grows with the
+    history are sorted, once and in the exchange of the join, each beside the next load that has it. So the work grows with the
     landed lines, also with a full history, and not with pairs of loads. A line that a load holds
     twice is in that load once more, not in a later one.
     """
     steps = F.map_from_entries(F.collect_set(F.struct(ts, "next_order_load"))).alias("_steps")
     orders = history.filter(F.col("next_order_load").isNotNull()).groupBy(order_key).agg(steps)
-    following = F.lead(ts).over(Window.partitionBy(order_key, line_key).orderBy(ts))
-    lines = salted_join(landed, orders, [order_key]).withColumn("next_line_load", following)
+    following = F.lead(ts).over(Window.partitionBy(order_key, "_salt", line_key).orderBy(ts))
+    lines = salted_join(landed, orders, [order_key], deal=[line_key]).withColumn("next_line_load", following)
     lines = lines.withColumn("next_order_load", F.col("_steps")[F.col(ts)]).filter(F.col("next_order_load").isNotNull())
     if reuse:
         lost = lines.filter(~F.col("next_line_load").eqNullSafe(F.col("next_order_load")))
