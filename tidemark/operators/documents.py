@@ -47,24 +47,35 @@ def count_nested(df: DataFrame, v: str, outer_path: str, inner_path: str, where:
     return flatten(items, "item", inner_path, "nested").agg(F.count("nested").alias("nested_count"))
 
 
-_CHILDREN = """
-    concat(
-      coalesce(transform(map_entries(try_variant_get(node.value, '$', 'map<string,variant>')),
-        e -> named_struct('key', e.key, 'path', concat(node.path, if(node.path = '', '', '.'), e.key),
-                          'pos', cast(null as int), 'value', e.value, 'level', node.level + 1)), array()),
-      coalesce(transform(try_variant_get(node.value, '$', 'array<variant>'),
-        (x, i) -> named_struct('key', cast(null as string), 'path', concat(node.path, '[', cast(i as string), ']'),
-                               'pos', i, 'value', x, 'level', node.level + 1)), array()))
-"""
 #: Levels that one plan expands; deeper documents are staged in between.
 LEVELS_PER_PLAN = 8
+_NODE = ("key", "path", "pos", "value", "level")
 
 
-def _expand(nodes: DataFrame, columns: list[str], level: int) -> DataFrame:
-    """Add the children of the nodes of one level; all other nodes pass through."""
-    here = F.col("node.level") == level
-    rows = F.when(here, F.concat(F.array("node"), F.expr(_CHILDREN))).otherwise(F.array("node"))
-    return nodes.select(*columns, F.explode(rows).alias("node"))
+def _expand(nodes: DataFrame, columns: list[str], level: int, levels: int) -> DataFrame:
+    """The nodes of one level and those of the `levels` levels below them.
+
+    Each level is one `variant_explode_outer` inside the one before, so a row is the way to a node without
+    elements and holds no copies of the nodes above. A node goes out with the row of its first way.
+    """
+    tvf = nodes.sparkSession.tvf
+    ways = nodes.select(*columns, *[F.col(c).alias(f"_{c}0") for c in _NODE if c != "level"])
+    for n in range(levels):
+        below = tvf.variant_explode_outer(F.col(f"_value{n}").outer()).toDF(f"_at{n + 1}", f"_key{n + 1}", f"_value{n + 1}")
+        key, at, path = F.col(f"_key{n + 1}"), F.col(f"_at{n + 1}"), F.col(f"_path{n}")
+        name = F.concat(path, F.when(path == "", "").otherwise("."), key)
+        place = F.concat(path, F.lit("["), at.cast("string"), F.lit("]"))
+        ways = ways.lateralJoin(below).withColumns(
+            {f"_path{n + 1}": F.when(key.isNotNull(), name).otherwise(place), f"_pos{n + 1}": F.when(key.isNull(), at)}
+        )
+    rows = []
+    for n in range(levels + 1):
+        node = F.struct(*[F.lit(level + n).alias(c) if c == "level" else F.col(f"_{c}{n}").alias(c) for c in _NODE])
+        goes = F.lit(True) if n == 0 else F.col(f"_at{n}").isNotNull()
+        for m in range(n + 1, levels + 1):
+            goes = goes & (F.coalesce(F.col(f"_at{m}"), F.lit(0)) == 0)
+        rows.append(F.when(goes, node))
+    return ways.select(*columns, F.explode(F.array(*rows)).alias("_node")).filter("_node IS NOT NULL").select(*columns, "_node.*")
 
 
 def _nested(schema: str) -> int | None:
@@ -107,21 +118,22 @@ def flatten_all(df: DataFrame, v: str) -> DataFrame:
     ones are read on, so a document of any depth is read once.
     """
     columns = [c for c in df.columns if c != v]
-    root = F.struct(
+    levels, level, done = depth(df, v), 0, []
+    nodes = df.select(
+        *columns,
         F.lit(None).cast("string").alias("key"),
         F.lit("").alias("path"),
         F.lit(None).cast("int").alias("pos"),
         F.col(v).alias("value"),
         F.lit(0).alias("level"),
     )
-    levels = depth(df, v)
-    nodes, done = df.select(*columns, root.alias("node")), []
-    for level in range(levels):
-        nodes = _expand(nodes, columns, level)
-        if (level + 1) % LEVELS_PER_PLAN == 0 and level + 1 < levels:
-            nodes = stage(nodes, f"nodes-{level + 1}")
-            done.append(nodes.filter(F.col("node.level") <= level))
-            nodes = nodes.filter(F.col("node.level") == level + 1)
+    while level < levels:
+        more = min(LEVELS_PER_PLAN, levels - level)
+        nodes, level = _expand(nodes, columns, level, more), level + more
+        if level < levels:
+            nodes = stage(nodes, f"nodes-{level}")
+            done.append(nodes.filter(F.col("level") < level))
+            nodes = nodes.filter(F.col("level") == level)
     for part in done:
         nodes = nodes.unionByName(part)
-    return nodes.filter("node.level > 0").select(*columns, "node.*")
+    return nodes.filter("level > 0")
