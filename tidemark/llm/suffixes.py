@@ -57,60 +57,79 @@ def _anchored(length: int):
     return pieces
 
 
-def _suffix_array(s: np.ndarray, length: int) -> np.ndarray:
-    """Order of the suffixes by their first `length` symbols, by doubling the compared prefix."""
-    # seven symbols of nine bits at once, 0 behind the end
-    rank, done = np.zeros(len(s), np.int64), 7
+def _sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the order of their keys, equal ones by place, and the keys in that order.
+
+    The place stands in the low bits, as plain numbers sort several times faster than places by a key.
+    """
+    bits = np.uint64(len(keys).bit_length())
+    packed = (keys.astype(np.uint64) << bits) | np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    return (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), packed >> bits
+
+
+def _changes(ordered: np.ndarray) -> np.ndarray:
+    return np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)]
+
+
+def _suffix_array(s: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Order of the suffixes by their first `length` symbols, by doubling the compared prefix.
+
+    Also the rank of each suffix by a shorter prefix, and the length of that: the last one doubled.
+    """
+    n = len(s)
+    # symbols of nine bits with 0 behind the end, as many as leave room for a place
+    keys, done = np.zeros(n, np.uint64), min(length, max(1, (64 - n.bit_length()) // 9))
     for j in range(done):
-        rank <<= 9
-        rank[: len(s) - j] |= s[j:] + 1 if j < len(s) else 0
-    order = np.argsort(rank, kind="stable")
-    ordered = rank[order]
-    rank = np.empty(len(s), np.int64)
-    rank[order] = np.cumsum(np.append(0, ordered[1:] != ordered[:-1]))
+        keys <<= np.uint64(9)
+        keys[: max(0, n - j)] |= s[j:].astype(np.uint64) + np.uint64(1)
+    order, ordered = _sorted(keys)
+    new, known, at = _changes(ordered), s, 1
     while done < length:
-        other = np.zeros(len(s), np.int64)
-        other[: len(s) - done] = rank[done:] + 1 if done < len(s) else 0
-        pair = rank * (int(rank.max()) + 2 + len(s)) + other
-        order = np.argsort(pair, kind="stable")
-        ordered = pair[order]
-        rank = np.empty(len(s), np.int64)
-        rank[order] = np.cumsum(np.append(0, ordered[1:] != ordered[:-1]))
-        done *= 2
-    return order
-
-
-def common_prefixes(s: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
+        step = min(done, length - done)  # the second prefix may overlap the first
+        rank = np.empty(n, np.int32)
+        rank[order] = np.cumsum(new, dtype=np.int32)
+        # in the order of the second prefix: those that end before it, then the present order, shifted
+        short = max(0, n - step)
+        by_second = np.concatenate([np.arange(short, n), order[order >= step] - step])
+        place, ordered = _sorted(rank[by_second])
+        order = by_second[place]
+        known, at, done = rank, done, done + step
+        if done < length:
+            second = np.append(rank, np.zeros(step, np.int32))[order + step]
+            new = _changes(ordered) | _changes(second)
+    return order, known, at
+
+
+def common_prefixes(s: np.ndarray, order: np.ndarray, length: int, known: np.ndarray | None = None, at: int = 1) -> np.ndarray:
     """For each place of the suffix order: is its prefix in common with the one before shorter than `length`?
 
     Breadth-first backward extension on the Burrows-Wheeler transform. A boundary of value v between
     two suffixes becomes one of value v+1 between the suffixes that one symbol in front of both
     makes, unless that boundary has a smaller value already. Boundaries are set by increasing value,
-    and the work stops at `length`: what is unset then shares at least `length` symbols.
+    and the work stops at `length`: what is unset then shares at least `length` symbols. `known` has
+    ranks by the first `at` symbols: they set all boundaries below `at`, and the extension begins there.
     """
     n = len(s)
     before = s[order - 1]  # the symbol in front, cyclic
     by = np.argsort(before, kind="stable")  # places of the transform by symbol: the last-to-first map
-    to = np.empty(n, np.int64)
-    to[by] = np.arange(n)
-    set_ = np.zeros(n, bool)
-    head = s[order]
-    frontier = np.flatnonzero(np.append(True, head[1:] != head[:-1]))
-    set_[frontier] = True
+    set_ = _changes((s if known is None else known)[order])
+    frontier = set_
     # row r of the next column stands at by[r]; rows r-1 and r are split by a boundary b when
     # by[r-1] < b <= by[r] and both have the same symbol
-    low, high = np.append(-1, by[:-1]), by
-    same = np.append(False, before[by][1:] == before[by][:-1])
-    open_ = np.flatnonzero(same & ~set_)
-    for _ in range(1, length):
-        if not len(frontier) or not len(open_):
-            break
+    open_ = np.flatnonzero(~set_ & ~_changes(before[by]))
+    low, high = by[open_ - 1] + 1, by[open_] + 1
+    for _ in range(at, length):
         count = np.zeros(n + 1, np.int32)
-        count[frontier + 1] = 1
-        np.cumsum(count, out=count)
-        split = count[high[open_] + 1] > count[low[open_] + 1]
-        frontier, open_ = open_[split], open_[~split]
-        set_[frontier] = True
+        np.cumsum(frontier, out=count[1:])
+        split = count.take(high) > count.take(low)
+        if not split.any():
+            break
+        stays = ~split
+        frontier = np.zeros(n, bool)
+        frontier[open_[split]] = True
+        open_, low, high = open_[stays], low[stays], high[stays]
+        set_ |= frontier
     return set_
 
 
@@ -118,18 +137,18 @@ def _windows(length: int):
     def run(data, begin, end, doc, place, named):
         n = end - begin
         seg = np.repeat(np.arange(len(n)), n + 1)
-        out = np.zeros(len(data) + len(n), np.int64)
+        out = np.zeros(len(data) + len(n), np.uint16)  # sorted by digits
         shift = np.repeat(np.arange(len(n)), n)
-        out[np.arange(len(data)) + shift] = data.astype(np.int64) + 1
-        order = _suffix_array(out, length)
-        new = common_prefixes(out, order, length)
+        out[np.arange(len(data)) + shift] = data.astype(np.uint16) + 1
+        order, known, at = _suffix_array(out, length)
+        new = common_prefixes(out, order, length, known, at)
         base = begin + np.arange(len(n))
-        offset = order - base[seg[order]]
-        whole = offset + length <= n[seg[order]]
-        group = np.cumsum(new)[whole]
+        offset = np.arange(len(out)) - base[seg]
+        whole = (offset + length <= n[seg])[order]
+        group, order = np.cumsum(new)[whole], order[whole]
         head = np.append(True, group[1:] != group[:-1])[: len(group)]
         group = np.cumsum(head) - 1
-        seg, offset, at = seg[order][whole], offset[whole], order[whole][head]
+        seg, offset, at = seg[order], offset[order], order[head]
         name = np.zeros((len(at), 2), np.uint64)
         name[:, 1] = 1
         for j in range(length) if named else ():
