@@ -64,11 +64,11 @@ def run_days(
 ) -> tuple[DataFrame, DataFrame]:
     """The employee landing area and the time-banded fact after several daily loads.
 
-    Each day reads the open bands of the day before and writes its own batch, the open bands
-    and the bands it closed. Closed bands are written once and not touched again, and a day
+    The first landing is the source by rule, so only the fact made of it is written. Each day reads
+    the open bands of the day before and writes its own batch, the open bands and the bands it closed. Closed bands are written once and not touched again, and a day
     that fails is repeated from the day before.
     """
-    landed = [stage(bands.land_employees(source, day(first_day)), "employees-landed")]
+    landed = [bands.land_employees(source, day(first_day))]
     current, closed = stage(bands.t2_fact_initial(landed[0]), "employees-fact"), []
     for text in days:
         today = day(text)
