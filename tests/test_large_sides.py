@@ -7,7 +7,8 @@ from rows_of_frames import rows
 
 from tidemark import session
 from tidemark.operators import hierarchy, merge, shred, skew
-from tidemark.session import stage
+from tidemark.plans import scenario
+from tidemark.session import few_rows, stage
 
 
 def plan(df):
@@ -84,3 +85,41 @@ def test_rows_are_not_broadcast_beside_few_keys(spark):
     dim = stage(spark.range(7).selectExpr("id AS carrier_id", "concat('C', id) AS name"), "dim")
     found = shred.resolve(heads, dim, "carrier_name", "name", "carrier_id", "carrier_id")
     assert "BuildRight" in plan(found) and "BuildLeft" not in plan(found) and found.count() == n
+
+
+def test_a_table_is_counted_once(spark, monkeypatch):
+    table, calls = members(spark, 5), []
+    count = type(table).count
+    monkeypatch.setattr(type(table), "count", lambda df: calls.append(df) or count(df))
+    assert few_rows(table) and few_rows(table) and len(calls) == 1
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 4)
+    assert not few_rows(table) and len(calls) == 1
+
+
+def test_members_of_a_rollup_are_worked_out_once(spark):
+    """Later steps read the new parents and children several times; they are scans by then."""
+    target = spark.createDataFrame([], "sk long, up long, name string")
+    parents = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "name string")
+    children = spark.createDataFrame([("c", "a"), ("d", "b"), ("e", "x"), ("f", None), (None, "a")], "name string, owner string")
+    first = shred.shred_rollup(target, parents, children, "name", "owner", "sk", "up")
+    assert "Join" not in plan(first) and "Window" not in plan(first)
+    assert rows(first) == sorted([(1, None, "a"), (2, None, "b"), (3, 1, "c"), (4, 2, "d")], key=repr)
+    both = target.unionByName(first)
+    again = shred.shred_rollup(both, parents, children.union(spark.createDataFrame([("g", "b")], children.schema)), "name", "owner", "sk", "up")
+    assert "Join" not in plan(again) and rows(again) == [(5, 2, "g")]
+
+
+def test_many_rows_meet_many_known_keys_in_one_join(spark):
+    n = session.BROADCAST_ROWS + 5
+    fresh = merge.absent(members(spark, n), members(spark, n + 2), ["name"], written=True)
+    assert plan(fresh).split("Initial Plan")[0].count("SortMergeJoin") == 1 and fresh.count() == 2
+
+
+def test_jobs_of_shredding(spark, folder, monkeypatch):
+    """What the driver holds follows from the jobs and exchanges of the two loads: 254 jobs here before."""
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 20)
+    monkeypatch.setattr(scenario, "_STAGED", {})
+    spark.sparkContext.setJobGroup("shredding", "two loads")
+    scenario.Scenario(spark, folder).shredded()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("shredding")) < 200

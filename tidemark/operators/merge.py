@@ -68,14 +68,14 @@ def without(source: DataFrame, target: DataFrame, on: Sequence[str], written: bo
 
     The target's keys are reduced to those of the batch first, with the batch as the build side.
     `written` tells that both are written tables: their rows are counted then. Few target keys are
-    broadcast as they are, and with many rows on both sides nothing is.
+    broadcast as they are, and with many rows on both sides each is sorted once and nothing is broadcast.
     """
     if written and few_rows(target):
         return source.join(F.broadcast(target.select(*on).distinct()), list(on), "left_anti").select(*source.columns)
-    large = written and not few_rows(source)
-    side = lambda df: df.hint("merge") if large else df
-    touched = target.select(*on).join(side(source.select(*on)), list(on), "left_semi").distinct()
-    return source.join(side(touched), list(on), "left_anti").select(*source.columns)
+    if written and not few_rows(source):
+        return source.join(target.select(*on).hint("merge"), list(on), "left_anti").select(*source.columns)
+    touched = target.select(*on).join(source.select(*on), list(on), "left_semi").distinct()
+    return source.join(touched, list(on), "left_anti").select(*source.columns)
 
 
 def merge(

@@ -57,6 +57,7 @@ def shred_rollup(
 
     `children` names its parent in `parent_name`; it is replaced by the parent's surrogate key.
     A child whose parent is not in the table is not loaded, as it has nothing to point to.
+    Both are written once each: the parents are read several times, and the rows given back are plain scans.
     """
     types = {f.name: f.dataType for f in target.schema.fields}
 
@@ -69,11 +70,11 @@ def shred_rollup(
             ]
         )
 
-    new_parents = shred_dim(target, filled(parents), natural_key, sk)
+    new_parents = stage(shred_dim(target, filled(parents), natural_key, sk), "parents")
     with_parents = target.unionByName(new_parents)
     owners = with_parents.select(F.col(natural_key).alias(parent_name), F.col(sk).alias(parent_ref))
-    linked = children.join(join_side(owners), parent_name, "inner")
-    return new_parents.unionByName(shred_dim(with_parents, filled(linked), natural_key, sk))
+    linked = children.join(owners if few_rows(with_parents) else owners.hint("merge"), parent_name, "inner")
+    return new_parents.unionByName(stage(shred_dim(with_parents, filled(linked), natural_key, sk), "children"))
 
 
 def resolve(
@@ -86,16 +87,23 @@ def resolve(
     keys = dim.select(F.col(natural_key).alias(name), F.col(sk).alias(out))
     few = few_rows(rows) if few is None else few
     if not few:  # else the rows themselves might be broadcast beside few keys
-        keys = F.broadcast(keys) if few_rows(keys) else keys.hint("merge")
+        keys = F.broadcast(keys) if few_rows(dim) else keys.hint("merge")
     return rows.join(keys, name, "inner").drop(name)
 
 
 def shred_values(
-    target: DataFrame, rows: DataFrame, owner: DataFrame, name: str, natural_key: str, sk: str, value: str
+    target: DataFrame,
+    rows: DataFrame,
+    owner: DataFrame,
+    name: str,
+    natural_key: str,
+    sk: str,
+    value: str,
+    few: bool | None = None,
 ) -> DataFrame:
     """New rows, one per owner and value of a multi-valued attribute; both make the key."""
     distinct = first_per_key(rows, [name, value])
-    keyed = resolve(distinct, owner, name, natural_key, sk, sk, few_rows(rows))
+    keyed = resolve(distinct, owner, name, natural_key, sk, sk, few_rows(rows) if few is None else few)
     return absent(target, stage(keyed, f"keyed-{value}"), [sk, value], written=True)
 
 
@@ -103,12 +111,13 @@ def shred_bridge(
     target: DataFrame,
     rows: DataFrame,
     sides: Mapping[str, tuple[DataFrame, str, str]],
+    few: bool | None = None,
 ) -> DataFrame:
     """New pairs of surrogate keys for a many-to-many relationship.
 
     `sides` maps each natural-key column of `rows` to (dimension, its natural key, its surrogate key).
     """
-    keyed, few = first_per_key(rows, list(sides)), few_rows(rows)
+    keyed, few = first_per_key(rows, list(sides)), few_rows(rows) if few is None else few
     for name, (dim, natural_key, sk) in sides.items():
         keyed = resolve(keyed, dim, name, natural_key, sk, sk, few)
     return absent(target, stage(keyed, "keyed-pairs"), [sk for _, _, sk in sides.values()], written=True)

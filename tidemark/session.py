@@ -5,12 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 #: Rows up to which a side of a join is left to Spark's own size check.
 BROADCAST_ROWS = 50_000
+_ROWS: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -82,8 +84,13 @@ def stage(df: DataFrame, label: str, partition_by: str | Sequence[str] | None =
 
 
 def few_rows(df: DataFrame) -> bool:
-    """Whether a table is small enough for Spark's size check to choose; of a written table only row counts are read."""
-    return df.count() <= BROADCAST_ROWS
+    """Whether a table is small enough for Spark's size check to choose; of a written table only row counts are read.
+
+    A frame is counted once, however often it is asked about.
+    """
+    if df not in _ROWS:
+        _ROWS[df] = df.count()
+    return _ROWS[df] <= BROADCAST_ROWS
 
 
 def join_side(df: DataFrame) -> DataFrame:
