@@ -123,3 +123,17 @@ def test_jobs_of_shredding(spark, folder, monkeypatch):
     scenario.Scenario(spark, folder).shredded()
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("shredding")) < 200
+
+
+def test_a_large_load_counts_only_what_it_must(spark, folder, monkeypatch):
+    """Documents and dimensions are counted, the members once a load; rows and years made of many documents are not."""
+    frame, asked = type(spark.range(0)), []
+    count = frame.count
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 20)
+    monkeypatch.setattr(scenario, "_STAGED", {})
+    monkeypatch.setattr(frame, "count", lambda df: asked.append(df.columns) or count(df))
+    scenario.Scenario(spark, folder).shredded()
+    monkeypatch.undo()
+    made = [{"party_name"}, {"owner_name"}, {"party_id", "year"}, {"party_id", "service_id"}]
+    assert asked and not [c for c in asked if any(m <= set(c) for m in made)]
+    assert sum("part_of" in c for c in asked) == 2

@@ -63,16 +63,19 @@ def join_by_key(target: DataFrame, source: DataFrame, on: Sequence[str]) -> Data
     return met.unionByName(fresh)
 
 
-def without(source: DataFrame, target: DataFrame, on: Sequence[str], written: bool = False) -> DataFrame:
+def without(
+    source: DataFrame, target: DataFrame, on: Sequence[str], written: bool = False, few: bool | None = None
+) -> DataFrame:
     """Source rows whose key the target does not hold; a key with a NULL is never held.
 
     The target's keys are reduced to those of the batch first, with the batch as the build side.
     `written` tells that both are written tables: their rows are counted then. Few target keys are
     broadcast as they are, and with many rows on both sides each is sorted once and nothing is broadcast.
+    With `few` false, which a caller tells of a large batch, that is done without counting.
     """
-    if written and few_rows(target):
+    if few is not False and written and few_rows(target):
         return source.join(F.broadcast(target.select(*on).distinct()), list(on), "left_anti").select(*source.columns)
-    if written and not few_rows(source):
+    if few is False or written and not few_rows(source):
         return source.join(target.select(*on).hint("merge"), list(on), "left_anti").select(*source.columns)
     touched = target.select(*on).join(source.select(*on), list(on), "left_semi").distinct()
     return source.join(touched, list(on), "left_anti").select(*source.columns)
@@ -135,9 +138,11 @@ def paired(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     return images.select("before", "after")
 
 
-def absent(target: DataFrame, source: DataFrame, on: Sequence[str], written: bool = False) -> DataFrame:
+def absent(
+    target: DataFrame, source: DataFrame, on: Sequence[str], written: bool = False, few: bool | None = None
+) -> DataFrame:
     """Source rows whose key the target does not hold: the rows to append."""
-    return without(source, target, on, written).select(*target.columns)
+    return without(source, target, on, written, few).select(*target.columns)
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:

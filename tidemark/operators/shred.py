@@ -33,13 +33,15 @@ def _max_key(target: DataFrame, sk: str) -> Column:
     return target.agg(F.coalesce(F.max(sk), F.lit(0))).scalar()
 
 
-def shred_dim(target: DataFrame, rows: DataFrame, natural_key: str, sk: str) -> DataFrame:
+def shred_dim(target: DataFrame, rows: DataFrame, natural_key: str, sk: str, few: bool | None = None) -> DataFrame:
     """Dimension rows whose natural key is absent, with keys after the target's highest.
 
     The batch is reduced to one row per key and written; the target is only asked for these keys.
+    `few`, here and below, tells whether `rows` are few; a caller that knows of many saves counting them and what they meet.
     """
     known = rows.filter(F.col(natural_key).isNotNull())
-    fresh = without(stage(first_per_key(known, [natural_key]), f"distinct-{sk}"), target, [natural_key], written=True)
+    distinct = stage(first_per_key(known, [natural_key]), f"distinct-{sk}")
+    fresh = without(distinct, target, [natural_key], written=True, few=few)
     keyed = assign_keys(fresh.select(*rows.columns), sk, [natural_key], _max_key(target, sk))
     return keyed.select(*target.columns)
 
@@ -52,6 +54,7 @@ def shred_rollup(
     parent_name: str,
     sk: str,
     parent_ref: str,
+    few: bool | None = None,
 ) -> DataFrame:
     """New parents and children of one self-referencing table, parents first.
 
@@ -70,11 +73,12 @@ def shred_rollup(
             ]
         )
 
-    new_parents = stage(shred_dim(target, filled(parents), natural_key, sk), "parents")
+    new_parents = stage(shred_dim(target, filled(parents), natural_key, sk, few), "parents")
     with_parents = target.unionByName(new_parents)
     owners = with_parents.select(F.col(natural_key).alias(parent_name), F.col(sk).alias(parent_ref))
-    linked = children.join(owners if few_rows(with_parents) else owners.hint("merge"), parent_name, "inner")
-    return new_parents.unionByName(stage(shred_dim(with_parents, filled(linked), natural_key, sk), "children"))
+    small = few is not False and few_rows(with_parents)
+    linked = children.join(owners if small else owners.hint("merge"), parent_name, "inner")
+    return new_parents.unionByName(stage(shred_dim(with_parents, filled(linked), natural_key, sk, few), "children"))
 
 
 def resolve(
@@ -104,7 +108,7 @@ def shred_values(
     """New rows, one per owner and value of a multi-valued attribute; both make the key."""
     distinct = first_per_key(rows, [name, value])
     keyed = resolve(distinct, owner, name, natural_key, sk, sk, few_rows(rows) if few is None else few)
-    return absent(target, stage(keyed, f"keyed-{value}"), [sk, value], written=True)
+    return absent(target, stage(keyed, f"keyed-{value}"), [sk, value], written=True, few=few)
 
 
 def shred_bridge(
@@ -117,10 +121,10 @@ def shred_bridge(
 
     `sides` maps each natural-key column of `rows` to (dimension, its natural key, its surrogate key).
     """
-    keyed, few = first_per_key(rows, list(sides)), few_rows(rows) if few is None else few
+    keyed, small = first_per_key(rows, list(sides)), few_rows(rows) if few is None else few
     for name, (dim, natural_key, sk) in sides.items():
-        keyed = resolve(keyed, dim, name, natural_key, sk, sk, few)
-    return absent(target, stage(keyed, "keyed-pairs"), [sk for _, _, sk in sides.values()], written=True)
+        keyed = resolve(keyed, dim, name, natural_key, sk, sk, small)
+    return absent(target, stage(keyed, "keyed-pairs"), [sk for _, _, sk in sides.values()], written=True, few=few)
 
 
 def shredded_star(

@@ -434,6 +434,7 @@ class Scenario:
             "owner_name",
             "party_id",
             "part_of",
+            few,
         )
         party = state.party.unionByName(members)
         years = shred.shred_values(state.party_years, rows["years"], party, "party_name", "name", "party_id", "year", few)
