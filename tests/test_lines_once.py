@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import re
+import time
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from rows_of_frames import rows
 
 from tidemark.operators import balance, merge, skew
 from tidemark.operators.numbering import number_within
+from tidemark.plans import scenario
 from tidemark.plans.scenario import Scenario
-from tidemark.session import stage
+from tidemark.session import REMOVE_SHUFFLES, stage
 from tidemark.sources.landing import entity_batch
 
 
@@ -80,3 +85,58 @@ def test_a_merged_batch_is_not_spread_before_it_is_written(spark, monkeypatch):
     assert rows(merged.rows.groupBy("qty", "as_at_dts").count()) == rows(
         spark.createDataFrame([(3, dt.datetime(2020, 1, 2), 20)], "qty int, as_at_dts timestamp, n long")
     )
+
+
+def test_loads_are_not_written_beside_the_lines(spark, folder, monkeypatch):
+    monkeypatch.setattr(scenario, "_STAGED", {})
+    landed = Scenario(spark, folder).src_line_item()
+    assert landed.columns == Scenario(spark, folder).lines_initial().columns
+    assert [name for *_, name in scenario._STAGED] == ["line_item"]
+    assert "Exchange" not in plan(landed)
+
+
+def shuffle_files(spark):
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for top in dirs for _, _, files in os.walk(str(top)) for f in files if f.startswith("shuffle_")}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    before, setting = shuffle_files(spark), spark.conf.get(REMOVE_SHUFFLES, None)
+    written = stage(spark.range(1000).repartition(3, "id").groupBy(F.col("id") % 7).count(), "counts")
+    for _ in range(50):  # they are removed in the background
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(REMOVE_SHUFFLES, None) == setting
+    assert written.count() == 7
+
+
+def test_reversals_move_the_batch_once_and_by_its_keys(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    first = spark.range(40).select((F.col("id") % 5).alias("o"), F.col("id").alias("line"), F.lit(1).alias("qty"), F.lit("x").alias("note"))
+    target, source = stage(first, "first"), first.filter("line > 9").withColumns({"qty": F.lit(3), "at": F.lit(7)})
+    try:
+        for key in keys:
+            spark.conf.set(key, "-1")
+        merged = merge.merge(target, source, ["o", "line"], update={"qty": F.col("s.at")})
+        taken = merged.updates.select("before.*", F.col("after.qty").alias("now"))
+        ran = plan(taken)
+        assert len(re.findall(r"(?m)^\W*Exchange hashpartitioning", ran)) == 2
+        read = [re.search(r"ReadSchema: struct<([^>]*)", line)[1] for line in ran.splitlines() if "merge-batch" in line]
+        assert read == ["o:bigint,line:bigint,at:int"]
+        assert rows(taken) == sorted([(i % 5, i, 1, "x", 7) for i in range(10, 40)], key=repr)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_updates_of_a_merge_with_nulls_and_repeated_keys(spark):
+    target = spark.createDataFrame([(1, 1), (1, 2), (None, 3), (2, None), (3, 3)], "k long, v long")
+    source = spark.createDataFrame([(1, 5), (None, 6), (None, 7), (2, 8), (9, 9)], "k long, v long")
+    load = lambda src, **kw: merge.merge(target, src, ["k"], update={"v": F.col("s.v")}, **kw).updates.select("before.*", F.col("after.v").alias("w"))
+    assert rows(load(source)) == sorted([(1, 1, 5), (1, 2, 5), (2, None, 8)], key=repr)
+    assert rows(load(source, when=F.col("t.v") != F.col("s.v"))) == [(1, 1, 5), (1, 2, 5)]
+    with pytest.raises(PySparkException, match="more than one source row for key 9"):
+        load(source.union(source.filter("k = 9"))).collect()

@@ -26,6 +26,22 @@ class MergeResult:
     updates: DataFrame
 
 
+def _known(on: Sequence[str]) -> Column:
+    """Whether a row has its whole key."""
+    known = F.lit(True)
+    for c in on:
+        known = known & F.col(c).isNotNull()
+    return known
+
+
+def _whole_keys(source: DataFrame, on: Sequence[str], flag: str) -> DataFrame:
+    """The rows of `single_per_key` that have their whole key, spread and sorted by it."""
+    nth = F.row_number().over(Window.partitionBy(*on).orderBy(*on))
+    described = F.concat_ws(", ", *[F.col(c).cast("string") for c in on])
+    repeated = F.raise_error(F.concat(F.lit("more than one source row for key "), described))
+    return source.filter(_known(on)).withColumn(flag, F.when(nth > 1, repeated.cast("boolean")).otherwise(F.lit(True)))
+
+
 def single_per_key(source: DataFrame, on: Sequence[str], flag: str) -> DataFrame:
     """Mark source rows as present, and fail the job on a second row for a key.
 
@@ -33,14 +49,8 @@ def single_per_key(source: DataFrame, on: Sequence[str], flag: str) -> DataFrame
     anyway, and it holds no rows back: the second row of a key raises at once. A key with a NULL
     matches nothing, so any number of rows may have it.
     """
-    known = F.lit(True)
-    for c in on:
-        known = known & F.col(c).isNotNull()
-    nth = F.row_number().over(Window.partitionBy(*on).orderBy(*on))
-    described = F.concat_ws(", ", *[F.col(c).cast("string") for c in on])
-    repeated = F.raise_error(F.concat(F.lit("more than one source row for key "), described))
-    whole = source.filter(known).withColumn(flag, F.when(nth > 1, repeated.cast("boolean")).otherwise(F.lit(True)))
-    return whole.unionByName(source.filter(~known).withColumn(flag, F.lit(True)))
+    without_key = source.filter(~_known(on)).withColumn(flag, F.lit(True))
+    return _whole_keys(source, on, flag).unionByName(without_key)
 
 
 def join_by_key(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -52,7 +62,10 @@ def join_by_key(target: DataFrame, source: DataFrame, on: Sequence[str]) -> Data
     Which side is small is left to Spark's own size check; with two large sides both are shuffled.
     The batch is written first: it is worked out once, and its size is known when the joins are planned.
     """
-    source = stage(source, "merge-batch")
+    return _joined(target, stage(source, "merge-batch"), on)
+
+
+def _joined(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
     left = target.withColumn("_t", F.lit(True)).alias("t")
     right = single_per_key(source, on, "_s")
     same = [F.col(f"t.{c}") == F.col(f"s.{c}") for c in on]
@@ -63,6 +76,17 @@ def join_by_key(target: DataFrame, source: DataFrame, on: Sequence[str]) -> Data
     return met.unionByName(fresh)
 
 
+def _met(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The target rows that have a source row, beside it: plain columns under the aliases `t` and `s`.
+
+    Only columns that a later step takes are read and moved. The source is moved once, as its window and
+    the join are on the same key; rows without a whole key meet nothing and stay out.
+    """
+    left = target.withColumn("_t", F.lit(True)).alias("t")
+    right = _whole_keys(source, on, "_s").alias("s")
+    return left.join(right, [F.col(f"t.{c}") == F.col(f"s.{c}") for c in on]).filter("s._s")
+
+
 def without(
     source: DataFrame, target: DataFrame, on: Sequence[str], written: bool = False, few: bool | None = None
 ) -> DataFrame:
@@ -94,7 +118,8 @@ def merge(
     `update`, `insert` and `when` are columns over the aliases `t` (target) and `s` (source).
     A matched row is updated when `when` is true; a NULL condition leaves it as it is.
     """
-    joined = join_by_key(target, source, on)
+    source = stage(source, "merge-batch")
+    joined = _joined(target, source, on)
     matched = F.col("t._t").isNotNull() & F.col("s._s").isNotNull()
     hit = matched if when is None else matched & F.coalesce(when, F.lit(False))
     step = (
@@ -123,8 +148,11 @@ def merge(
     old = image("DELETE", [F.col(f"t.{c}").cast(types[c]).alias(c) for c in target.columns], is_update)
     images = F.when(is_update, F.array(old, new)).otherwise(F.array(new))
     changes = stepped.filter("_step <> 'keep'").select(F.inline(images))
-    both = [F.struct(*[F.col(f"t.{c}").cast(types[c]).alias(c) for c in target.columns]).alias("before"), F.struct(*[after(c) for c in target.columns]).alias("after")]
-    return MergeResult(rows, changes, stepped.filter(is_update).select(*both))
+    hits = _met(target, source, on)
+    hits = hits if when is None else hits.filter(when)
+    old_row = F.struct(*[F.col(f"t.{c}").cast(types[c]).alias(c) for c in target.columns])
+    new_row = F.struct(*[update.get(c, F.col(f"t.{c}")).cast(types[c]).alias(c) for c in target.columns])
+    return MergeResult(rows, changes, hits.select(old_row.alias("before"), new_row.alias("after")))
 
 
 def paired(changes: DataFrame, keys: Sequence[str]) -> DataFrame:

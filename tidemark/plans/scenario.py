@@ -166,13 +166,13 @@ class Scenario:
         return self._tagged_lines().drop("first_load")
 
     def lines_initial(self) -> DataFrame:
-        """First load: all lines of the orders placed before a date."""
+        """First load: all lines of the orders placed before a date.
 
-        def build() -> DataFrame:
-            rows = landing.land(self._tagged_lines(), ts(LOAD_1), where=F.col("first_load")).drop("first_load")
-            return rows.withColumn("load_type", F.lit("initial"))
-
-        return self._once("lines_initial", build, partition_by="load_ts")
+        It follows from the written lines by rule, without an exchange, so no second copy of them is written.
+        """
+        stamp = F.when(F.col("first_load"), ts(LOAD_1))
+        rows = landing.land(self._tagged_lines(), stamp, where=F.col("first_load")).drop("first_load")
+        return rows.withColumn("load_type", F.lit("initial"))
 
     def line_batch(self, with_deletions: bool) -> DataFrame:
         """Second load: the other orders as new ones, the landed orders changed.
@@ -194,9 +194,8 @@ class Scenario:
         )
 
     def src_line_item(self) -> DataFrame:
-        """Landing area after the load with deletions; each load is written once, to its partition."""
-        batch = self._once("line_batch", lambda: self.line_batch(with_deletions=True), partition_by="load_ts")
-        return landing.union_all([self.lines_initial(), batch])
+        """Landing area after the load with deletions; both loads follow from the written lines by rule."""
+        return landing.union_all([self.lines_initial(), self.line_batch(with_deletions=True)])
 
     def line_deletions(self) -> DataFrame:
         landed = self.src_line_item()

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 _LOCAL_FOLDERS: dict[str, str] = {}
 #: Rows up to which a side of a join is left to Spark's own size check.
 BROADCAST_ROWS = 50_000
+#: Spark's setting to remove the shuffle files of a query at its end.
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _ROWS: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 
 
@@ -67,19 +70,35 @@ def spread(scan: DataFrame, *keys: str) -> DataFrame:
     return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries inside leave no shuffle files: what they wrote is the only thing that is read again.
+
+    Otherwise those files stay until the driver happens to collect its garbage, so a job of many
+    steps holds the shuffles of all of them at once.
+    """
+    before = spark.conf.get(REMOVE_SHUFFLES, None)
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(REMOVE_SHUFFLES) if before is None else spark.conf.set(REMOVE_SHUFFLES, before)
+
+
 def stage(df: DataFrame, label: str, partition_by: str | Sequence[str] | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts the lineage like a reliable checkpoint, survives the loss of executors, and keeps what
     a checkpoint gives away: column pruning, filter pushdown, table statistics and, with
-    `partition_by`, partition pruning.
+    `partition_by`, partition pruning. The shuffle files of the write are removed when it is done.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
     writer = df.write.option("compression", "zstd")  # staged tables are written once and read a few times
     if partition_by:
         writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    writer.parquet(path)
+    with shuffles_removed(spark):
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
